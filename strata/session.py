@@ -14,11 +14,16 @@ from pyspark.sql import SparkSession
 
 # Settings every query here assumes.  Time zone fixes the calendar day of
 # ``to_date``; AQE re-plans joins and coalesces shuffle partitions at run time.
+# Broadcasts: the planner's static choice from size *estimates* is off; a side
+# is broadcast either after ``strata.operators.joins`` proved it small, or by
+# AQE from the measured size of a finished shuffle stage.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
 
 

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.joins import checked_join
+
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
@@ -48,7 +50,7 @@ def r_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
     key = F.col("s_suppkey")
-    b = s.join(n, s.s_nationkey == n.n_nationkey).select(
+    b = checked_join(s, n.withColumnRenamed("n_nationkey", "s_nationkey"), ["s_nationkey"], "inner").select(
         key.alias("AddressID"),
         _null_when(key % 9 == 0, F.concat(F.lit("  "), F.col("s_name"))).alias("AddressLine1"),
         _null_when(key % 2 == 0,
