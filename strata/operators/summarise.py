@@ -123,7 +123,12 @@ def _preaggregated_join(base: DataFrame, right: DataFrame, spec: SummarySpec,
     partial = base.groupBy(*j.on).agg(
         *[(F.count(m.column) if _effective_fn(m, spec.unique) == "count" else F.sum(m.column))
           .alias(partial_names[m.name]) for m in spec.metrics])
-    joined = checked_join(partial, right, j.on, "left")
+    # Both sides are hash-partitioned on the key already (the partial
+    # aggregate's shuffle, and a cleaned table's dedupe), so a shuffle join
+    # here adds no exchange; broadcasting would only ship a side that grows
+    # with the number of keys to every executor.  AQE still turns the join
+    # into a broadcast when the measured size of a side is small.
+    joined = partial.join(right, on=list(j.on), how="left")
     finals = []
     for m in spec.metrics:
         p = F.col(partial_names[m.name])
