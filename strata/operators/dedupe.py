@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StructType, ArrayType, DataType
 
@@ -39,12 +39,21 @@ def default_tie_break(df: DataFrame, keys: Sequence[str]) -> list[str]:
     return [f.name for f in df.schema.fields if f.name not in key_set and _orderable(f.dataType)]
 
 
-def dedupe(df: DataFrame, keys: Sequence[str], tie_break: Sequence[str] = ()) -> DataFrame:
-    """One row per ``keys``; NULL keys count as equal (one NULL-key row stays)."""
+def dedupe(df: DataFrame, keys: Sequence[str], tie_break: Sequence[str] = (),
+           order_by: Sequence[Column] = ()) -> DataFrame:
+    """One row per ``keys``; NULL keys count as equal (one NULL-key row stays).
+
+    The survivor is the first row under ``order_by`` when given (e.g. the
+    latest version: ``[F.col("seq").desc()]``), else under ``tie_break``
+    ascending with NULL last, else under all other columns."""
     if not keys:
         raise ValueError("dedupe needs at least one key column")
-    order = list(tie_break) or default_tie_break(df, keys)
-    window = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    if order_by:
+        ordering = list(order_by)
+    else:
+        order = list(tie_break) or default_tie_break(df, keys)
+        ordering = [F.col(c).asc_nulls_last() for c in order]
+    window = Window.partitionBy(*keys).orderBy(*ordering)
     return (
         df.withColumn(_RN, F.row_number().over(window))
         .filter(F.col(_RN) == 1)

@@ -13,7 +13,10 @@ import time
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType,
+                               TimestampType)
 
 from strata.functions.audit import with_ingestion_time
 from strata.operators.clean import clean
@@ -38,6 +41,9 @@ class LayerConfig:
     aggregated_policy: str = "strict"
     compact: bool = True
     sort_aggregates: bool = True
+    # bucket cleaned tables by their key (X9): joins and aggregates on the key
+    # then read them without a shuffle on that side
+    cleaned_buckets: int | None = None
     retry: RetryPolicy = field(default_factory=RetryPolicy)
 
     def name(self, layer: str, table: str) -> str:
@@ -59,15 +65,16 @@ class TableRun:
     table: str
     seconds: float
     attempts: int = 1
+    rows: int | None = None
 
 
 def _write(spark: SparkSession, config: LayerConfig, layer: str, table: str, df: DataFrame,
-           policy: str) -> str:
+           policy: str, bucket_by: tuple[int, Sequence[str]] | None = None) -> str:
     from strata.sinks.tables import compact_table
 
     ensure_schema(spark, config.catalog, layer)
     name = config.name(layer, table)
-    publish(df, name, schema_policy=policy, table_format=config.table_format)
+    publish(df, name, schema_policy=policy, table_format=config.table_format, bucket_by=bucket_by)
     if config.compact and config.table_format == "delta":
         compact_table(spark, name, config.table_format)
     return name
@@ -85,11 +92,15 @@ def run_raw_layer(spark: SparkSession, config: LayerConfig,
         t0 = time.perf_counter()
 
         def attempt(spec=spec):
-            df = with_ingestion_time(spec.reader(spark))
-            return _write(spark, config, config.raw, spec.target, df, config.raw_policy)
-
-        _, attempts = with_retry(attempt, config.retry)
-        runs.append(TableRun(config.raw, spec.target, time.perf_counter() - t0, attempts))
+            # rows written, counted by the write job itself (no second scan);
+            # a fresh observation per attempt
+            obs = Observation()
+            df = with_ingestion_time(spec.reader(spark)).observe(obs, F.count(F.lit(1)).alias("rows"))
+            _write(spark, config, config.raw, spec.target, df, config.raw_policy)
+            return obs.get.get("rows")
+
+        rows, attempts = with_retry(attempt, config.retry)
+        runs.append(TableRun(config.raw, spec.target, time.perf_counter() - t0, attempts, rows))
     return runs
 
 
@@ -101,8 +112,10 @@ def clean_table(spark: SparkSession, config: LayerConfig, table: str,
     if table not in specs:
         raise ValueError(f"no cleaning rule for table {table!r}")
     t0 = time.perf_counter()
-    df = clean(spark.table(config.raw_table(table)), specs[table])
-    _write(spark, config, config.cleaned, table, df, config.cleaned_policy)
+    spec = specs[table]
+    df = clean(spark.table(config.raw_table(table)), spec)
+    buckets = (config.cleaned_buckets, spec.keys) if config.cleaned_buckets else None
+    _write(spark, config, config.cleaned, table, df, config.cleaned_policy, buckets)
     return TableRun(config.cleaned, table, time.perf_counter() - t0)
 
 
@@ -144,6 +157,30 @@ def run_pipeline(spark: SparkSession, config: LayerConfig,
     return runs
 
 
+RUN_LOG_SCHEMA = StructType([
+    StructField("run_id", StringType(), False),
+    StructField("layer", StringType(), False),
+    StructField("table", StringType(), False),
+    StructField("seconds", DoubleType(), False),
+    StructField("attempts", LongType(), False),
+    StructField("rows", LongType(), True),
+    StructField("logged_at", TimestampType(), True),
+])
+
+
+def append_run_log(spark: SparkSession, config: LayerConfig, run_id: str,
+                   runs: Sequence[TableRun], table: str = "_load_runs") -> str:
+    """Append one row per table run (duration, attempts, rows written) to a
+    log table in the raw layer; the rows are the run's own few records."""
+    ensure_schema(spark, config.catalog, config.raw)
+    name = config.raw_table(table)
+    log = spark.createDataFrame(
+        [(run_id, r.layer, r.table, float(r.seconds), int(r.attempts), r.rows, None) for r in runs],
+        RUN_LOG_SCHEMA).withColumn("logged_at", F.current_timestamp())
+    log.write.mode("append").saveAsTable(name)
+    return name
+
+
 def all_tables(config: LayerConfig) -> list[str]:
     """Every published table, in build order."""
     return ([config.raw_table(t) for t in cat.CLEAN_ORDER]
