@@ -1,11 +1,12 @@
 """Joins with a checked broadcast.
 
-A side is broadcast only when its size is proven small: first the
-optimizer's size estimate must be under ``max_bytes`` (no job), then an
-exact row bound is proven with ``limit(max_rows + 1).count()``, a job that
-stops reading once the bound is passed.  Beyond either bound the join is a
-shuffle join and AQE (skew join split, runtime broadcast conversion from
-measured shuffle sizes) takes over.
+A side is broadcast only when its size is proven small.  One job over
+``limit(max_rows + 1)`` counts the rows and sums their payload bytes (text
+and binary by ``octet_length``, other types by their fixed width); it stops
+reading once the row bound is passed.  Both bounds must hold.  Beyond them
+the join is a shuffle join, and AQE (skew-join splitting, broadcast from the
+measured size of a finished shuffle stage) takes over.  The planner's own
+estimate-based broadcast is switched off in ``strata.session``.
 """
 
 from __future__ import annotations
@@ -13,39 +14,59 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_MAX_ROWS = 2_000_000
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 
+# bytes per value of fixed-width types
+_WIDTH = {
+    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8,
+    T.FloatType: 4, T.DoubleType: 8, T.DateType: 4, T.TimestampType: 8, T.TimestampNTZType: 8,
+    T.DecimalType: 16, T.NullType: 1,
+}
+
 
 @dataclass(frozen=True)
 class BroadcastDecision:
     broadcast: bool
-    estimated_bytes: int | None
-    rows_checked: int | None
+    rows: int
+    bytes: int
     reason: str
 
 
-def estimated_size_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimized plan (``None`` if unknown)."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:  # stats are an optimisation aid; absence is not an error
-        return None
+def _value_bytes(name: str, dtype: T.DataType) -> Column:
+    col = F.col(f"`{name}`")
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(col), F.lit(0))
+    for kind, width in _WIDTH.items():
+        if isinstance(dtype, kind):
+            return F.lit(width)
+    # nested values: size of their JSON text
+    return F.coalesce(F.octet_length(F.to_json(F.struct(col))), F.lit(0))
+
+
+def measure(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    """``(rows, payload bytes)`` of at most ``max_rows + 1`` rows of ``df``."""
+    widths = [_value_bytes(f.name, f.dataType) for f in df.schema.fields] or [F.lit(0)]
+    row_bytes = widths[0]
+    for w in widths[1:]:
+        row_bytes = row_bytes + w
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                   F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")).first()
+    return int(r["n"]), int(r["b"])
 
 
 def decide_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
                      max_bytes: int = DEFAULT_MAX_BYTES) -> BroadcastDecision:
-    est = estimated_size_bytes(df)
-    if est is None or est > max_bytes:
-        return BroadcastDecision(False, est, None, "estimate over byte bound or unknown")
-    rows = df.limit(max_rows + 1).count()
+    rows, size = measure(df, max_rows)
     if rows > max_rows:
-        return BroadcastDecision(False, est, rows, "row bound exceeded")
-    return BroadcastDecision(True, est, rows, "estimate and row count within bounds")
+        return BroadcastDecision(False, rows, size, "row bound exceeded")
+    if size > max_bytes:
+        return BroadcastDecision(False, rows, size, "byte bound exceeded")
+    return BroadcastDecision(True, rows, size, "rows and bytes within bounds")
 
 
 def checked_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",

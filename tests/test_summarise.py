@@ -107,6 +107,8 @@ def test_broadcast_only_within_bounds(spark):
     assert decide_broadcast(small, max_rows=1000).broadcast
     assert not decide_broadcast(small, max_rows=10).broadcast
     assert not decide_broadcast(small, max_rows=1000, max_bytes=8).broadcast
+    d = decide_broadcast(spark.createDataFrame([("abc",), (None,)], "s string"), max_rows=10)
+    assert (d.rows, d.bytes) == (2, 3)
     big = spark.range(50)
     j = checked_join(big, spark.range(10), ["id"], "left", max_rows=5)
     assert "BroadcastHashJoin" not in j._jdf.queryExecution().executedPlan().toString()
