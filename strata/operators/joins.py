@@ -70,11 +70,24 @@ def decide_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
 
 
 def checked_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-                 max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
+                 max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES,
+                 null_safe: bool = False) -> DataFrame:
     """``left.join(right, on, how)`` broadcasting ``right`` only when proven small.
 
     ``right`` is the side kept whole in memory; for a left outer join that is
-    the only side Spark can build from anyway."""
+    the only side Spark can build from anyway.  With ``null_safe`` NULL keys
+    match each other (``<=>``), as in a grouping."""
     decision = decide_broadcast(right, max_rows, max_bytes)
     side = F.broadcast(right) if decision.broadcast else right
-    return left.join(side, on=list(on), how=how)
+    if not null_safe:
+        return left.join(side, on=list(on), how=how)
+    renamed = {c: f"__strata_r_{c}" for c in on}
+    side = side.withColumnsRenamed(renamed)
+    cond = None
+    for c in on:
+        term = left[c].eqNullSafe(side[renamed[c]])
+        cond = term if cond is None else cond & term
+    joined = left.join(side, on=cond, how=how)
+    if how in ("left_semi", "leftsemi", "semi", "left_anti", "leftanti", "anti"):
+        return joined
+    return joined.drop(*renamed.values())

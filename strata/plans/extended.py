@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.audit import INGESTION_TIME
+from strata.operators.history import validity_ranges
 from strata.operators.merge import apply_changes, upsert
 from strata.operators.quality import REJECT_REASON, clean_with_rejects, column_metrics
 from strata.operators.summarise import summarise
@@ -118,6 +119,14 @@ def apply_order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(target)
 
 
+def customer_order_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's orders as versions with validity ranges (next order
+    date of the same customer, NULL for the current one)."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_custkey", "o_orderdate", "o_orderkey", "o_orderstatus", "o_orderpriority")
+    return validity_ranges(orders, ["o_custkey"], "o_orderdate", tie_break=["o_orderkey"])
+
+
 def bucketed_sales_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned tables bucketed by key; sales by company read from them."""
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -150,6 +159,7 @@ QUERIES = {
     "stream_incremental_load": stream_incremental_load,
     "upsert_orders": upsert_orders,
     "apply_order_changes": apply_order_changes,
+    "customer_order_history": customer_order_history,
     "bucketed_sales_by_customer": bucketed_sales_by_customer,
     "pipeline_rerun": pipeline_rerun,
 }
@@ -196,6 +206,10 @@ select o_orderkey, o_custkey, o_totalprice from orders
 where o_orderkey not in (select o_orderkey from last)
 union all
 select o_orderkey, o_custkey, o_totalprice from last where op <> 'D'""",
+        "customer_order_history": """select o_custkey, o_orderdate, o_orderkey, o_orderstatus, o_orderpriority,
+  lead(o_orderdate) over w as valid_to, lead(o_orderdate) over w is null as is_current
+from orders
+window w as (partition by o_custkey order by o_orderdate asc nulls first, o_orderkey asc nulls first)""",
         "bucketed_sales_by_customer": base["summary_sales_by_customer"],
         "pipeline_rerun": base["pipeline_end_to_end"],
     }

@@ -97,3 +97,24 @@ def test_summary_spec_catalogue_is_consistent():
         if spec.join:
             assert spec.join.table in cat.CLEAN_SPECS
             assert cat.CLEAN_SPECS[spec.join.table].keys == spec.join.on
+
+
+@pytest.mark.parametrize("rows_per_slice", [1_000_000, 40, 3])
+def test_validity_ranges_match_lead_with_hot_and_null_keys(spark, rows_per_slice):
+    from oracle_compare import compare, duck
+
+    from strata.operators.history import validity_ranges
+
+    sf = "/root/testdata/sf0.001"
+    con = duck(sf)
+    con.execute("""create or replace view hist as select
+        case when o_orderkey % 3 = 0 then 7 when o_orderkey % 7 = 0 then null else o_custkey end as k,
+        o_orderdate as v, o_orderkey as t from orders""")
+    df = spark.read.parquet(f"{sf}/orders.parquet").select(
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit(7))
+         .when(F.col("o_orderkey") % 7 == 0, F.lit(None)).otherwise(F.col("o_custkey")).alias("k"),
+        F.col("o_orderdate").alias("v"), F.col("o_orderkey").alias("t"))
+    out = validity_ranges(df, ["k"], "v", ["t"], rows_per_slice=rows_per_slice)
+    r = compare(out, con, """select k, v, t, lead(v) over w as valid_to, lead(v) over w is null as is_current
+        from hist window w as (partition by k order by v asc nulls first, t asc nulls first)""")
+    assert r["rows_ok"] and r["hash_ok"], r["diff"]
