@@ -3,14 +3,17 @@
 Each table is one Spark job written through ``publish``; the only hand-over
 between layers is the published tables, so every layer starts from a
 short lineage (a table scan) and a lost executor only re-runs tasks of the
-current table's job.  Tables of a layer run one after another, and the first
-failure stops the layer (the reference behaviour).
+current table's job.  By default tables of a layer run one after another
+and the first failure stops the layer (the reference behaviour);
+``max_parallel`` runs a layer's independent tables as concurrent jobs.
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -26,6 +29,8 @@ from strata.sinks.tables import ensure_schema, publish, qualified_name, reset_ta
 from strata.sources.retry import RetryPolicy, with_retry
 from strata.specs import CleanSpec, LoadSpec, SummarySpec
 
+T = TypeVar("T")
+
 
 @dataclass(frozen=True)
 class LayerConfig:
@@ -44,6 +49,8 @@ class LayerConfig:
     # bucket cleaned tables by their key (X9): joins and aggregates on the key
     # then read them without a shuffle on that side
     cleaned_buckets: int | None = None
+    # tables of one layer run as concurrent Spark jobs (1 = one after another)
+    max_parallel: int = 1
     retry: RetryPolicy = field(default_factory=RetryPolicy)
 
     def name(self, layer: str, table: str) -> str:
@@ -80,6 +87,25 @@ def _write(spark: SparkSession, config: LayerConfig, layer: str, table: str, df:
     return name
 
 
+def run_each(tasks: Sequence[Callable[[], T]], max_parallel: int = 1) -> list[T]:
+    """Run independent table jobs; results in task order.
+
+    One at a time, the first failure stops the rest.  With ``max_parallel`` >
+    1 the tasks are submitted from driver threads as concurrent Spark jobs;
+    on the first failure the tasks not yet started are cancelled and the
+    error is raised once the running ones have finished."""
+    if max_parallel <= 1 or len(tasks) <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=min(max_parallel, len(tasks))) as pool:
+        futures = [pool.submit(t) for t in tasks]
+        try:
+            return [f.result() for f in futures]
+        except BaseException:
+            for f in futures:
+                f.cancel()
+            raise
+
+
 def run_raw_layer(spark: SparkSession, config: LayerConfig,
                   loads: Sequence[LoadSpec]) -> list[TableRun]:
     """Load each source and publish it with ``_ingestion_time``.
@@ -87,11 +113,12 @@ def run_raw_layer(spark: SparkSession, config: LayerConfig,
     The retry covers the read **and** the write of one table: with JDBC the
     rows are only fetched when the write runs, so a transient outage shows
     up there, not when the reader is defined."""
-    runs = []
-    for spec in loads:
+    ensure_schema(spark, config.catalog, config.raw)
+
+    def load(spec: LoadSpec) -> TableRun:
         t0 = time.perf_counter()
 
-        def attempt(spec=spec):
+        def attempt():
             # rows written, counted by the write job itself (no second scan);
             # a fresh observation per attempt
             obs = Observation()
@@ -100,8 +127,9 @@ def run_raw_layer(spark: SparkSession, config: LayerConfig,
             return obs.get.get("rows")
 
         rows, attempts = with_retry(attempt, config.retry)
-        runs.append(TableRun(config.raw, spec.target, time.perf_counter() - t0, attempts, rows))
-    return runs
+        return TableRun(config.raw, spec.target, time.perf_counter() - t0, attempts, rows)
+
+    return run_each([lambda s=s: load(s) for s in loads], config.max_parallel)
 
 
 def clean_table(spark: SparkSession, config: LayerConfig, table: str,
@@ -122,7 +150,14 @@ def clean_table(spark: SparkSession, config: LayerConfig, table: str,
 def run_clean_layer(spark: SparkSession, config: LayerConfig,
                     tables: Iterable[str] = cat.CLEAN_ORDER,
                     specs: dict[str, CleanSpec] | None = None) -> list[TableRun]:
-    return [clean_table(spark, config, t, specs) for t in tables]
+    specs = cat.CLEAN_SPECS if specs is None else specs
+    tables = list(tables)
+    unknown = [t for t in tables if t not in specs]
+    if unknown:
+        raise ValueError(f"no cleaning rule for table {unknown[0]!r}")
+    ensure_schema(spark, config.catalog, config.cleaned)
+    return run_each([lambda t=t: clean_table(spark, config, t, specs) for t in tables],
+                    config.max_parallel)
 
 
 def build_summary(spark: SparkSession, config: LayerConfig, spec: SummarySpec) -> DataFrame:
@@ -137,13 +172,15 @@ def run_summary_layer(spark: SparkSession, config: LayerConfig,
                       names: Iterable[str] = cat.SUMMARY_ORDER,
                       specs: dict[str, SummarySpec] | None = None) -> list[TableRun]:
     specs = cat.SUMMARY_SPECS if specs is None else specs
-    runs = []
-    for n in names:
+    ensure_schema(spark, config.catalog, config.aggregated)
+
+    def build(n: str) -> TableRun:
         t0 = time.perf_counter()
         _write(spark, config, config.aggregated, n, build_summary(spark, config, specs[n]),
                config.aggregated_policy)
-        runs.append(TableRun(config.aggregated, n, time.perf_counter() - t0))
-    return runs
+        return TableRun(config.aggregated, n, time.perf_counter() - t0)
+
+    return run_each([lambda n=n: build(n) for n in names], config.max_parallel)
 
 
 def run_pipeline(spark: SparkSession, config: LayerConfig,

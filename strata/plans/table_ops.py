@@ -26,11 +26,15 @@ from strata.sources.fixtures import RAW_VIEWS, raw_ctes, table
 from strata.sources.retry import RetryPolicy, TRANSIENT_MESSAGE
 
 
+# tables of a layer published as concurrent jobs in the registered queries
+PARALLEL_TABLES = 5
+
+
 def workspace(tag: str) -> LayerConfig:
     """Layer schemas unique to one call: ``strata_<tag>_<id>_{bronze,silver,gold}``."""
     run = f"strata_{tag}_{uuid.uuid4().hex[:10]}"
     return LayerConfig(raw=f"{run}_{cat.RAW}", cleaned=f"{run}_{cat.CLEANED}",
-                       aggregated=f"{run}_{cat.AGGREGATED}")
+                       aggregated=f"{run}_{cat.AGGREGATED}", max_parallel=PARALLEL_TABLES)
 
 
 def fixture_loads(sf_dir: str):
