@@ -28,16 +28,19 @@ REQUIRED_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "strata") -> SparkSession:
+                  app_name: str = "strata", driver_memory: str | None = None,
+                  warehouse_dir: str | None = None) -> SparkSession:
     """A local session for tests and benchmarks (UI off, UTC, AQE on)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", driver_memory or os.environ.get("STRATA_DRIVER_MEMORY", "4g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if warehouse_dir:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse_dir)
     for key, value in REQUIRED_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
