@@ -138,23 +138,46 @@ def publish(df: DataFrame, name: str, schema_policy: str = "merge",
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     target_in_schema = ".".join(quote(p) for p in parts[-2:]) if len(parts) >= 2 else quote(parts[-1])
     spark.sql(f"ALTER TABLE {staging} RENAME TO {target_in_schema}")
+    if partition_by:
+        # partition entries still name the staging folders: re-read them from
+        # the table's own folder
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     return name
 
 
+def table_layout(spark: SparkSession, name: str) -> tuple[list[str], tuple[int, list[str]] | None]:
+    """``(partition columns, (buckets, bucket columns) or None)`` from the catalog."""
+    cols = spark.catalog.listColumns(name)
+    parts = [c.name for c in cols if c.isPartition]
+    bucket_cols = [c.name for c in cols if c.isBucket]
+    if not bucket_cols:
+        return parts, None
+    info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    return parts, (int(info["Num Buckets"]), bucket_cols)
+
+
 def compact_table(spark: SparkSession, name: str, table_format: str = "parquet",
                   target_files: int | None = None) -> str:
-    """Rewrite a table into fewer, evenly sized files; rows unchanged.
+    """Rewrite a table into fewer, evenly sized files; rows and layout unchanged.
 
     Delta: ``OPTIMIZE``.  Other formats: rewrite through a ``rebalance``
     hint (AQE sizes the output partitions to
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes``), or to exactly
-    ``target_files`` files when given."""
+    ``target_files`` files when given; partition and bucket columns are kept
+    (a partitioned table is rebalanced by its partition columns)."""
     if table_format == "delta":
         spark.sql(f"OPTIMIZE {name}")
         return name
+    partition_by, bucket_by = table_layout(spark, name)
     df = spark.table(name)
-    df = df.repartition(target_files) if target_files else df.hint("rebalance")
-    return publish(df, name, schema_policy="strict", table_format=table_format)
+    if target_files:
+        df = df.repartition(target_files, *partition_by) if partition_by else df.repartition(target_files)
+    elif partition_by:
+        df = df.hint("rebalance", *partition_by)
+    else:
+        df = df.hint("rebalance")
+    return publish(df, name, schema_policy="strict", table_format=table_format,
+                   partition_by=partition_by, bucket_by=bucket_by)
 
 
 def reset_tables(spark: SparkSession, names: Iterable[str]) -> list[str]:

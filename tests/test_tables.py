@@ -137,3 +137,50 @@ def test_published_aggregate_keeps_sorted_order_and_types(spark, sf_small):
     assert types == {"OrderDateKey": "date", "Total_Orders": "bigint", "Total_Revenue": "decimal(29,4)"}
     by_color = spark.table(config.aggregated_table(cat.BY_COLOR))
     assert by_color.schema["Average_List_Price"].dataType.simpleString() == "decimal(23,8)"
+
+
+def test_partitioned_publish_prunes_partitions(spark):
+    name = _name(spark)
+    df = spark.range(100).select((F.col("id") % 4).alias("p"), F.col("id"))
+    publish(df, name, partition_by=["p"])
+    q = spark.table(name).filter("p = 2")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(p" in plan and "(p#" in plan
+    assert sorted(r.id for r in q.collect()) == list(range(2, 100, 4))
+
+
+def test_bucketed_publish_keeps_bucket_spec(spark):
+    name = _name(spark)
+    publish(spark.range(100).withColumnRenamed("id", "k"), name, bucket_by=(4, ["k"]))
+    plan = spark.table(name).groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan          # grouped by the bucket key: no shuffle
+
+
+def test_null_safe_checked_join(spark):
+    from strata.operators.joins import checked_join
+
+    left = spark.createDataFrame([(None, 1), (2, 2)], "k long, v long")
+    right = spark.createDataFrame([(None, "n"), (2, "two")], "k long, w string")
+    plain = sorted(map(tuple, checked_join(left, right, ["k"], "left").collect()), key=str)
+    safe = sorted(map(tuple, checked_join(left, right, ["k"], "left", null_safe=True).collect()), key=str)
+    assert plain == sorted([(None, 1, None), (2, 2, "two")], key=str)
+    assert safe == sorted([(None, 1, "n"), (2, 2, "two")], key=str)
+    semi = checked_join(left, right, ["k"], "left_semi", null_safe=True)
+    assert semi.count() == 2 and semi.columns == ["k", "v"]
+
+
+def test_compaction_keeps_partitions_and_buckets(spark):
+    from strata.sinks.tables import table_layout
+
+    name = _name(spark)
+    df = spark.range(400).select((F.col("id") % 4).alias("p"), F.col("id"))
+    publish(df.repartition(16), name, partition_by=["p"])
+    compact_table(spark, name)
+    assert table_layout(spark, name) == (["p"], None)
+    assert spark.table(name).filter("p = 3").count() == 100
+
+    name2 = _name(spark)
+    publish(spark.range(100).withColumnRenamed("id", "k").repartition(8), name2, bucket_by=(4, ["k"]))
+    compact_table(spark, name2)
+    assert table_layout(spark, name2) == ([], (4, ["k"]))
+    assert spark.table(name2).count() == 100
