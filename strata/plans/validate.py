@@ -71,43 +71,37 @@ def _required_missing(spec: CleanSpec) -> Column:
 def reconcile_clean(raw: DataFrame, spec: CleanSpec, label: str | None = None) -> DataFrame:
     """Raw -> cleaned accounting: ``input = duplicates + rejected + output``.
 
-    ``duplicates`` are rows dropped by the dedupe, ``rejected`` the kept rows
-    lacking a required value.  Two aggregates (raw rows; deduped rows) are
-    folded into one row by a union on the table label."""
+    ``duplicates`` are rows dropped by the dedupe, ``rejected`` rows dropped
+    for a missing required value.  Two one-row aggregates (over the raw rows
+    and over the deduped rows) are folded into one row by a union on the
+    table label."""
     label = label or spec.name
-    deduped = raw if spec.dedupe_after_filter else dedupe(raw, spec.keys, spec.tie_break)
+    zero = F.lit(0).cast("long")
+    missing = _required_missing(spec)
     if spec.dedupe_after_filter:
-        # filter first, then dedupe: rejected are raw rows, duplicates the rest
-        passed = raw.filter(~_required_missing(spec))
-        kept = dedupe(passed, spec.keys, spec.tie_break)
-        parts = [
-            raw.agg(F.count(F.lit(1)).alias("input"),
-                    F.count_if(_required_missing(spec)).alias("rejected"),
-                    F.lit(0).cast("long").alias("kept")),
-            kept.agg(F.lit(0).cast("long").alias("input"), F.lit(0).cast("long").alias("rejected"),
-                     F.count(F.lit(1)).alias("kept")),
-        ]
-        folded = _union([p.withColumn("table", F.lit(label)) for p in parts]).groupBy("table").agg(
-            F.sum("input").alias("input"), F.sum("rejected").alias("rejected"),
-            F.sum("kept").alias("output"))
-        return folded.select(
-            "table", "input",
-            (F.col("input") - F.col("rejected") - F.col("output")).alias("duplicates"),
-            "rejected", "output")
-    parts = [
-        raw.agg(F.count(F.lit(1)).alias("input"), F.lit(0).cast("long").alias("kept"),
-                F.lit(0).cast("long").alias("rejected")),
-        deduped.agg(F.lit(0).cast("long").alias("input"), F.count(F.lit(1)).alias("kept"),
-                    F.count_if(_required_missing(spec)).alias("rejected")),
-    ]
+        # filter first: rejected are raw rows, the dedupe sees the rest
+        kept = dedupe(raw.filter(~missing), spec.keys, spec.tie_break)
+        parts = [raw.agg(F.count(F.lit(1)).alias("input"), F.count_if(missing).alias("rejected"),
+                         zero.alias("kept")),
+                 kept.agg(zero.alias("input"), zero.alias("rejected"),
+                          F.count(F.lit(1)).alias("kept"))]
+    else:
+        deduped = dedupe(raw, spec.keys, spec.tie_break)
+        parts = [raw.agg(F.count(F.lit(1)).alias("input"), zero.alias("rejected"),
+                         zero.alias("kept")),
+                 deduped.agg(zero.alias("input"), F.count_if(missing).alias("rejected"),
+                             F.count(F.lit(1)).alias("kept"))]
     folded = _union([p.withColumn("table", F.lit(label)) for p in parts]).groupBy("table").agg(
-        F.sum("input").alias("input"), F.sum("kept").alias("kept"),
-        F.sum("rejected").alias("rejected"))
-    return folded.select(
-        "table", "input",
-        (F.col("input") - F.col("kept")).alias("duplicates"),
-        "rejected",
-        (F.col("kept") - F.col("rejected")).alias("output"))
+        F.sum("input").alias("input"), F.sum("rejected").alias("rejected"),
+        F.sum("kept").alias("kept"))
+    if spec.dedupe_after_filter:
+        output = F.col("kept")
+        duplicates = F.col("input") - F.col("rejected") - F.col("kept")
+    else:
+        output = F.col("kept") - F.col("rejected")
+        duplicates = F.col("input") - F.col("kept")
+    return folded.select("table", "input", duplicates.alias("duplicates"), "rejected",
+                         output.alias("output"))
 
 
 def reconcile_totals(headers: DataFrame, summaries: dict[str, DataFrame],

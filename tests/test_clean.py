@@ -81,3 +81,17 @@ def test_dedupe_plan_limits_before_shuffle(spark):
     plan = dedupe(df, ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_reconcile_both_orders(spark):
+    from strata.plans.validate import reconcile_clean
+
+    df = spark.createDataFrame([(1, None, 0), (1, "a", 1), (2, "b", 0), (2, "b", 0), (3, None, 0)],
+                               "k long, v string, s int")
+    ref = CleanSpec(name="t", keys=("k",), required=("v",), tie_break=("s",))
+    (r,) = reconcile_clean(df, ref).collect()
+    assert (r.input, r.duplicates, r.rejected, r.output) == (5, 2, 2, 1)
+    opt = CleanSpec(name="t", keys=("k",), required=("v",), tie_break=("s",), dedupe_after_filter=True)
+    (r,) = reconcile_clean(df, opt).collect()
+    assert (r.input, r.duplicates, r.rejected, r.output) == (5, 1, 2, 2)
+    assert clean(df, opt).count() == r.output and clean(df, ref).count() == 1
