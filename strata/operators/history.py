@@ -11,8 +11,8 @@ key's versions are cut into slices of at most about ``rows_per_slice`` rows:
    keys over the limit are *hot*, and there are at most
    ``rows / rows_per_slice`` of them;
 2. for each hot key, approximate quantiles of its version values give the
-   slice bounds (one small row per hot key, checkpointed once, broadcast
-   after a size check);
+   slice bounds (one small row per hot key, checkpointed once; broadcast
+   when the hot-key count, a bound known by construction, allows);
    a row's slice is the number of its key's bounds at or below its version,
    a pure function of the row, so every recomputation agrees;
 3. ``lead()`` runs within ``(key, slice)``; the last version of a slice gets
@@ -44,24 +44,43 @@ _NEXT_HEAD = "__strata_next_head"
 
 
 def _slice_bounds(df: DataFrame, keys: Sequence[str], version: str,
-                  rows_per_slice: int) -> DataFrame | None:
-    """``(keys..., bounds array)`` for hot keys, or ``None`` when none is hot."""
+                  rows_per_slice: int) -> tuple[DataFrame, int, int] | None:
+    """``(bounds, hot keys, slices per key)`` where ``bounds`` holds
+    ``(keys..., bounds array)`` per hot key, or ``None`` when none is hot.
+
+    The hot keys and the bounds are written once to the shared checkpoint
+    folder: approximate quantiles depend on the order partial sketches are
+    merged, and every branch and every retried task must see the same."""
+    ensure_checkpoint_dir(df.sparkSession)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))
-    hot = counts.filter(F.col(_N) > rows_per_slice)
-    top = hot.agg(F.max(_N).alias("m")).first()["m"]
-    if top is None:
+    hot = counts.filter(F.col(_N) > rows_per_slice).checkpoint(eager=True)
+    stats = hot.agg(F.count(F.lit(1)).alias("k"), F.max(_N).alias("m")).first()
+    if not stats["k"]:
         return None
-    pieces = -(-int(top) // rows_per_slice)               # ceil
+    pieces = -(-int(stats["m"]) // rows_per_slice)               # ceil
     cuts = [i / pieces for i in range(1, pieces)]
     hot_rows = checked_join(df.select(*keys, version), hot.select(*keys), keys, "left_semi",
-                             null_safe=True)
+                            null_safe=True)
     accuracy = max(10_000, 4 * pieces)
     bounds = hot_rows.groupBy(*keys).agg(F.percentile_approx(version, cuts, accuracy).alias(_BOUNDS))
-    # Approximate quantiles depend on the order partial sketches are merged;
-    # the bounds are written once (one small row per hot key) to the shared
-    # checkpoint folder so every branch and every retried task sees the same.
-    ensure_checkpoint_dir(df.sparkSession)
-    return bounds.checkpoint(eager=True)
+    return bounds.checkpoint(eager=True), int(stats["k"]), pieces
+
+
+def _join_small(left: DataFrame, small: DataFrame, on: Sequence[str], how: str,
+                rows_bound: int) -> DataFrame:
+    """Join a side whose row count is bounded by construction: broadcast it
+    when that bound is within the broadcast limit, else shuffle both."""
+    from strata.operators.joins import DEFAULT_MAX_ROWS
+
+    side = F.broadcast(small) if rows_bound <= DEFAULT_MAX_ROWS else small
+    renamed = {c: f"__strata_r_{c}" for c in on}
+    side = side.withColumnsRenamed(renamed)
+    cond = None
+    for c in on:
+        term = left[c].eqNullSafe(side[renamed[c]])
+        cond = term if cond is None else cond & term
+    out = left.join(side, on=cond, how=how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*renamed.values())
 
 
 def validity_ranges(df: DataFrame, keys: Sequence[str], version: str,
@@ -73,29 +92,32 @@ def validity_ranges(df: DataFrame, keys: Sequence[str], version: str,
     Versions are ordered by ``version`` then ``tie_break``, ascending with
     NULL first.  ``version`` must be numeric, a date or a timestamp."""
     order = [F.col(c).asc_nulls_first() for c in [version, *tie_break]]
-    bounds = _slice_bounds(df, keys, version, rows_per_slice)
-    if bounds is None:
+    found = _slice_bounds(df, keys, version, rows_per_slice)
+    if found is None:
         sliced = df.withColumn(_SLICE, F.lit(0))
     else:
+        bounds, n_hot, pieces = found
         v = F.col(version)
         slice_of = F.coalesce(F.size(F.filter(F.col(_BOUNDS), lambda b: b <= v)), F.lit(0))
-        sliced = (checked_join(df, bounds, keys, "left", null_safe=True)
+        # one row per hot key: bounded by construction
+        sliced = (_join_small(df, bounds, keys, "left", n_hot)
                   .withColumn(_SLICE, F.when(v.isNull(), F.lit(0)).otherwise(slice_of))
                   .drop(_BOUNDS))
 
     inner = Window.partitionBy(*keys, _SLICE).orderBy(*order)
     with_next = sliced.withColumn(_NEXT, F.lead(version).over(inner))
-    if bounds is None:
+    if found is None:
         out = with_next.withColumn(valid_to, F.col(_NEXT))
     else:
         # first version of every slice of a hot key, and of the key's next slice
-        hot_slices = checked_join(sliced, bounds.select(*keys), keys, "left_semi", null_safe=True)
+        hot_slices = _join_small(sliced, bounds.select(*keys), keys, "left_semi", n_hot)
         heads = hot_slices.groupBy(*keys, _SLICE).agg(
             F.min(F.struct(*[F.col(c) for c in [version, *tie_break]])).alias(_HEAD))
         heads = heads.withColumn(
             _NEXT_HEAD, F.lead(F.col(f"{_HEAD}.{version}")).over(Window.partitionBy(*keys).orderBy(_SLICE))
         ).select(*keys, _SLICE, _NEXT_HEAD)
-        out = (checked_join(with_next, heads, [*keys, _SLICE], "left", null_safe=True)
+        # at most one row per hot-key slice
+        out = (_join_small(with_next, heads, [*keys, _SLICE], "left", n_hot * (pieces + 1))
                .withColumn(valid_to, F.coalesce(F.col(_NEXT), F.col(_NEXT_HEAD))))
     return (out.withColumn(is_current, F.col(valid_to).isNull())
             .drop(_SLICE, _NEXT, _NEXT_HEAD))
