@@ -295,7 +295,8 @@ union all select '{cat.CLEANED}', 5 union all select '{cat.AGGREGATED}', 4""",
         "reconcile_summary": cleaned_ctes("s_customers", "s_headers") + f"""
 , t as (select count(distinct SalesOrderID) as o, cast(sum(TotalDue) as double) as r from s_headers)
 select '{cat.SALES_BY_CUSTOMER}' as summary, o as summary_orders, o as input_orders,
-  cast(0 as bigint) as diff_orders, r as summary_revenue, r as input_revenue, 0.0 as diff_revenue from t
+  cast(0 as bigint) as diff_orders, r as summary_revenue, r as input_revenue,
+  cast(0 as double) as diff_revenue from t
 union all
-select '{cat.SALES_BY_DAY}', o, o, 0, r, r, 0.0 from t""",
+select '{cat.SALES_BY_DAY}', o, o, 0, r, r, cast(0 as double) from t""",
     }
