@@ -60,3 +60,18 @@ def read_jdbc(spark: SparkSession, source: JdbcSource) -> DataFrame:
 def jdbc_reader(source: JdbcSource) -> Callable[[SparkSession], DataFrame]:
     """A ``LoadSpec.reader`` for ``source``."""
     return lambda spark: read_jdbc(spark, source)
+
+
+def with_bounds(spark: SparkSession, source: JdbcSource, column: str,
+                num_partitions: int) -> JdbcSource:
+    """``source`` split into ``num_partitions`` range reads on ``column``, with
+    the bounds asked from the database (``min``/``max``, one small query)."""
+    bounds_query = f"select min({column}) as lo, max({column}) as hi from {source.table}"
+    props = {k: v for k, v in source.options().items() if k not in ("dbtable", "url")}
+    row = (spark.read.format("jdbc").option("url", source.url).option("query", bounds_query)
+           .options(**props).load().first())
+    if row is None or row["lo"] is None:
+        return source
+    return JdbcSource(url=source.url, table=source.table, properties=source.properties,
+                      partition_column=column, lower_bound=row["lo"], upper_bound=row["hi"],
+                      num_partitions=num_partitions, fetch_size=source.fetch_size)
