@@ -27,6 +27,9 @@ def table_list(spark: SparkSession, catalog: str | None, layers: Sequence[str])
     rows = []
     for layer in layers:
         ns = f"{catalog}.{layer}" if catalog else layer
+        if not spark.catalog.databaseExists(ns):
+            rows.append((layer, 0))
+            continue
         names = [t.name for t in spark.catalog.listTables(ns) if not t.isTemporary
                  and not t.name.endswith("__staging")]
         rows.append((layer, len(names)))
