@@ -10,7 +10,7 @@ very table it replaces.  With Delta installed, use ``MERGE INTO`` instead.
 ``apply_changes``: a change feed holds ``(key, sequence, op, columns...)``
 rows; the last change per key wins (the deterministic dedupe, latest first,
 with its pre-shuffle partial limit), deletes remove the key, the rest are
-upserted.
+upserted.  NULL keys count as equal, as in the dedupe.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFr
 
     ``updates`` must be unique on ``keys`` (dedupe it first otherwise)."""
     updates = updates.select(*target.columns)
-    kept = checked_join(target, updates.select(*keys), keys, "left_anti")
+    kept = checked_join(target, updates.select(*keys), keys, "left_anti", null_safe=True)
     return kept.unionByName(updates)
 
 
@@ -44,6 +44,6 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str], se
                   op: str = "op", delete_value: str = "D") -> DataFrame:
     """New content of ``target`` after applying a change feed."""
     last = latest_changes(changes, keys, sequence)
-    touched = checked_join(target, last.select(*keys), keys, "left_anti")
+    touched = checked_join(target, last.select(*keys), keys, "left_anti", null_safe=True)
     upserts = last.filter(~F.col(op).eqNullSafe(F.lit(delete_value))).select(*target.columns)
     return touched.unionByName(upserts)

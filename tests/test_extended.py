@@ -118,3 +118,10 @@ def test_validity_ranges_match_lead_with_hot_and_null_keys(spark, rows_per_slice
     r = compare(out, con, """select k, v, t, lead(v) over w as valid_to, lead(v) over w is null as is_current
         from hist window w as (partition by k order by v asc nulls first, t asc nulls first)""")
     assert r["rows_ok"] and r["hash_ok"], r["diff"]
+
+
+def test_upsert_null_key_replaces_null_key(spark):
+    target = spark.createDataFrame([(None, "old"), (1, "a")], "k long, v string")
+    updates = spark.createDataFrame([(None, "new")], "k long, v string")
+    out = sorted(map(tuple, upsert(target, updates, ["k"]).collect()), key=str)
+    assert out == sorted([(None, "new"), (1, "a")], key=str)
