@@ -21,7 +21,7 @@ from strata.plans.pipeline import (LayerConfig, all_tables, loads_from, reset_pi
                                    run_summary_layer)
 from strata.plans.queries import raw
 from strata.plans.validate import reconcile_clean, reconcile_totals, row_counts, schema_of, table_list
-from strata.sinks.tables import compact_table, ensure_schema, publish, qualified_name
+from strata.sinks.tables import compact_table, ensure_schema, publish
 from strata.sources.fixtures import RAW_VIEWS, raw_ctes, table
 from strata.sources.retry import RetryPolicy, TRANSIENT_MESSAGE
 
