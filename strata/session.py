@@ -60,13 +60,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
     as it is.  Only when it is unset (tests, local runs) a scratch folder
-    is made for this process.
+    is made for this process.  A Spark Connect session has no
+    ``sparkContext``; there the server's setting is returned as it is.
     """
-    current = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: checkpointing is configured server-side
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
+    current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="strata-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir() or configured
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
