@@ -36,3 +36,22 @@ def test_cli_pipeline_validate_reset(spark, sf_small, capsys):
     assert main(["reset", *schemas]) == 0
     main(["validate", *schemas])
     assert capsys.readouterr().out.count('"n_tables": 0') == 3
+
+
+def test_layer_objects(spark, sf_small):
+    from strata.plans.layers import CleanLayer, RawLayer, SummaryLayer
+    from strata.plans.table_ops import fixture_loads, workspace
+
+    config = workspace("layers")
+    runs = RawLayer(spark, config).load_from(fixture_loads(sf_small))
+    assert [r.rows for r in runs] == [180, 14, 250, 2000, 6000]
+    import pytest
+    with pytest.raises(ValueError):
+        CleanLayer(spark, config).run("not_a_table")
+    assert len(CleanLayer(spark, config).run_many()) == 5
+    summary = SummaryLayer(spark, config)
+    assert summary.build("sales_summary_by_day").count() > 0
+    assert len(summary.run()) == 4
+    # a JDBC load spec is built from server and database names (not run: no database here)
+    spec = RawLayer(spark, config, properties={"user": "u"})._spec("h", "db", "SalesLT.Customer", "t")
+    assert spec.source_name == "SalesLT.Customer" and spec.target == "t"
