@@ -31,7 +31,7 @@ def table_list(spark: SparkSession, catalog: str | None, layers: Sequence[str])
             rows.append((layer, 0))
             continue
         names = [t.name for t in spark.catalog.listTables(ns) if not t.isTemporary
-                 and not t.name.endswith("__staging")]
+                 and "__staging" not in t.name]
         rows.append((layer, len(names)))
     schema = StructType([StructField("layer", StringType(), False),
                          StructField("n_tables", LongType(), False)])

@@ -1,7 +1,7 @@
 """Catalog tables: names, schemas (layers), publishing, compaction, reset.
 
 Publishing replaces a table's rows.  The new rows are first written to a
-staging table next to the target; only when that write has finished (every
+staging table next to the target (a new name per call); only when that write has finished (every
 task committed, lost executors retried by Spark) is the old table dropped
 and the staging table renamed into place.  A failed write therefore leaves
 the old rows intact, and a plan may read the very table it replaces (which
@@ -19,6 +19,7 @@ Schema policy on replace:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -124,16 +125,21 @@ def publish(df: DataFrame, name: str, schema_policy: str = "merge",
         return name
 
     parts = split_name(name)
-    staging_parts = parts[:-1] + [parts[-1] + STAGING_SUFFIX]
+    # A staging name of its own per call: a failed write job leaves its (empty)
+    # folder behind without a catalog entry, and a retry must not collide with it.
+    staging_parts = parts[:-1] + [f"{parts[-1]}{STAGING_SUFFIX}_{uuid.uuid4().hex[:12]}"]
     staging = ".".join(quote(p) for p in staging_parts)
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
     writer = out.write.format(table_format).mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by is not None:
         n, cols = bucket_by
         writer = writer.bucketBy(n, *cols).sortBy(*cols)
-    writer.saveAsTable(staging)
+    try:
+        writer.saveAsTable(staging)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+        raise
     # the new rows are committed; swap them in
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     target_in_schema = ".".join(quote(p) for p in parts[-2:]) if len(parts) >= 2 else quote(parts[-1])

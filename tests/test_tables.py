@@ -184,3 +184,26 @@ def test_compaction_keeps_partitions_and_buckets(spark):
     compact_table(spark, name2)
     assert table_layout(spark, name2) == ([], (4, ["k"]))
     assert spark.table(name2).count() == 100
+
+
+def test_retry_covers_the_write(spark):
+    from dataclasses import replace
+
+    from strata.plans.pipeline import run_raw_layer
+    from strata.specs import LoadSpec
+
+    calls = []
+
+    def reader(s):
+        calls.append(1)
+        df = s.range(50)
+        if len(calls) == 1:
+            # the read is fine; the rows fail while the write job runs
+            df = df.withColumn("id", F.when(F.col("id") >= 0, F.raise_error(
+                F.lit("source is not currently available"))).otherwise(F.col("id")))
+        return df
+
+    config = replace(workspace("retrywrite"), retry=RetryPolicy(delay_seconds=0, sleep=lambda s: None))
+    (run,) = run_raw_layer(spark, config, [LoadSpec(target="t", reader=reader)])
+    assert run.attempts == 2 and run.rows == 50
+    assert spark.table(config.raw_table("t")).count() == 50
