@@ -125,3 +125,34 @@ def test_upsert_null_key_replaces_null_key(spark):
     updates = spark.createDataFrame([(None, "new")], "k long, v string")
     out = sorted(map(tuple, upsert(target, updates, ["k"]).collect()), key=str)
     assert out == sorted([(None, "new"), (1, "a")], key=str)
+
+
+def test_failed_incremental_append_commits_nothing_and_rerun_completes(spark):
+    db = f"inc_{uuid.uuid4().hex[:8]}"
+    ensure_schema(spark, "spark_catalog", db)
+    target = qualified_name("spark_catalog", db, "t")
+    src = spark.range(20).withColumn("v", F.col("id") * 2)
+    incremental_load(spark, src.filter("id < 10"), target, "id")
+    broken = src.withColumn("v", F.when(F.col("id") >= 15, F.raise_error(F.lit("lost"))).otherwise(F.col("v")))
+    with pytest.raises(Exception):
+        incremental_load(spark, broken, target, "id")
+    assert spark.table(target).count() == 10          # the failed job committed no file
+    incremental_load(spark, src, target, "id")
+    assert sorted(r.id for r in spark.table(target).collect()) == list(range(20))
+
+
+def test_parallel_layer_run_raises_first_failure(spark):
+    from dataclasses import replace
+
+    from strata.plans.pipeline import run_raw_layer
+    from strata.plans.table_ops import workspace
+    from strata.specs import LoadSpec
+
+    def bad(s):
+        raise ValueError("login failed")
+
+    config = replace(workspace("par"), max_parallel=3)
+    loads = [LoadSpec(target="a", reader=lambda s: s.range(5)), LoadSpec(target="b", reader=bad),
+             LoadSpec(target="c", reader=lambda s: s.range(7))]
+    with pytest.raises(ValueError, match="login failed"):
+        run_raw_layer(spark, config, loads)
