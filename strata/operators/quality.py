@@ -38,8 +38,9 @@ def column_metrics(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     types = {f.name: f.dataType for f in df.schema.fields}
     aggs: list[Column] = [F.count(F.lit(1)).alias("n_rows")]
     for i, c in enumerate(columns):
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"n{i}"))
-        blank = (F.count_if(F.trim(F.col(c)) == "") if isinstance(types[c], StringType)
+        col = F.col("`" + c.replace("`", "``") + "`")
+        aggs.append(F.count_if(col.isNull()).alias(f"n{i}"))
+        blank = (F.count_if(F.trim(col) == "") if isinstance(types[c], StringType)
                  else F.lit(0).cast("long"))
         aggs.append(blank.alias(f"b{i}"))
     wide = df.agg(*aggs)

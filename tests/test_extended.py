@@ -156,3 +156,9 @@ def test_parallel_layer_run_raises_first_failure(spark):
              LoadSpec(target="c", reader=lambda s: s.range(7))]
     with pytest.raises(ValueError, match="login failed"):
         run_raw_layer(spark, config, loads)
+
+
+def test_column_metrics_odd_names(spark):
+    df = spark.createDataFrame([(1, " "), (None, "it's")], "`a.b` long, `c d` string")
+    got = {r.column: (r.n_null, r.n_blank) for r in column_metrics(df).collect()}
+    assert got == {"a.b": (1, 0), "c d": (0, 1)}
