@@ -102,10 +102,18 @@ def _strict(existing: StructType, new: DataFrame) -> DataFrame:
 
 def publish(df: DataFrame, name: str, schema_policy: str = "merge",
             table_format: str = "parquet", partition_by: Sequence[str] = (),
-            bucket_by: tuple[int, Sequence[str]] | None = None) -> str:
-    """Replace the rows of table ``name`` with ``df`` (see module doc)."""
+            bucket_by: tuple[int, Sequence[str]] | None = None,
+            contract: StructType | None = None) -> str:
+    """Replace the rows of table ``name`` with ``df`` (see module doc).
+
+    ``contract`` (declared columns and types) is checked before anything is
+    written; a breach raises and leaves the table as it was."""
     if schema_policy not in ("merge", "strict", "replace"):
         raise ValueError(f"unknown schema policy {schema_policy!r}")
+    if contract is not None:
+        from strata.operators.quality import enforce_contract
+
+        enforce_contract(df, contract)
     spark = df.sparkSession
     exists = table_exists(spark, name)
     out = df

@@ -207,3 +207,16 @@ def test_retry_covers_the_write(spark):
     (run,) = run_raw_layer(spark, config, [LoadSpec(target="t", reader=reader)])
     assert run.attempts == 2 and run.rows == 50
     assert spark.table(config.raw_table("t")).count() == 50
+
+
+def test_publish_checks_contract_before_writing(spark):
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    from strata.operators.quality import ContractViolation
+
+    name = _name(spark)
+    contract = StructType([StructField("id", LongType())])
+    publish(spark.range(3), name, contract=contract)
+    with pytest.raises(ContractViolation):
+        publish(spark.range(5).selectExpr("cast(id as string) as id"), name, contract=contract)
+    assert spark.table(name).count() == 3
