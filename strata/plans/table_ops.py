@@ -290,6 +290,10 @@ select cast(OrderDate as date) as OrderDateKey, count(distinct SalesOrderID) as
 from s_headers group by 1""",
         "validate_table_list": f"""select '{cat.RAW}' as layer, cast(5 as bigint) as n_tables
 union all select '{cat.CLEANED}', 5 union all select '{cat.AGGREGATED}', 4""",
+        "validate_schema": """select cast(0 as bigint) as position, 'CustomerID' as "column", 'bigint' as type
+union all select 1, 'EmailAddress', 'string'
+union all select 2, 'CompanyName', 'string'
+union all select 3, '_ingestion_time', 'timestamp'""",
         "validate_row_counts": all_clean + "\n" + _count_rows(clean_pairs),
         "reconcile_clean": all_clean + "\n" + recon,
         "reconcile_summary": cleaned_ctes("s_customers", "s_headers") + f"""
