@@ -1,6 +1,6 @@
 """Command line: run the layers of the catalogue.
 
-    python -m strata raw      --jdbc-url URL --user U --password-env VAR [--catalog C]
+    python -m strata raw      --jdbc-url URL --user U --password-env VAR [--jdbc-partitions N]
     python -m strata raw      --parquet-dir DIR            (the driver's test tables)
     python -m strata clean    [--tables t1,t2]
     python -m strata summary
@@ -34,12 +34,20 @@ def _loads(args, spark):
 
         return loads_from({t: (lambda s, t=t: RAW_VIEWS[t](s, args.parquet_dir)) for t in RAW_VIEWS})
     if args.jdbc_url:
-        from strata.sources.jdbc import JdbcSource, jdbc_reader
+        from strata.sources.jdbc import JdbcSource, read_jdbc, with_bounds
 
         props = {"user": args.user or "", "password": os.environ.get(args.password_env or "", "")}
-        return loads_from({target: jdbc_reader(JdbcSource(url=args.jdbc_url, table=source,
-                                                          properties=props))
-                           for source, target in cat.SOURCE_TABLES})
+
+        def reader(source: str, target: str):
+            def read(s):
+                src = JdbcSource(url=args.jdbc_url, table=source, properties=props)
+                if args.jdbc_partitions > 1:
+                    # range reads on the table's key (its cleaning key), bounds from the database
+                    src = with_bounds(s, src, cat.CLEAN_SPECS[target].keys[0], args.jdbc_partitions)
+                return read_jdbc(s, src)
+            return read
+
+        return loads_from({target: reader(source, target) for source, target in cat.SOURCE_TABLES})
     sys.exit("raw load needs --parquet-dir or --jdbc-url")
 
 
@@ -54,6 +62,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--jdbc-url")
     p.add_argument("--user")
     p.add_argument("--password-env", help="name of the environment variable holding the password")
+    p.add_argument("--jdbc-partitions", type=int, default=1,
+                   help="parallel range reads per table on its key column (1 = one task)")
     p.add_argument("--tables", help="comma-separated cleaned tables (default: all five)")
     p.add_argument("--parallel", type=int, default=1, help="tables of a layer run at once")
     p.add_argument("--local", action="store_true", help="use a local[*] session")
