@@ -17,8 +17,15 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
+    import os
+
     for t in TABLES:
-        con.execute(f"create view {t} as select * from read_parquet('{sf_dir}/{t}.parquet')")
+        path = f"{sf_dir}/{t}.parquet"
+        if os.path.isdir(path):
+            path = f"{path}/*.parquet"
+        elif not os.path.exists(path):
+            continue
+        con.execute(f"create view {t} as select * from read_parquet('{path}')")
     return con
 
 
