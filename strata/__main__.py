@@ -68,6 +68,10 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--parallel", type=int, default=1, help="tables of a layer run at once")
     p.add_argument("--local", action="store_true", help="use a local[*] session")
     args = p.parse_args(argv)
+    import logging
+
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s",
+                        stream=sys.stderr)
 
     spark = local_session() if args.local else SparkSession.builder.getOrCreate()
     apply_required_conf(spark)

@@ -10,6 +10,7 @@ and the first failure stops the layer (the reference behaviour);
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -31,6 +32,8 @@ from strata.specs import CleanSpec, LoadSpec, SummarySpec
 
 T = TypeVar("T")
 
+log = logging.getLogger("strata")
+
 
 @dataclass(frozen=True)
 class LayerConfig:
@@ -81,7 +84,9 @@ def _write(spark: SparkSession, config: LayerConfig, layer: str, table: str, df:
 
     ensure_schema(spark, config.catalog, layer)
     name = config.name(layer, table)
+    log.info("publishing %s", name)
     publish(df, name, schema_policy=policy, table_format=config.table_format, bucket_by=bucket_by)
+    log.info("published %s", name)
     if config.compact and config.table_format == "delta":
         compact_table(spark, name, config.table_format)
     return name
@@ -127,6 +132,8 @@ def run_raw_layer(spark: SparkSession, config: LayerConfig,
             return obs.get.get("rows")
 
         rows, attempts = with_retry(attempt, config.retry)
+        log.info("loaded %s from %s: %s rows, %d attempt(s)", spec.target,
+                 spec.source_name or "source", rows, attempts)
         return TableRun(config.raw, spec.target, time.perf_counter() - t0, attempts, rows)
 
     return run_each([lambda s=s: load(s) for s in loads], config.max_parallel)

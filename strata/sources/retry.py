@@ -7,6 +7,7 @@ the delay, the growth of the delay and the sleep function are parameters.
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -14,6 +15,8 @@ from typing import TypeVar
 
 T = TypeVar("T")
 
+log = logging.getLogger("strata")
+
 # ---- fixed values (reference defaults) ----
 TRANSIENT_MESSAGE = "not currently available"
 MAX_ATTEMPTS = 6
@@ -55,5 +58,7 @@ def with_retry(action: Callable[[], T], policy: RetryPolicy) -> tuple[T, int]:
         except Exception as exc:  # classify, then re-raise or wait
             if attempt >= policy.attempts or not policy.is_transient(exc):
                 raise
+            log.warning("transient failure (attempt %d/%d), retrying in %.0f s: %s",
+                        attempt, policy.attempts, policy.delay(attempt), str(exc)[:200])
             policy.sleep(policy.delay(attempt))
             attempt += 1
