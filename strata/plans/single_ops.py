@@ -56,6 +56,12 @@ def dedupe_single_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe(table(spark, sf_dir, "lineitem"), ["l_orderkey"])
 
 
+def dedupe_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 with NULL keys: one raw order per customer; the orders without a
+    customer are one group, so one of them stays (the first in order)."""
+    return dedupe(raw(spark, sf_dir, cat.HEADERS), ["CustomerID"])
+
+
 def dedupe_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One order-detail row per (order, line)."""
     return dedupe(raw(spark, sf_dir, cat.DETAILS), ["SalesOrderID", "SalesOrderDetailID"])
@@ -138,6 +144,7 @@ QUERIES = {
     "derive_date_key": derive_date_key,
     "filter_required": filter_required,
     "dedupe_single_key": dedupe_single_key,
+    "dedupe_null_keys": dedupe_null_keys,
     "dedupe_composite_key": dedupe_composite_key,
     "scalar_trim": scalar_trim,
     "scalar_lower_trim": scalar_lower_trim,
@@ -169,6 +176,11 @@ select * from r_customers where EmailAddress is not null""",
         "dedupe_single_key": f"""
 select * exclude(rn) from (select *, row_number() over (partition by l_orderkey order by {li_order}) rn
   from lineitem) where rn = 1""",
+        "dedupe_null_keys": raw_ctes("r_headers") + """
+select * exclude(rn) from (select *, row_number() over (partition by CustomerID
+    order by SalesOrderID asc nulls last, OrderDate asc nulls last, PurchaseOrderNumber asc nulls last,
+             AccountNumber asc nulls last, ShipMethod asc nulls last, TotalDue asc nulls last) rn
+  from r_headers) where rn = 1""",
         "dedupe_composite_key": raw_ctes("r_details") + """
 select * exclude(rn) from (select *, row_number() over (partition by SalesOrderID, SalesOrderDetailID
     order by ProductID asc nulls last, OrderQty asc nulls last, ShipDate asc nulls last,
