@@ -140,7 +140,7 @@ def bucketed_sales_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
                      comparable=True, sort=False)
 
 
-def pipeline_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+def layers_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole chain run twice into the same tables; rows of all 14."""
     config = workspace("rerun")
     run_pipeline(spark, config, fixture_loads(sf_dir))
@@ -161,7 +161,7 @@ QUERIES = {
     "apply_order_changes": apply_order_changes,
     "customer_order_history": customer_order_history,
     "bucketed_sales_by_customer": bucketed_sales_by_customer,
-    "pipeline_rerun": pipeline_rerun,
+    "layers_rerun": layers_rerun,
 }
 
 
@@ -211,5 +211,5 @@ select o_orderkey, o_custkey, o_totalprice from last where op <> 'D'""",
 from orders
 window w as (partition by o_custkey order by o_orderdate asc nulls first, o_orderkey asc nulls first)""",
         "bucketed_sales_by_customer": base["summary_sales_by_customer"],
-        "pipeline_rerun": base["pipeline_end_to_end"],
+        "layers_rerun": base["layers_end_to_end"],
     }

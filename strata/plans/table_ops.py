@@ -150,7 +150,7 @@ def run_summary_layer_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _counts(spark, {t: config.aggregated_table(t) for t in cat.SUMMARY_ORDER})
 
 
-def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+def layers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw -> cleaned -> aggregated; rows of all 14 tables."""
     config = workspace("pipeline")
     run_pipeline(spark, config, fixture_loads(sf_dir))
@@ -223,7 +223,7 @@ QUERIES = {
     "run_raw_layer": run_raw_layer_query,
     "run_clean_layer": run_clean_layer_query,
     "run_summary_layer": run_summary_layer_query,
-    "pipeline_end_to_end": pipeline_end_to_end,
+    "layers_end_to_end": layers_end_to_end,
     "published_sales_by_day": published_sales_by_day,
     "validate_table_list": validate_table_list,
     "validate_schema": validate_schema,
@@ -283,7 +283,7 @@ union all select '{cat.CLEANED}', 0 union all select '{cat.AGGREGATED}', 0""",
         "run_raw_layer": raw_ctes(*raw_views) + "\n" + _count_rows(raw_pairs),
         "run_clean_layer": all_clean + "\n" + _count_rows(clean_pairs),
         "run_summary_layer": all_clean + "\n" + _count_rows(summaries.items()),
-        "pipeline_end_to_end": all_clean + "\n" + _count_rows(pipeline_pairs),
+        "layers_end_to_end": all_clean + "\n" + _count_rows(pipeline_pairs),
         "published_sales_by_day": cleaned_ctes("s_headers") + """
 select cast(OrderDate as date) as OrderDateKey, count(distinct SalesOrderID) as Total_Orders,
   cast(sum(TotalDue) as double) as Total_Revenue

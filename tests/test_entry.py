@@ -4,14 +4,15 @@ import uuid
 
 import __spark_entry__ as E
 
-# planned in SURVEY 7.4; scan_jdbc needs a database (see README)
+# planned in SURVEY 7.4 (its pipeline_end_to_end is registered as layers_end_to_end);
+# scan_jdbc needs a database (see README)
 PLANNED = """load_with_retry scan_table overwrite_merge_schema overwrite_table compact_table reset_tables
 audit_ingestion_time project_subset derive_date_key filter_required dedupe_single_key dedupe_composite_key
 scalar_trim scalar_lower_trim scalar_upper_trim left_join_orders_customers agg_count agg_avg
 agg_count_distinct agg_sum sort_desc sort_two_keys preview_table clean_customers clean_addresses
 clean_products clean_order_headers clean_order_details summary_customers_by_company
 summary_products_by_color summary_sales_by_customer summary_sales_by_day run_raw_layer run_clean_layer
-run_summary_layer pipeline_end_to_end validate_table_list validate_schema validate_row_counts
+run_summary_layer layers_end_to_end validate_table_list validate_schema validate_row_counts
 reconcile_clean reconcile_summary""".split()
 
 
