@@ -26,7 +26,7 @@ from strata.functions.audit import with_ingestion_time
 from strata.operators.clean import clean
 from strata.operators.summarise import summarise
 from strata.plans import catalogue as cat
-from strata.sinks.tables import ensure_schema, publish, qualified_name, reset_tables
+from strata.sinks.tables import compact_table, ensure_schema, publish, qualified_name, reset_tables
 from strata.sources.retry import RetryPolicy, with_retry
 from strata.specs import CleanSpec, LoadSpec, SummarySpec
 
@@ -80,8 +80,6 @@ class TableRun:
 
 def _write(spark: SparkSession, config: LayerConfig, layer: str, table: str, df: DataFrame,
            policy: str, bucket_by: tuple[int, Sequence[str]] | None = None) -> str:
-    from strata.sinks.tables import compact_table
-
     ensure_schema(spark, config.catalog, layer)
     name = config.name(layer, table)
     log.info("publishing %s", name)
