@@ -71,13 +71,16 @@ def decide_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
 
 def checked_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
                  max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES,
-                 null_safe: bool = False) -> DataFrame:
+                 null_safe: bool = False, bound_by: DataFrame | None = None) -> DataFrame:
     """``left.join(right, on, how)`` broadcasting ``right`` only when proven small.
 
     ``right`` is the side kept whole in memory; for a left outer join that is
     the only side Spark can build from anyway.  With ``null_safe`` NULL keys
-    match each other (``<=>``), as in a grouping."""
-    decision = decide_broadcast(right, max_rows, max_bytes)
+    match each other (``<=>``), as in a grouping.  ``bound_by`` is a cheaper
+    frame known to be at least as large in rows and bytes (the source of a
+    dedupe/filter/trim of the same columns); it is measured instead, so the
+    proof reads a scan that stops early rather than computing ``right``."""
+    decision = decide_broadcast(right if bound_by is None else bound_by, max_rows, max_bytes)
     side = F.broadcast(right) if decision.broadcast else right
     if not null_safe:
         return left.join(side, on=list(on), how=how)

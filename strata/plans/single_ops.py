@@ -90,7 +90,9 @@ def left_join_orders_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every cleaned order with its customer's company (NULL if none)."""
     headers = cleaned(spark, sf_dir, cat.HEADERS)
     customers = cleaned(spark, sf_dir, cat.CUSTOMERS).select("CustomerID", "CompanyName")
-    return checked_join(headers, customers, ["CustomerID"], "left")
+    # cleaning only drops rows and trims text: the raw columns bound the cleaned ones
+    bound = raw(spark, sf_dir, cat.CUSTOMERS).select("CustomerID", "CompanyName")
+    return checked_join(headers, customers, ["CustomerID"], "left", bound_by=bound)
 
 
 def _agg(spark, sf_dir, table_name, group, metric):

@@ -112,3 +112,13 @@ def test_broadcast_only_within_bounds(spark):
     big = spark.range(50)
     j = checked_join(big, spark.range(10), ["id"], "left", max_rows=5)
     assert "BroadcastHashJoin" not in j._jdf.queryExecution().executedPlan().toString()
+
+
+def test_broadcast_proof_can_measure_a_bounding_frame(spark):
+    left, right = spark.range(50), spark.range(10)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    # the bound (100 rows) exceeds max_rows: no broadcast although right itself is small
+    j = checked_join(left, right, ["id"], "left", max_rows=20, bound_by=spark.range(100))
+    assert "BroadcastHashJoin" not in plan(j)
+    j = checked_join(left, right, ["id"], "left", max_rows=20, bound_by=spark.range(15))
+    assert "BroadcastHashJoin" in plan(j)
