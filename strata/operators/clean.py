@@ -34,3 +34,21 @@ def clean(df: DataFrame, spec: CleanSpec) -> DataFrame:
     else:
         out = require(dedupe(df, spec.keys, spec.tie_break), spec.required)
     return normalise_text(out, spec)
+
+
+def refresh_cleaned(cleaned: DataFrame, raw_all: DataFrame, new_rows: DataFrame,
+                    spec: CleanSpec) -> DataFrame:
+    """New content of a cleaned table after ``new_rows`` arrived in the raw
+    table (``raw_all`` already holds them).
+
+    Only the keys of the new rows are cleaned again, from all their raw rows;
+    every other key keeps its cleaned row.  A key's survivor depends only on
+    that key's rows, so the result equals cleaning ``raw_all`` from scratch,
+    while the dedupe sorts just the touched keys' rows.  The touched keys are
+    broadcast when proven small, else joined by shuffle."""
+    from strata.operators.joins import checked_join
+
+    touched = new_rows.select(*spec.keys)
+    affected = checked_join(raw_all, touched, spec.keys, "left_semi", null_safe=True)
+    untouched = checked_join(cleaned, touched, spec.keys, "left_anti", null_safe=True)
+    return untouched.unionByName(clean(affected, spec))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.audit import INGESTION_TIME
+from strata.operators.clean import clean, refresh_cleaned
 from strata.operators.history import validity_ranges
 from strata.operators.merge import apply_changes, upsert
 from strata.operators.quality import REJECT_REASON, clean_with_rejects, column_metrics
@@ -84,6 +85,22 @@ def stream_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(target).drop(INGESTION_TIME)
 
 
+def incremental_clean_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X5 on the cleaned layer: order headers published cleaned from a first
+    drop; a second drop brings another copy of every third order (a higher
+    amount); only the touched keys are cleaned again and upserted."""
+    from strata.sources.fixtures import r_headers_drops
+
+    config = workspace("incclean")
+    spec = cat.CLEAN_SPECS[cat.HEADERS]
+    first, second = r_headers_drops(spark, sf_dir)
+    target = _scratch_table(spark, config, "headers_clean")
+    publish(clean(first, spec), target)
+    refreshed = refresh_cleaned(spark.table(target), first.unionByName(second), second, spec)
+    publish(refreshed, target, schema_policy="strict")
+    return spark.table(target)
+
+
 def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Settled and open orders published; then open and pending orders arrive
     with a doubled price -> open ones replaced, pending ones inserted."""
@@ -157,6 +174,7 @@ QUERIES = {
     "load_metrics": load_metrics,
     "incremental_batch_load": incremental_batch_load,
     "stream_incremental_load": stream_incremental_load,
+    "incremental_clean_headers": incremental_clean_headers,
     "upsert_orders": upsert_orders,
     "apply_order_changes": apply_order_changes,
     "customer_order_history": customer_order_history,
@@ -191,6 +209,9 @@ select *, 'missing:ProductID' as {REJECT_REASON} from surv where ProductID is nu
                                               "r_details"))),
         "incremental_batch_load": "select * from orders",
         "stream_incremental_load": "select * from orders",
+        # the new copies carry a higher amount, so the first copy survives: the
+        # result is the cleaned headers
+        "incremental_clean_headers": base["clean_order_headers"],
         "upsert_orders": """select o_orderkey, o_custkey, o_orderstatus,
   case when o_orderstatus in ('O', 'P') then o_totalprice * 2 else o_totalprice end as o_totalprice,
   o_orderdate, o_orderpriority

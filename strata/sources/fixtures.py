@@ -79,7 +79,7 @@ def r_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_copies(b, F.col("ProductID") % 4 == 0)
 
 
-def r_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _headers_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
     b = o.select(
@@ -91,7 +91,21 @@ def r_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("o_orderstatus"), F.lit("  ")).alias("ShipMethod"),
         F.col("o_totalprice").cast("decimal(19,4)").alias("TotalDue"),
     )
-    return _with_copies(b, F.col("SalesOrderID") % 3 == 0)
+    return b
+
+
+def r_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_copies(_headers_base(spark, sf_dir), F.col("SalesOrderID") % 3 == 0)
+
+
+def r_headers_drops(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The order headers in two raw drops: every order, then a second copy of
+    every third order with its amount raised by one (a later, differing
+    duplicate of the same key)."""
+    b = _headers_base(spark, sf_dir)
+    second = (b.filter(F.col("SalesOrderID") % 3 == 0)
+              .withColumn("TotalDue", (F.col("TotalDue") + 1).cast("decimal(19,4)")))
+    return b, second
 
 
 def r_details(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -95,3 +95,21 @@ def test_reconcile_both_orders(spark):
     (r,) = reconcile_clean(df, opt).collect()
     assert (r.input, r.duplicates, r.rejected, r.output) == (5, 1, 2, 2)
     assert clean(df, opt).count() == r.output and clean(df, ref).count() == 1
+
+
+def test_refresh_cleaned_equals_full_clean(spark):
+    from strata.operators.clean import refresh_cleaned
+
+    spec = CleanSpec(name="t", keys=("k",), required=("v",), trim=("v",), tie_break=("s",))
+    old = spark.createDataFrame([(1, " a ", 5), (2, " b ", 5), (3, " c ", 5), (4, None, 5)],
+                                "k long, v string, s int")
+    new = spark.createDataFrame([(1, " a2 ", 1),      # new survivor for key 1
+                                 (2, None, 0),        # new survivor lacks v: key 2 disappears
+                                 (5, " e ", 0),       # new key
+                                 (3, " c9 ", 9)],     # later copy: key 3 keeps its row
+                                "k long, v string, s int")
+    raw_all = old.unionByName(new)
+    refreshed = refresh_cleaned(clean(old, spec), raw_all, new, spec)
+    full = clean(raw_all, spec)
+    assert sorted(map(tuple, refreshed.collect())) == sorted(map(tuple, full.collect()))
+    assert sorted(r.k for r in refreshed.collect()) == [1, 3, 5]
