@@ -23,7 +23,7 @@ from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, St
                                TimestampType)
 
 from strata.functions.audit import with_ingestion_time
-from strata.operators.clean import clean
+from strata.operators.clean import clean, refresh_cleaned
 from strata.operators.summarise import summarise
 from strata.plans import catalogue as cat
 from strata.sinks.tables import compact_table, ensure_schema, publish, qualified_name, reset_tables
@@ -199,6 +199,29 @@ def run_pipeline(spark: SparkSession, config: LayerConfig,
     return runs
 
 
+def refresh_layers(spark: SparkSession, config: LayerConfig, table: str,
+                   new_rows: DataFrame) -> list[TableRun]:
+    """New source rows of one table, carried through the layers without a
+    full rebuild: appended to the raw table (with their load time), the
+    cleaned table refreshed for the touched keys only, the aggregates rebuilt.
+    The result equals a full run over all rows."""
+    spec = cat.CLEAN_SPECS[table]
+    t0 = time.perf_counter()
+    raw_name = config.raw_table(table)
+    audited = with_ingestion_time(new_rows).select(*spark.table(raw_name).columns)
+    audited.write.mode("append").saveAsTable(raw_name)
+    runs = [TableRun(config.raw, table, time.perf_counter() - t0)]
+    t0 = time.perf_counter()
+    cleaned_name = config.cleaned_table(table)
+    # only the keys of the new rows are used: their raw rows are read back from the table
+    refreshed = refresh_cleaned(spark.table(cleaned_name), spark.table(raw_name), new_rows, spec)
+    _write(spark, config, config.cleaned, table, refreshed, config.cleaned_policy)
+    runs.append(TableRun(config.cleaned, table, time.perf_counter() - t0))
+    affected = [n for n, s in cat.SUMMARY_SPECS.items()
+                if s.source == table or (s.join is not None and s.join.table == table)]
+    return runs + run_summary_layer(spark, config, [n for n in cat.SUMMARY_ORDER if n in affected])
+
+
 RUN_LOG_SCHEMA = StructType([
     StructField("run_id", StringType(), False),
     StructField("layer", StringType(), False),
