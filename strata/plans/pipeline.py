@@ -37,7 +37,14 @@ log = logging.getLogger("strata")
 
 @dataclass(frozen=True)
 class LayerConfig:
-    """Where the three layers live and how tables are written."""
+    """Where the three layers live and how tables are written.
+
+    ``*_policy``: schema policy of each layer's writes (see ``publish``).
+    ``compact``: run ``OPTIMIZE`` after each write when the format is Delta;
+    parquet writes come out of an AQE-coalesced shuffle already evenly sized.
+    ``sort_aggregates``: write aggregates in their published order.
+    ``retry``: policy for each raw table's read and write.
+    """
 
     catalog: str | None = "spark_catalog"
     raw: str = cat.RAW
