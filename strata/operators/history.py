@@ -51,12 +51,14 @@ def _slice_bounds(df: DataFrame, keys: Sequence[str], version: str,
     The hot keys and the bounds are written once to the shared checkpoint
     folder: approximate quantiles depend on the order partial sketches are
     merged, and every branch and every retried task must see the same."""
-    ensure_checkpoint_dir(df.sparkSession)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))
-    hot = counts.filter(F.col(_N) > rows_per_slice).checkpoint(eager=True)
+    hot = counts.filter(F.col(_N) > rows_per_slice)
     stats = hot.agg(F.count(F.lit(1)).alias("k"), F.max(_N).alias("m")).first()
     if not stats["k"]:
-        return None
+        return None          # the common case: one counting pass, nothing written
+    # exact counts: recomputing them for the checkpoint gives the same hot keys
+    ensure_checkpoint_dir(df.sparkSession)
+    hot = hot.checkpoint(eager=True)
     pieces = -(-int(stats["m"]) // rows_per_slice)               # ceil
     cuts = [i / pieces for i in range(1, pieces)]
     hot_rows = checked_join(df.select(*keys, version), hot.select(*keys), keys, "left_semi",
