@@ -61,6 +61,8 @@ class LayerConfig:
     cleaned_buckets: int | None = None
     # tables of one layer run as concurrent Spark jobs (1 = one after another)
     max_parallel: int = 1
+    # file codec of published tables (None: the session's, e.g. snappy; zstd is smaller)
+    compression: str | None = None
     retry: RetryPolicy = field(default_factory=RetryPolicy)
 
     def name(self, layer: str, table: str) -> str:
@@ -90,7 +92,8 @@ def _write(spark: SparkSession, config: LayerConfig, layer: str, table: str, df:
     ensure_schema(spark, config.catalog, layer)
     name = config.name(layer, table)
     log.info("publishing %s", name)
-    publish(df, name, schema_policy=policy, table_format=config.table_format, bucket_by=bucket_by)
+    publish(df, name, schema_policy=policy, table_format=config.table_format, bucket_by=bucket_by,
+            compression=config.compression)
     log.info("published %s", name)
     if config.compact and config.table_format == "delta":
         compact_table(spark, name, config.table_format)

@@ -103,11 +103,12 @@ def _strict(existing: StructType, new: DataFrame) -> DataFrame:
 def publish(df: DataFrame, name: str, schema_policy: str = "merge",
             table_format: str = "parquet", partition_by: Sequence[str] = (),
             bucket_by: tuple[int, Sequence[str]] | None = None,
-            contract: StructType | None = None) -> str:
+            contract: StructType | None = None, compression: str | None = None) -> str:
     """Replace the rows of table ``name`` with ``df`` (see module doc).
 
     ``contract`` (declared columns and types) is checked before anything is
-    written; a breach raises and leaves the table as it was."""
+    written; a breach raises and leaves the table as it was.  ``compression``
+    names the file codec (e.g. ``zstd``); by default the session's."""
     if schema_policy not in ("merge", "strict", "replace"):
         raise ValueError(f"unknown schema policy {schema_policy!r}")
     if contract is not None:
@@ -138,6 +139,8 @@ def publish(df: DataFrame, name: str, schema_policy: str = "merge",
     staging_parts = parts[:-1] + [f"{parts[-1]}{STAGING_SUFFIX}_{uuid.uuid4().hex[:12]}"]
     staging = ".".join(quote(p) for p in staging_parts)
     writer = out.write.format(table_format).mode("overwrite")
+    if compression:
+        writer = writer.option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by is not None:

@@ -248,3 +248,13 @@ def test_refresh_layers_equals_full_run(spark, sf_small):
     for n in cat.SUMMARY_ORDER:
         assert rows(inc, lambda c: c.aggregated_table(n)) == rows(full, lambda c: c.aggregated_table(n))
     assert spark.table(inc.raw_table(cat.HEADERS)).count() == first.count() + second.count()
+
+
+def test_publish_with_zstd(spark):
+    import pyarrow.parquet as pq
+
+    name = _name(spark)
+    publish(spark.range(1000), name, compression="zstd")
+    f = spark.table(name).inputFiles()[0].replace("file://", "").replace("file:", "")
+    assert pq.ParquetFile(f).metadata.row_group(0).column(0).compression == "ZSTD"
+    assert spark.table(name).count() == 1000
