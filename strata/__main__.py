@@ -66,6 +66,7 @@ def main(argv: list[str] | None = None) -> int:
                    help="parallel range reads per table on its key column (1 = one task)")
     p.add_argument("--tables", help="comma-separated cleaned tables (default: all five)")
     p.add_argument("--parallel", type=int, default=1, help="tables of a layer run at once")
+    p.add_argument("--compression", help="file codec of published tables, e.g. zstd")
     p.add_argument("--local", action="store_true", help="use a local[*] session")
     args = p.parse_args(argv)
     import logging
@@ -77,7 +78,8 @@ def main(argv: list[str] | None = None) -> int:
     apply_required_conf(spark)
     ensure_checkpoint_dir(spark)
     config = LayerConfig(catalog=args.catalog, raw=args.raw_schema, cleaned=args.cleaned_schema,
-                         aggregated=args.aggregated_schema, max_parallel=args.parallel)
+                         aggregated=args.aggregated_schema, max_parallel=args.parallel,
+                         compression=args.compression)
 
     if args.command == "raw":
         runs = run_raw_layer(spark, config, _loads(args, spark))

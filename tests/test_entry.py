@@ -30,7 +30,8 @@ def test_cli_pipeline_validate_reset(spark, sf_small, capsys):
 
     run = f"cli_{uuid.uuid4().hex[:8]}"
     schemas = ["--raw-schema", f"{run}_b", "--cleaned-schema", f"{run}_s", "--aggregated-schema", f"{run}_g"]
-    assert main(["pipeline", "--parquet-dir", sf_small, "--parallel", "3", *schemas]) == 0
+    assert main(["pipeline", "--parquet-dir", sf_small, "--parallel", "3", "--compression", "zstd",
+                 *schemas]) == 0
     assert main(["validate", *schemas]) == 0
     out = capsys.readouterr().out
     assert '"n_tables": 5' in out and '"n_tables": 4' in out and '"diff_orders": 0' in out
