@@ -15,6 +15,7 @@ upserted.  NULL keys count as equal, as in the dedupe.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -47,3 +48,26 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str], se
     touched = checked_join(target, last.select(*keys), keys, "left_anti", null_safe=True)
     upserts = last.filter(~F.col(op).eqNullSafe(F.lit(delete_value))).select(*target.columns)
     return touched.unionByName(upserts)
+
+
+def upsert_table(target: str, updates: DataFrame, keys: Sequence[str],
+                 table_format: str = "parquet") -> str:
+    """Upsert ``updates`` into the published table ``target``.
+
+    Delta: one transactional ``MERGE INTO`` (matched keys updated, others
+    inserted).  Other formats: ``upsert`` above, published through the
+    staging swap of ``publish`` with the table's schema kept."""
+    from strata.sinks.tables import publish
+
+    spark = updates.sparkSession
+    if table_format == "delta":
+        view = f"__strata_updates_{uuid.uuid4().hex[:12]}"
+        updates.createOrReplaceTempView(view)
+        cond = " AND ".join(f"t.`{k}` <=> u.`{k}`" for k in keys)
+        try:
+            spark.sql(f"MERGE INTO {target} t USING {view} u ON {cond} "
+                      "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
+        finally:
+            spark.catalog.dropTempView(view)
+        return target
+    return publish(upsert(spark.table(target), updates, keys), target, schema_policy="strict")

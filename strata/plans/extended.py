@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from strata.functions.audit import INGESTION_TIME
 from strata.operators.clean import clean, refresh_cleaned
 from strata.operators.history import validity_ranges
-from strata.operators.merge import apply_changes, upsert
+from strata.operators.merge import apply_changes, upsert_table
 from strata.operators.quality import REJECT_REASON, clean_with_rejects, column_metrics
 from strata.operators.summarise import summarise
 from strata.plans import catalogue as cat
@@ -110,7 +110,7 @@ def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     publish(orders.filter(F.col("o_orderstatus") != "P"), target)
     updates = (orders.filter(F.col("o_orderstatus").isin("O", "P"))
                .withColumn("o_totalprice", F.col("o_totalprice") * 2))
-    publish(upsert(spark.table(target), updates, ["o_orderkey"]), target, schema_policy="strict")
+    upsert_table(target, updates, ["o_orderkey"])
     return spark.table(target)
 
 
