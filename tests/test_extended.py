@@ -162,3 +162,20 @@ def test_column_metrics_odd_names(spark):
     df = spark.createDataFrame([(1, " "), (None, "it's")], "`a.b` long, `c d` string")
     got = {r.column: (r.n_null, r.n_blank) for r in column_metrics(df).collect()}
     assert got == {"a.b": (1, 0), "c d": (0, 1)}
+
+
+def test_validity_ranges_composite_key_with_nulls(spark):
+    from pyspark.sql import Window
+
+    from strata.operators.history import validity_ranges
+
+    rows = [(a, b, v, t) for t, (a, b, v) in enumerate(
+        [(1, None, 5), (1, None, 3), (1, None, 9), (None, None, 1), (None, None, 2), (1, 2, 7),
+         (1, 2, 7), (1, None, 4), (2, 2, 1)] * 5)]
+    df = spark.createDataFrame(rows, "a long, b long, v long, t long")
+    w = Window.partitionBy("a", "b").orderBy(F.col("v").asc_nulls_first(), F.col("t").asc_nulls_first())
+    want = sorted(map(tuple, df.withColumn("valid_to", F.lead("v").over(w))
+                      .withColumn("is_current", F.col("valid_to").isNull()).collect()), key=str)
+    for rows_per_slice in (1_000_000, 4, 2):
+        got = validity_ranges(df, ["a", "b"], "v", ["t"], rows_per_slice=rows_per_slice)
+        assert sorted(map(tuple, got.collect()), key=str) == want
