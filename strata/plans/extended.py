@@ -1,6 +1,7 @@
 """Queries for the items the reference names as its next steps (SURVEY
-2.15): quality metrics, quarantine, load metrics, incremental loads (batch
-and streaming), upsert, change-capture apply, bucketed layout, re-runs.
+2.15): quality metrics, quarantine, load metrics, incremental loads (batch,
+streaming, cleaned-table refresh, refresh through all layers), upsert,
+change-capture apply, validity ranges of versions, bucketed layout, re-runs.
 
 Every query reads whole driver tables; where a load is split in two drops
 (incremental loads) the split is the feature and the final table is whole.
