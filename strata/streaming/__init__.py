@@ -5,8 +5,10 @@ as the next step for the raw layer.  Files landing in a folder are appended
 to a raw table by a streaming query with an available-now trigger: each run
 takes every file not yet taken and stops, and the checkpoint plus the file
 sink's commit log make each file land exactly once, whatever fails when.
+``stream_files_into_layers`` drives all layers from landed files, one
+micro-batch at a time.
 """
 
-from strata.streaming.incremental import stream_files_into_table
+from strata.streaming.incremental import stream_files_into_layers, stream_files_into_table
 
-__all__ = ["stream_files_into_table"]
+__all__ = ["stream_files_into_layers", "stream_files_into_table"]

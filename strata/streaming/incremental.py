@@ -28,4 +28,41 @@ def stream_files_into_table(spark: SparkSession, landing_path: str, schema: Stru
              .toTable(target))
     if wait:
         query.awaitTermination()
+        # the caller's session may hold the table's file listing from before
+        spark.catalog.refreshTable(target)
+    return query
+
+
+def stream_files_into_layers(spark: SparkSession, config, table: str, landing_path: str,
+                             schema: StructType, checkpoint_location: str,
+                             file_format: str = "parquet", wait: bool = True) -> StreamingQuery:
+    """Carry every new file under ``landing_path`` through all layers.
+
+    Each micro-batch runs ``refresh_layers``: the rows are appended to the raw
+    table, the cleaned table is refreshed for their keys and the aggregates
+    reading it are rebuilt.  ``foreachBatch`` is at-least-once: a batch
+    replayed after a failure appends its raw rows again, but those copies come
+    later in the dedupe's order, so the cleaned and aggregated tables are
+    the same as after one delivery."""
+    from strata.plans.pipeline import refresh_layers
+
+    from strata.plans.pipeline import all_tables
+
+    def apply(batch, batch_id):
+        # the batch has a session of its own (tables are read and written there)
+        if not batch.isEmpty():
+            refresh_layers(batch.sparkSession, config, table, batch)
+
+    stream = spark.readStream.schema(schema).format(file_format).load(landing_path)
+    query = (stream.writeStream
+             .option("checkpointLocation", checkpoint_location)
+             .foreachBatch(apply)
+             .trigger(availableNow=True)
+             .start())
+    if wait:
+        query.awaitTermination()
+        # the caller's session may hold file listings from before the stream
+        for name in all_tables(config):
+            if spark.catalog.tableExists(name):
+                spark.catalog.refreshTable(name)
     return query
