@@ -12,20 +12,39 @@ from strata.functions.audit import with_ingestion_time
 def stream_files_into_table(spark: SparkSession, landing_path: str, schema: StructType,
                             target: str, checkpoint_location: str, file_format: str = "parquet",
                             max_files_per_trigger: int | None = None,
-                            wait: bool = True) -> StreamingQuery:
+                            wait: bool = True, sink: str = "append") -> StreamingQuery:
     """Append every new file under ``landing_path`` to table ``target``.
 
+    ``sink="append"`` (default): each micro-batch is appended with a batch
+    write, so the target may hold rows written by batch jobs (a first full
+    load, then increments).  At-least-once: a batch replayed after a failure
+    is appended again; its copies carry a later ``_ingestion_time`` and the
+    cleaning dedupe keeps the earlier ones.
+    ``sink="table"``: Spark's file sink, exactly-once through its commit log
+    in the table folder; readers then see only files the sink wrote, so use
+    it only for a target that nothing else writes.
+
     ``checkpoint_location`` must be on storage every executor and the driver
     share (under ``spark.checkpoint.dir`` on a cluster).  Each micro-batch
     gets its own ``_ingestion_time``."""
+    if sink not in ("append", "table"):
+        raise ValueError(f"unknown sink {sink!r}")
     reader = spark.readStream.schema(schema).format(file_format)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = with_ingestion_time(reader.load(landing_path))
-    query = (stream.writeStream
-             .option("checkpointLocation", checkpoint_location)
-             .trigger(availableNow=True)
-             .toTable(target))
+    writer = stream.writeStream.option("checkpointLocation", checkpoint_location) \
+        .trigger(availableNow=True)
+    if sink == "table":
+        query = writer.toTable(target)
+    else:
+        def append(batch, batch_id):
+            out = batch
+            if batch.sparkSession.catalog.tableExists(target):
+                out = batch.select(*batch.sparkSession.table(target).columns)
+            out.write.mode("append").saveAsTable(target)
+
+        query = writer.foreachBatch(append).start()
     if wait:
         query.awaitTermination()
         # the caller's session may hold the table's file listing from before

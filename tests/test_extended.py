@@ -179,3 +179,40 @@ def test_validity_ranges_composite_key_with_nulls(spark):
     for rows_per_slice in (1_000_000, 4, 2):
         got = validity_ranges(df, ["a", "b"], "v", ["t"], rows_per_slice=rows_per_slice)
         assert sorted(map(tuple, got.collect()), key=str) == want
+
+
+def test_stream_append_is_visible_to_a_session_that_read_the_table_before(spark, tmp_path):
+    from strata.session import ensure_checkpoint_dir
+    from strata.sinks.tables import publish
+    from strata.streaming.incremental import stream_files_into_table
+
+    db = f"st_{uuid.uuid4().hex[:8]}"
+    ensure_schema(spark, "spark_catalog", db)
+    target = qualified_name("spark_catalog", db, "t")
+    first = spark.range(10).withColumn("_ingestion_time", F.current_timestamp())
+    publish(first, target)
+    assert spark.table(target).count() == 10             # the session now knows the files
+    shared = ensure_checkpoint_dir(spark).rstrip("/")
+    run = uuid.uuid4().hex[:8]
+    landing, ck = f"{shared}/t-landing-{run}", f"{shared}/t-stream-{run}"
+    spark.range(10, 25).write.parquet(landing)
+    stream_files_into_table(spark, landing, spark.range(1).schema, target, ck)
+    assert spark.table(target).count() == 25
+
+
+def test_stream_file_sink_for_a_table_only_the_stream_writes(spark):
+    from strata.session import ensure_checkpoint_dir
+    from strata.streaming.incremental import stream_files_into_table
+
+    db = f"st_{uuid.uuid4().hex[:8]}"
+    ensure_schema(spark, "spark_catalog", db)
+    target = qualified_name("spark_catalog", db, "t")
+    shared = ensure_checkpoint_dir(spark).rstrip("/")
+    run = uuid.uuid4().hex[:8]
+    landing, ck = f"{shared}/s-landing-{run}", f"{shared}/s-stream-{run}"
+    spark.range(10).write.parquet(landing)
+    stream_files_into_table(spark, landing, spark.range(1).schema, target, ck, sink="table")
+    spark.range(10, 30).write.mode("append").parquet(landing)
+    stream_files_into_table(spark, landing, spark.range(1).schema, target, ck, sink="table")
+    stream_files_into_table(spark, landing, spark.range(1).schema, target, ck, sink="table")
+    assert sorted(r.id for r in spark.table(target).collect()) == list(range(30))
