@@ -26,7 +26,8 @@ from strata.functions.audit import with_ingestion_time
 from strata.operators.clean import clean, refresh_cleaned
 from strata.operators.summarise import summarise
 from strata.plans import catalogue as cat
-from strata.sinks.tables import compact_table, ensure_schema, publish, qualified_name, reset_tables
+from strata.sinks.tables import (align_for_append, compact_table, ensure_schema, publish,
+                                 qualified_name, reset_tables)
 from strata.sources.retry import RetryPolicy, with_retry
 from strata.specs import CleanSpec, LoadSpec, SummarySpec
 
@@ -218,7 +219,7 @@ def refresh_layers(spark: SparkSession, config: LayerConfig, table: str,
     spec = cat.CLEAN_SPECS[table]
     t0 = time.perf_counter()
     raw_name = config.raw_table(table)
-    audited = with_ingestion_time(new_rows).select(*spark.table(raw_name).columns)
+    audited = align_for_append(spark.table(raw_name).schema, with_ingestion_time(new_rows))
     audited.write.mode("append").saveAsTable(raw_name)
     runs = [TableRun(config.raw, table, time.perf_counter() - t0)]
     t0 = time.perf_counter()

@@ -90,6 +90,17 @@ def _merged(existing: StructType, new: DataFrame) -> DataFrame:
     return new.select(*cols)
 
 
+def align_for_append(existing: StructType, new: DataFrame) -> DataFrame:
+    """``new`` in the column order of ``existing``, missing columns as NULL.
+
+    An append cannot add columns or change a type: either raises
+    ``SchemaMismatch`` (republish with the ``merge`` policy instead)."""
+    extra = [c for c in new.columns if c not in {f.name for f in existing.fields}]
+    if extra:
+        raise SchemaMismatch(f"new columns {extra}: publish with schema_policy='merge' first")
+    return _merged(existing, new)
+
+
 def _strict(existing: StructType, new: DataFrame) -> DataFrame:
     old = [(f.name, f.dataType) for f in existing.fields]
     got = [(f.name, f.dataType) for f in new.schema.fields]

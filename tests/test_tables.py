@@ -285,3 +285,17 @@ def test_replayed_batch_leaves_cleaned_and_aggregates_unchanged(spark, sf_small)
         assert rows(once.aggregated_table(n)) == rows(twice.aggregated_table(n))
     raw_once = spark.table(once.raw_table(cat.HEADERS)).count()
     assert spark.table(twice.raw_table(cat.HEADERS)).count() == raw_once + second.count()
+
+
+def test_align_for_append(spark):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    from strata.sinks.tables import align_for_append
+
+    existing = StructType([StructField("a", LongType()), StructField("b", StringType())])
+    out = align_for_append(existing, spark.createDataFrame([(1,)], "a long"))
+    assert out.columns == ["a", "b"] and out.first().b is None
+    with pytest.raises(SchemaMismatch):
+        align_for_append(existing, spark.createDataFrame([(1, 2)], "a long, c long"))
+    with pytest.raises(SchemaMismatch):
+        align_for_append(existing, spark.createDataFrame([("x",)], "a string"))
