@@ -54,13 +54,13 @@ def _loads(args, spark):
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="strata")
     p.add_argument("command", choices=["raw", "clean", "summary", "pipeline", "validate", "reset"])
-    p.add_argument("--catalog", default="spark_catalog")
-    p.add_argument("--raw-schema", default=cat.RAW)
-    p.add_argument("--cleaned-schema", default=cat.CLEANED)
-    p.add_argument("--aggregated-schema", default=cat.AGGREGATED)
-    p.add_argument("--parquet-dir")
-    p.add_argument("--jdbc-url")
-    p.add_argument("--user")
+    p.add_argument("--catalog", default="spark_catalog", help="catalog of the three layer schemas")
+    p.add_argument("--raw-schema", default=cat.RAW, help="schema of the raw tables")
+    p.add_argument("--cleaned-schema", default=cat.CLEANED, help="schema of the cleaned tables")
+    p.add_argument("--aggregated-schema", default=cat.AGGREGATED, help="schema of the aggregates")
+    p.add_argument("--parquet-dir", help="folder of the test tables (raw views are built from them)")
+    p.add_argument("--jdbc-url", help="JDBC URL of the source database")
+    p.add_argument("--user", help="database user")
     p.add_argument("--password-env", help="name of the environment variable holding the password")
     p.add_argument("--jdbc-partitions", type=int, default=1,
                    help="parallel range reads per table on its key column (1 = one task)")
