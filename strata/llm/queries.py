@@ -24,6 +24,12 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.toxicity import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.token_counts import count_tokens
 
@@ -39,10 +45,19 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.hnsw import nearest
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 QUERIES: dict[str, Query] = {
     "op3_license_scan": op3_license_scan,
+    "op5_toxicity": op5_toxicity,
     "op8_token_counts": op8_token_counts,
     "op9_packing": op9_packing,
+    "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 
 ORACLE_SQL: dict[str, str] = {}
