@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm import url_templates
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +31,20 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.site_quality import score_quality
+
+    # a document's host is its source; the path under it is the language section
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                         F.col("source"), F.col("lang"))
+
+
+def op7_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.url_templates import judge_urls
+
+    return judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.token_counts import count_tokens
 
@@ -55,9 +70,11 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_license_scan": op3_license_scan,
     "op5_toxicity": op5_toxicity,
+    "op6_site_quality": op6_site_quality,
+    "op7_url_templates": op7_url_templates,
     "op8_token_counts": op8_token_counts,
     "op9_packing": op9_packing,
     "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_url_templates": url_templates.oracle_sql()}
