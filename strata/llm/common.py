@@ -82,15 +82,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 FILTER_WORDS = 1 << 17
 
 
-def maybe_member(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose ``column`` may occur in ``keys`` (first column).
-
-    A bitmap of fixed size (at most ``FILTER_WORDS`` longs) is built by an
-    aggregate and broadcast.  It only saves moving rows that surely have no
-    partner: false positives pass, members always do, so a join must follow.
-    """
+def _marked(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     def place(c):
-        h = F.xxhash64(c)
+        h = F.xxhash64(c.cast("long"))
         return (F.pmod(F.shiftright(h, 6), F.lit(FILTER_WORDS)).alias("w"),
                 F.pmod(h, F.lit(64)).cast("int").alias("bit"))
 
@@ -101,6 +95,29 @@ def maybe_member(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     words = words.withColumnsRenamed({"w": "__w", "bits": "__bits"})
     w, bit = place(F.col(column))
     return (df.withColumns({"__at": w, "__bit": bit})
-            .join(F.broadcast(words), F.col("__at") == F.col("__w"))
-            .where(F.expr("shiftrightunsigned(__bits, __bit) & 1") == 1)
-            .drop("__at", "__bit", "__w", "__bits"))
+            .join(F.broadcast(words), F.col("__at") == F.col("__w"), "left"))
+
+
+def maybe_member(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``column`` may occur in ``keys`` (first column).
+
+    A bitmap of fixed size (at most ``FILTER_WORDS`` longs) is built by an
+    aggregate and broadcast.  It only saves moving rows that surely have no
+    partner: false positives pass, members always do, so a join must follow.
+    """
+    return split_by_membership(df, column, keys)[1]
+
+
+def split_by_membership(df: DataFrame, column: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(surely not in keys, maybe in keys)`` by the bitmap of ``maybe_member``."""
+    marked = _marked(df, column, keys)
+    hit = F.coalesce(F.expr("shiftrightunsigned(__bits, __bit) & 1") == 1, F.lit(False))
+    clean = ["__at", "__bit", "__w", "__bits"]
+    return marked.where(~hit).drop(*clean), marked.where(hit).drop(*clean)
+
+
+def without(docs: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose ``column`` is not in ``keys``; only rows that may be in it are moved."""
+    keys = keys.select(F.col(keys.columns[0]).alias("__key")).distinct()
+    apart, maybe = split_by_membership(docs, column, keys)
+    return apart.union(maybe.join(keys, F.col(column) == F.col("__key"), "left_anti"))

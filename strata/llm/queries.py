@@ -19,12 +19,24 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.ngram_join import components
+
+    return components(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.license_scan import scan_licenses
 
     return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.decontaminate import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.toxicity import classify
 
@@ -68,7 +80,9 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_join": op1_ngram_join,
     "op3_license_scan": op3_license_scan,
+    "op4_decontamination": op4_decontamination,
     "op5_toxicity": op5_toxicity,
     "op6_site_quality": op6_site_quality,
     "op7_url_templates": op7_url_templates,
