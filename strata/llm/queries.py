@@ -25,6 +25,12 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.repeats import find_repeats
+
+    return find_repeats(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.license_scan import scan_licenses
 
@@ -81,6 +87,7 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_repeats": op2_repeats,
     "op3_license_scan": op3_license_scan,
     "op4_decontamination": op4_decontamination,
     "op5_toxicity": op5_toxicity,
