@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import ALNUM_WORDS, alnum_words, checkpointed
+from strata.llm.common import ALNUM_WORDS, alnum_words, checkpointed, without
 
 BLOCK = 24                  # words in a block; a window is two of them
 RANK, OVERSAMPLE = 128, 16
@@ -285,3 +285,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, stop_share: float = 0.02,
     best = F.max(F.struct("lcs", "cosine", -F.col("begin"), "end", "answer")).alias("m")
     return hits.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", (-F.col("m.col3")).alias("begin"), "m.end", "m.cosine", "m.lcs", "m.answer")
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """``docs`` without the documents that hold a benchmark item."""
+    return without(docs, "doc_id", checkpointed(find_leaks(docs, benchmark, **options).select("doc_id").distinct()))

@@ -38,10 +38,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import checkpointed, connected_components, maybe_member, space_words
+from strata.llm.common import (checkpointed, connected_components, maybe_member, space_words, split_by_membership,
+                               without)
 from strata.llm.shingles import U, WordHashes, fingerprint, in_groups, mix, sequence
 
 #: shingles worked on at once in a task; shingles of a shard that is not split; signatures in a packed group
@@ -370,3 +371,19 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, shard
     out = rows.join(named, ["fp1", "fp2", "n"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``docs`` with one document of each component: that of the least id.
+
+    Rows with a null id stay.  Of rows that share an id the one with the
+    least text stays (null first)."""
+    found = checkpointed(components(docs, k, num, den))
+    gone = found.where(F.col("component_id") < F.col("doc_id")).select("doc_id")
+    kept = without(docs, "doc_id", gone)
+    repeated = found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    if repeated.isEmpty():
+        return kept
+    one, several = split_by_membership(kept, "doc_id", repeated.select("doc_id"))
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first()))
+    return one.union(several.withColumn("__rank", rank).where("__rank = 1").drop("__rank"))
