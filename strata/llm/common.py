@@ -3,6 +3,10 @@ connected components and a bounded membership filter."""
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,3 +125,25 @@ def without(docs: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     keys = keys.select(F.col(keys.columns[0]).alias("__key")).distinct()
     apart, maybe = split_by_membership(docs, column, keys)
     return apart.union(maybe.join(keys, F.col(column) == F.col("__key"), "left_anti"))
+
+
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the executors this package, once per application.
+
+    Functions that run in tasks are found by name there; where the package is
+    installed on the workers this changes nothing."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        folder = tempfile.mkdtemp(prefix="strata-code-")
+        with zipfile.ZipFile(os.path.join(folder, "strata_code.zip"), "w") as archive:
+            for at, _, names in os.walk(package):
+                for name in names:
+                    if name.endswith(".py"):
+                        full = os.path.join(at, name)
+                        archive.write(full, os.path.relpath(full, os.path.dirname(package)))
+        sc.addPyFile(archive.filename)
+        _shipped.add(sc.applicationId)

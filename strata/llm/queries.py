@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import url_templates
-from strata.llm.common import table
+from strata.llm.common import ship_code, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,17 +85,20 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
 
-QUERIES: dict[str, Query] = {
-    "op1_ngram_join": op1_ngram_join,
-    "op2_repeats": op2_repeats,
-    "op3_license_scan": op3_license_scan,
-    "op4_decontamination": op4_decontamination,
-    "op5_toxicity": op5_toxicity,
-    "op6_site_quality": op6_site_quality,
-    "op7_url_templates": op7_url_templates,
-    "op8_token_counts": op8_token_counts,
-    "op9_packing": op9_packing,
-    "op10_nearest_neighbours": op10_nearest_neighbours,
-}
+def _shipped(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_code(spark)
+        return query(spark, sf_dir)
+
+    run.__name__, run.__doc__ = query.__name__, query.__doc__
+    return run
+
+
+QUERIES: dict[str, Query] = {f.__name__: _shipped(f) for f in (
+    op1_ngram_join, op2_repeats, op3_license_scan,
+    op4_decontamination, op5_toxicity, op6_site_quality,
+    op7_url_templates, op8_token_counts, op9_packing,
+    op10_nearest_neighbours,
+)}
 
 ORACLE_SQL: dict[str, str] = {"op7_url_templates": url_templates.oracle_sql()}
