@@ -29,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import checkpointed, utf8
+from strata.llm.common import stored, utf8
 
 SPACE_MARK = "▁"
-HOT_UNITS = 1 << 18
+HOT_UNITS = 1 << 19
 HOT_BYTES = 64
 _UNIT = re.compile(r"(?:^| )( *[^ ]*)")
 
@@ -95,7 +95,7 @@ def _hot_bound(vocab: DataFrame, hot_units: int) -> int:
 def count_tokens(docs: DataFrame, model: str, limit: int = 4096, hot_units: int = HOT_UNITS) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): n_bytes, n_tokens, over_limit."""
     spark = docs.sparkSession
-    vocab = checkpointed(vocabulary(docs, model))
+    vocab = stored(vocabulary(docs, model))
     is_hot = (F.col("docs") >= _hot_bound(vocab, hot_units)) & (F.octet_length("unit") <= HOT_BYTES)
     # at most hot_units rows of at most HOT_BYTES each
     hot = spark.sparkContext.broadcast(
