@@ -61,7 +61,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     the least hash, edges follow, and loops and repeats go; the hash is
     salted by the round, so also a long chain halves about every round.  The
     choice is an aggregate with map-side combining, so a node with very many
-    edges is not gathered anywhere.  At the end the moves are composed.
+    edges is not gathered anywhere.  At the end the moves are composed.  The
+    joins are merge joins: a broadcast a round would pile up in the driver.
     """
     # 0 is a separate salt of every round; both ends only, loops give no move
     live = checkpointed(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).distinct())
@@ -80,14 +81,14 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         ma = move.withColumnsRenamed({"node": "a", "to": "ta"})
         mb = move.withColumnsRenamed({"node": "b", "to": "tb"})
         live = checkpointed(
-            live.join(ma, "a").join(mb, "b").where(F.col("ta") != F.col("tb"))
+            live.hint("merge").join(ma, "a").hint("merge").join(mb, "b").where(F.col("ta") != F.col("tb"))
             .select(F.col("ta").alias("a"), F.col("tb").alias("b")).distinct())
         if live.isEmpty():
             break
     out = moves[0].withColumnRenamed("to", "root")
     for move in moves[1:]:
         nxt = move.withColumnsRenamed({"node": "root", "to": "next"})
-        out = out.join(nxt, "root", "left").select(
+        out = out.hint("merge").join(nxt, "root", "left").select(
             "node", F.coalesce("next", "root").alias("root"))
     return out
 

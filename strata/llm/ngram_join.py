@@ -46,7 +46,7 @@ from strata.llm.common import (checkpointed, connected_components, maybe_member,
 from strata.llm.shingles import U, WordHashes, fingerprint, in_groups, mix, sequence
 
 #: shingles worked on at once in a task; shingles of a shard that is not split; signatures in a packed group
-SLICE, SHARD, PACKED = 500_000, 1_000_000, 2_000_000
+SLICE, SHARD, PACKED = 400_000, 1_000_000, 1_000_000
 PIVOTS = 8
 #: the long lists' share of the needed overlap (the usual tuning constant of the method)
 MU = 0.0085

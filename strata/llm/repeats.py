@@ -47,7 +47,7 @@ HASHES = 4
 WORDS = 5                   # words in a shingle
 ALIGN = 64
 #: words worked on at once in a task; windows in a packed group
-SLICE, PACKED = 400_000, 1_000_000
+SLICE, PACKED = 300_000, 250_000
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 

@@ -24,7 +24,7 @@ class WordHashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(word)
-        if len(self) >= 1_000_000:
+        if len(self) >= 300_000:
             self.clear()
         self[word] = h
         return h
