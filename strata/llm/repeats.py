@@ -13,8 +13,8 @@ the minimum of some ``t`` consecutive shingles have such windows, about
 2. Within a signature every window is paired with the first document's, and
    with the first of those with the same neighbouring shingles - stars,
    never all pairs.
-3. Pairs of two documents on the same diagonal are joined over all functions
-   and tree nodes: the interval both windows span around c.  One function
+3. The intervals that both windows of a pair span around c are joined on
+   their diagonal, then over all functions and tree nodes.  One function
    hitting is enough for a candidate: a passage of similarity 0.8 has all
    functions miss with a chance of 0.2 ** HASHES for each of its windows.
 4. Verification: the slice of the earlier document (cut at multiples of
@@ -172,8 +172,8 @@ _PAIR = "b long, a long, diag long, lo long, hi long"
 
 
 def candidates(docs: DataFrame, min_words: int, words_total: int) -> DataFrame:
-    """``(b, a, diag, lo, hi)``: shingles lo..hi of document b may repeat those of
-    the smaller document a that stand ``diag`` places before."""
+    """``(b, a, lo, hi, alo, ahi)``: of shingles lo..hi of document b some may
+    repeat those of alo..ahi of the smaller document a."""
     t = min_words - WORDS + 1
     parts = max(1, -(-int(words_total * HASHES * 2 / t) // PACKED))
     names = [n for n, _ in _FIELDS]
@@ -210,8 +210,10 @@ def candidates(docs: DataFrame, min_words: int, words_total: int) -> DataFrame:
 
     packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(pack, _PACK_SCHEMA)
     met = packed.groupBy("part").applyInArrow(meet, _PAIR)
-    # over all functions and nodes: the interval from the first to the last place on a diagonal
-    return met.groupBy("b", "a", "diag").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    # over all functions, nodes and diagonals: the places of either document that need a look
+    at = F.col("lo") - F.col("diag"), F.col("hi") - F.col("diag")
+    return met.groupBy("b", "a").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+                                     F.min(at[0]).alias("alo"), F.max(at[1]).alias("ahi"))
 
 
 def runs(mark: np.ndarray, t: int) -> list[tuple[int, int]]:
@@ -275,8 +277,8 @@ def find_repeats(docs: DataFrame, min_words: int = 50) -> DataFrame:
     n = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     pairs = checkpointed(candidates(docs, min_words, n // 5))
     # slices of the earlier documents, cut at multiples so that many pairs share one
-    pairs = (pairs.withColumn("qs", F.expr(f"greatest((lo - diag - {ALIGN}) div {ALIGN} * {ALIGN}, 0L)"))
-             .withColumn("qe", F.expr(f"((hi - diag + {ALIGN}) div {ALIGN} + 1) * {ALIGN}")))
+    pairs = (pairs.withColumn("qs", F.expr(f"greatest((alo - {ALIGN}) div {ALIGN} * {ALIGN}, 0L)"))
+             .withColumn("qe", F.expr(f"((ahi + {ALIGN}) div {ALIGN} + 1) * {ALIGN}")))
     wanted = (pairs.select("a", "qs", "qe").distinct().groupBy("a")
               .agg(F.collect_list(F.struct("qs", "qe")).alias("wanted")))
     # of rows with one id, the least text stands for it here
@@ -286,7 +288,7 @@ def find_repeats(docs: DataFrame, min_words: int = 50) -> DataFrame:
     asked = pairs.join(slices, ["a", "qs", "qe"]).select(
         F.col("b").alias("doc_id"), F.lit(1).alias("kind"), F.lit(None).cast("string").alias("text"),
         "a", "lo", "hi", "body")
-    texts = maybe_member(docs, "doc_id", pairs.select("b")).distinct().select(
+    texts = maybe_member(docs, "doc_id", pairs.select("b")).select(
         "doc_id", F.lit(0).alias("kind"), "text", F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("lo"),
         F.lit(0).cast("long").alias("hi"), F.lit(None).cast("binary").alias("body"))
     spans = (texts.union(asked).repartition("doc_id").sortWithinPartitions("doc_id", "kind")
