@@ -58,20 +58,22 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """``(node, root)`` for every node of the undirected ``edges``.
 
     Rounds of contraction: each node moves to the neighbour (or itself) of
-    the least hash, edges follow, and loops and repeats go; the hash is
-    salted by the round, so also a long chain halves about every round.  The
+    the least rank, edges follow, and loops and repeats go.  In two rounds the
+    rank is the node, so stars around their least node are done at once; then
+    it is a hash salted by the round, so a long chain halves about every
+    round.  The
     choice is an aggregate with map-side combining, so a node with very many
     edges is not gathered anywhere.  At the end the moves are composed.  The
     joins are merge joins: a broadcast a round would pile up in the driver.
     """
-    # 0 is a separate salt of every round; both ends only, loops give no move
     live = checkpointed(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).distinct())
     moves: list[DataFrame] = []
     while True:
-        salt = F.lit(len(moves))
+        turn = len(moves)
 
         def ranked(c: str):
-            return F.struct(F.xxhash64(salt, F.col(c)).alias("h"), F.col(c).alias("to"))
+            rank = F.lit(0).cast("long") if turn < 2 else F.xxhash64(F.lit(turn), F.col(c))
+            return F.struct(rank.alias("h"), F.col(c).alias("to"))
 
         ends = live.select("a", "b").union(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
         move = checkpointed(
@@ -138,6 +140,7 @@ def without(docs: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     return apart.union(maybe.join(keys, F.col(column) == F.col("__key"), "left_anti"))
 
 
+BATCH_ROWS = 2000
 _shipped: set[str] = set()
 
 
@@ -147,6 +150,8 @@ def ship_code(spark: SparkSession) -> None:
     Functions that run in tasks are found by name there; where the package is
     installed on the workers this changes nothing."""
     sc = spark.sparkContext
+    # texts are long: small batches bound the memory of a Python worker
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if sc.applicationId not in _shipped:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         folder = tempfile.mkdtemp(prefix="strata-code-")

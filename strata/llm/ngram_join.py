@@ -9,9 +9,9 @@ similarity; the result is each document's component under these links.
    Shingles are dealt by hash to more than ``e`` parts, so one part that is
    not empty is the same in both; the hash of each part is a signature.  (A
    set whose empty parts could be the only equal ones is dealt again with
-   the next seed.)  Sets sharing a signature are put in one shard: candidate
-   groups are the components of "shares a signature", so every pair that
-   links meets in a shard.  Signatures move as packed arrays, and within a
+   the next seed.)  The sets with one signature are a star around the least;
+   a star's shard is named by the least neighbour of its centre, so every
+   pair that links meets in a shard and stars of one group mostly in one.  Signatures move as packed arrays, and within a
    batch only the first set with a signature goes on, so a signature that a
    third of all rows have is a few rows in the shuffle.
 3. T-occurrence search in each shard.  An inverted index over its sets; for
@@ -179,6 +179,15 @@ def candidate_edges(docs: DataFrame, k: int, num: int, den: int, shingles: int)
     return packed.groupBy("part").applyInArrow(meet, "a long, b long")
 
 
+def shards_of(edges: DataFrame) -> DataFrame:
+    """``(fp1, cell)``: the shards of every set; ``edges`` (a, b) are stars around b."""
+    ends = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = ends.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("cell")).withColumnRenamed("a", "centre")
+    named = edges.join(least, F.col("b") == F.col("centre"))
+    return (named.select(F.col("a").alias("fp1"), "cell").union(named.select(F.col("b").alias("fp1"), "cell"))
+            .distinct())
+
+
 class Forest:
     """Union-find over 0..n-1."""
 
@@ -245,12 +254,21 @@ def search(sets: list[np.ndarray], num: int, den: int, probes: list[int] | None
     return links
 
 
+def stars(n: int, links: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same components as ``links``, every member tied to its least."""
+    forest = Forest(n)
+    for a, b in links:
+        forest.join(a, b)
+    members = {i for pair in links for i in pair}
+    return [(i, r) for i in sorted(members) if (r := forest.root(i)) != i]
+
+
 def _links_of_shards(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, reps, sets, probe = None, [], [], []
 
         def finish() -> pa.RecordBatch:
-            links = search(sets, num, den, None if all(probe) else [i for i, p in enumerate(probe) if p])
+            links = stars(len(sets), search(sets, num, den, None if all(probe) else [i for i, p in enumerate(probe) if p]))
             return pa.RecordBatch.from_arrays(
                 [pa.array([reps[a] for a, _ in links], pa.int64()), pa.array([reps[b] for _, b in links], pa.int64())],
                 ["a", "b"])
@@ -330,8 +348,7 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, shard
     classes = (rows.where("n > 0 and doc_id is not null").groupBy("fp1", "fp2", "n")
                .agg(F.min("doc_id").alias("rep")))
     edges = checkpointed(candidate_edges(docs.where(F.col("doc_id").isNotNull()), k, num, den, shingles).distinct())
-    cells = connected_components(edges).withColumnsRenamed({"node": "fp1", "root": "cell"})
-    active = checkpointed(classes.join(cells, "fp1"))
+    active = checkpointed(classes.join(shards_of(edges), "fp1"))
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
