@@ -110,7 +110,8 @@ def windows_of(docs: list[int], texts: list[np.ndarray], t: int) -> dict[str, np
         h = mix(s + salt)
         c, left, right = compact_windows(h, first, t)
         at = owner[c]
-        for name, values in zip(out, (h[c], _surroundings(s, c), ids[at], c - first[at], left - first[at],
+        # least hashes lie near zero: scrambled, signatures spread over all groups
+        for name, values in zip(out, (mix(h[c]), _surroundings(s, c), ids[at], c - first[at], left - first[at],
                                       right - first[at])):
             out[name].append(values)
     return {name: np.concatenate(out[name]).astype(kind) for name, kind in _FIELDS}
