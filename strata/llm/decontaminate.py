@@ -3,7 +3,7 @@
 1. Words of the benchmark are the columns.  One pass turns every whole text
    into its benchmark words with their places, written once to the shared
    folder; all later passes read only that.
-2. Passages are blocks of words.  Document frequencies over all of them give
+2. Passages are blocks of words (for frequencies, two together).  Document frequencies over all of them give
    idf weights; words in more than ``stop_share`` of the passages are left
    out of the vectors.
 3. Randomised SVD: every partition adds up its part of ``A'(A omega)`` of
@@ -41,6 +41,7 @@ COLUMNS = 1 << 14           # columns of the matrix; more words share them by ha
 ITEM_BLOCK = 2048
 LONG_ITEM = 64              # longer items are taken in parts of two blocks
 CHUNK = 400_000             # words worked on at once
+FLAGS = 1 << 24             # cells of a (passage, column) table of flags
 
 
 @dataclass
@@ -123,8 +124,13 @@ def document_frequencies(encoded: DataFrame, columns: int, wide: bool) -> tuple[
             for docs, n_words, owner, place, words, block, first in _chunks(batch, wide):
                 passages = np.concatenate([[0], np.cumsum([max(1, -(-k // (2 * BLOCK))) for k in n_words])])
                 n += int(passages[-1])
-                key = np.unique((passages[owner] + place // (2 * BLOCK)) * columns + _column(words))
-                df += np.bincount(key % columns, minlength=columns)
+                passage, cols = passages[owner] + place // (2 * BLOCK), _column(words)
+                step = max(1, FLAGS // columns)
+                for lo in range(0, int(passages[-1]), step):
+                    a, b = np.searchsorted(passage, (lo, lo + step))        # passages ascend
+                    held = np.zeros((min(step, int(passages[-1]) - lo), columns), bool)
+                    held[passage[a:b] - lo, cols[a:b]] = True
+                    df += held.sum(axis=0)
         held = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(held, -1), pa.int64()), pa.array(np.append(df[held], n), pa.int64())], ["c", "df"])
@@ -139,13 +145,9 @@ def document_frequencies(encoded: DataFrame, columns: int, wide: bool) -> tuple[
     return out, total
 
 
-def _block_sums(words: np.ndarray, block: np.ndarray, table: np.ndarray, n_blocks: int) -> np.ndarray:
-    """Sum of the words' table rows by block (blocks ascend)."""
-    out = np.zeros((n_blocks, table.shape[1]), np.float32)
-    if len(words):
-        starts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-        out[block[starts]] = np.add.reduceat(table[_column(words)], starts, axis=0)
-    return out
+def _sums(rows: np.ndarray, values: np.ndarray, to: np.ndarray, n: int) -> np.ndarray:
+    """``out[d, to[i]] += values[d, rows[i]]`` for every dimension d: (dimensions x n)."""
+    return np.stack([np.bincount(to, weights=v[rows], minlength=n) for v in values])
 
 
 def singular_directions(encoded: DataFrame, idf: np.ndarray, wide: bool, rank: int = RANK,
@@ -156,7 +158,7 @@ def singular_directions(encoded: DataFrame, idf: np.ndarray, wide: bool, rank: i
     sketch = min(rank + OVERSAMPLE, columns)
     omega = np.linalg.qr(np.random.default_rng(seed).normal(size=(columns, sketch)))[0].astype(np.float32)
     spark = encoded.sparkSession
-    table = spark.sparkContext.broadcast((idf.astype(np.float32), omega * idf[:, None].astype(np.float32)))
+    table = spark.sparkContext.broadcast((idf, np.ascontiguousarray((omega * idf[:, None]).T)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight, rows = table.value
@@ -164,15 +166,9 @@ def singular_directions(encoded: DataFrame, idf: np.ndarray, wide: bool, rank: i
         for batch in batches:
             for docs, n_words, owner, place, words, block, first in _chunks(batch, wide):
                 used = weight[_column(words)] > 0
-                words, block = words[used], block[used]
-                # passages of two blocks, the second shared with the next: as the search sees them
-                passage = _block_sums(words, block, rows, int(first[-1]))
-                order = np.argsort(_column(words), kind="stable")
-                cols = _column(words)[order]
-                starts = np.flatnonzero(np.concatenate([[True], cols[1:] != cols[:-1]])) if len(cols) else cols
-                if len(cols):
-                    part = np.add.reduceat(passage[block[order]], starts, axis=0)
-                    total[cols[starts]] += part * weight[cols[starts], None]
+                cols, block = _column(words)[used], block[used]
+                passage = _sums(cols, rows, block, int(first[-1]))          # A omega, a passage a block
+                total += _sums(block, passage, cols, columns).T * weight[:, None]
         held = np.flatnonzero(np.abs(total).sum(axis=1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(held, pa.int64()), pa.array([total[c].tobytes() for c in held], pa.binary())], ["c", "y"])
@@ -225,11 +221,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, stop_share: float = 0.02,
     # a word of few passages counts whatever its share of a small corpus
     idf[(df > stop_share * passages) & (df > 50)] = 0
     directions = singular_directions(encoded, idf, wide)
-    shared = spark.sparkContext.broadcast((items.ids, items.words, (directions * idf[:, None]).astype(np.float32), idf > 0))
+    shared = spark.sparkContext.broadcast((items.ids, items.words, np.ascontiguousarray((directions * idf[:, None]).T), idf > 0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, item_words, table, used = shared.value
-        queries = np.stack([table[_column(w)].sum(axis=0) for w in item_words])
+        queries = np.stack([table[:, _column(w)].sum(axis=1) for w in item_words]).astype(np.float32)
         queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-12)
         masks: list[dict[int, int]] = []
         for w in item_words:
@@ -241,7 +237,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, stop_share: float = 0.02,
             out = []
             for docs_, n_words, owner, place, words, block, first in _chunks(batch, wide):
                 weighty = used[_column(words)]
-                sums = _block_sums(words[weighty], block[weighty], table, int(first[-1]))
+                sums = _sums(_column(words)[weighty], table, block[weighty], int(first[-1])).T.astype(np.float32)
                 windows = sums.copy()
                 last = np.zeros(len(sums), bool)
                 last[first[1:] - 1] = True
