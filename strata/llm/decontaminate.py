@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import ALNUM_WORDS, alnum_words, checkpointed, without
 
 BLOCK = 24                  # words in a block; a window is two of them
-RANK, OVERSAMPLE = 128, 16
+RANK, OVERSAMPLE = 192, 16
 COLUMNS = 1 << 14           # columns of the matrix; more words share them by hash
 ITEM_BLOCK = 2048
 LONG_ITEM = 64              # longer items are taken in parts of two blocks

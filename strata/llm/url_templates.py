@@ -78,9 +78,9 @@ def templates(pages: DataFrame, labels: DataFrame, depth: int = 4, min_children:
             F.max("kn").over(parent).alias("widest"))
         variable = (F.col("width") >= min_children) & (F.col("widest") <= F.col("pn") * max_share)
         rest_l, rest_g = F.col("pl") - F.col("kl"), F.col("pg") - F.col("kg")
-        pooled = F.col("pg") / F.col("pl")
-        spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("kl") + 1 / rest_l))
-        apart = F.abs(F.col("kg") / F.col("kl") - rest_g / rest_l) >= spread * z_limit
+        pooled = F.try_divide("pg", "pl")
+        spread = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1), F.col("kl")) + F.try_divide(F.lit(1), rest_l)))
+        apart = F.abs(F.try_divide("kg", "kl") - F.try_divide(rest_g, rest_l)) >= spread * z_limit
         # branches without labels, or all alike, do not differ
         similar = (F.col("width") > 1) & ~F.coalesce(
             F.when((F.col("kl") > 0) & (rest_l > 0), apart & (spread > 0)), F.lit(False))
@@ -107,7 +107,7 @@ def judge_urls(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, s
     urls = pages.select("page_id", host.alias("host"), path.alias("path"))
     shapes = templates(urls.select("host", "path"), labels, **tree)
     total = shapes.agg(F.sum("labelled").alias("al"), F.sum("good").alias("ag"))
-    prior = F.coalesce(F.col("ag") / F.col("al"), F.lit(1.0))
+    prior = F.coalesce(F.try_divide("ag", "al"), F.lit(1.0))
     sums = shapes.groupBy("host", "template").agg(F.sum("labelled").alias("tl"), F.sum("good").alias("tg"))
     # total is one row
     purity = sums.join(F.broadcast(total)).select(
