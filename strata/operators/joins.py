@@ -1,9 +1,9 @@
 """Joins with a checked broadcast.
 
-A side is broadcast only when its size is proven small.  One job over
-``limit(max_rows + 1)`` counts the rows and sums their payload bytes (text
-and binary by ``octet_length``, other types by their fixed width); it stops
-reading once the row bound is passed.  Both bounds must hold.  Beyond them
+A side is broadcast only when its size is proven small.  One aggregate
+counts the rows and sums their payload bytes (text and binary by
+``octet_length``, other types by their fixed width); every task sends two
+numbers, no rows move.  Both bounds must hold.  Beyond them
 the join is a shuffle join, and AQE (skew-join splitting, broadcast from the
 measured size of a finished shuffle stage) takes over.  The planner's own
 estimate-based broadcast is switched off in ``strata.session``.
@@ -48,20 +48,19 @@ def _value_bytes(name: str, dtype: T.DataType) -> Column:
     return F.coalesce(F.octet_length(F.to_json(F.struct(col))), F.lit(0))
 
 
-def measure(df: DataFrame, max_rows: int) -> tuple[int, int]:
-    """``(rows, payload bytes)`` of at most ``max_rows + 1`` rows of ``df``."""
+def measure(df: DataFrame) -> tuple[int, int]:
+    """``(rows, payload bytes)`` of ``df``: one aggregate, each task sends two numbers."""
     widths = [_value_bytes(f.name, f.dataType) for f in df.schema.fields] or [F.lit(0)]
     row_bytes = widths[0]
     for w in widths[1:]:
         row_bytes = row_bytes + w
-    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
-                                   F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")).first()
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")).first()
     return int(r["n"]), int(r["b"])
 
 
 def decide_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
                      max_bytes: int = DEFAULT_MAX_BYTES) -> BroadcastDecision:
-    rows, size = measure(df, max_rows)
+    rows, size = measure(df)
     if rows > max_rows:
         return BroadcastDecision(False, rows, size, "row bound exceeded")
     if size > max_bytes:
@@ -79,11 +78,16 @@ def checked_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str
     match each other (``<=>``), as in a grouping.  ``bound_by`` is a cheaper
     frame known to be at least as large in rows and bytes (the source of a
     dedupe/filter/trim of the same columns); it is measured instead, so the
-    proof reads a scan that stops early rather than computing ``right``."""
+    proof is one scan rather than a computation of ``right``."""
     decision = decide_broadcast(right if bound_by is None else bound_by, max_rows, max_bytes)
     side = F.broadcast(right) if decision.broadcast else right
     if not null_safe:
         return left.join(side, on=list(on), how=how)
+    return null_safe_join(left, side, on, how)
+
+
+def null_safe_join(left: DataFrame, side: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """``left.join(side, on, how)`` where NULL keys match each other."""
     renamed = {c: f"__strata_r_{c}" for c in on}
     side = side.withColumnsRenamed(renamed)
     cond = None

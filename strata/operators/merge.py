@@ -28,8 +28,11 @@ from strata.operators.joins import checked_join
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """New content of ``target`` after inserting/replacing ``updates`` by key.
 
-    ``updates`` must be unique on ``keys`` (dedupe it first otherwise)."""
+    ``updates`` must be unique on ``keys`` (dedupe it first otherwise): two
+    updates of one key raise, as a transactional merge does."""
     updates = updates.select(*target.columns)
+    if not updates.groupBy(*keys).count().filter("count > 1").isEmpty():
+        raise ValueError(f"several updates of one key {list(keys)}: dedupe them first")
     kept = checked_join(target, updates.select(*keys), keys, "left_anti", null_safe=True)
     return kept.unionByName(updates)
 
@@ -45,7 +48,8 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str], se
                   op: str = "op", delete_value: str = "D") -> DataFrame:
     """New content of ``target`` after applying a change feed."""
     last = latest_changes(changes, keys, sequence)
-    touched = checked_join(target, last.select(*keys), keys, "left_anti", null_safe=True)
+    touched = checked_join(target, last.select(*keys), keys, "left_anti", null_safe=True,
+                           bound_by=changes.select(*keys))
     upserts = last.filter(~F.col(op).eqNullSafe(F.lit(delete_value))).select(*target.columns)
     return touched.unionByName(upserts)
 

@@ -74,7 +74,8 @@ SUMMARY_SPECS: dict[str, SummarySpec] = {
         unique=unique_columns(PRODUCTS)),
     SALES_BY_CUSTOMER: SummarySpec(
         name=SALES_BY_CUSTOMER, source=HEADERS, group_by=("CompanyName",),
-        join=JoinSpec(table=CUSTOMERS, on=("CustomerID",), columns=("CustomerID", "CompanyName")),
+        join=JoinSpec(table=CUSTOMERS, on=("CustomerID",), columns=("CustomerID", "CompanyName"),
+                      unique_on_key=True),
         metrics=(Metric("Total_Orders", "count_distinct", "SalesOrderID"),
                  Metric("Total_Revenue", "sum", "TotalDue")),
         order_by=(("Total_Revenue", True),),

@@ -77,7 +77,7 @@ def stream_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = uuid.uuid4().hex[:10]
     landing, checkpoint = f"{shared}/strata-landing-{run}", f"{shared}/strata-stream-{run}"
     orders = table(spark, sf_dir, "orders")
-    cut = F.col("o_orderdate") < F.lit(SECOND_DROP_FROM).cast("timestamp_ntz")
+    cut = F.coalesce(F.col("o_orderdate") < F.lit(SECOND_DROP_FROM).cast("timestamp_ntz"), F.lit(False))
     orders.filter(cut).write.mode("append").parquet(landing)
     stream_files_into_table(spark, landing, orders.schema, target, checkpoint)
     orders.filter(~cut).write.mode("append").parquet(landing)
@@ -134,8 +134,9 @@ def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = workspace("upsert")
     target = _scratch_table(spark, config, "orders")
     orders = table(spark, sf_dir, "orders")
-    publish(orders.filter(F.col("o_orderstatus") != "P"), target)
-    updates = (orders.filter(F.col("o_orderstatus").isin("O", "P"))
+    pending = F.col("o_orderstatus").eqNullSafe("P")
+    publish(orders.filter(~pending), target)
+    updates = (orders.filter(pending | F.col("o_orderstatus").eqNullSafe("O"))
                .withColumn("o_totalprice", F.col("o_totalprice") * 2))
     upsert_table(target, updates, ["o_orderkey"])
     return spark.table(target)

@@ -13,7 +13,7 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Callable, Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from typing import TypeVar
 from dataclasses import dataclass, field
 
@@ -112,12 +112,13 @@ def run_each(tasks: Sequence[Callable[[], T]], max_parallel: int = 1) -> list[T]
         return [t() for t in tasks]
     with ThreadPoolExecutor(max_workers=min(max_parallel, len(tasks))) as pool:
         futures = [pool.submit(t) for t in tasks]
-        try:
-            return [f.result() for f in futures]
-        except BaseException:
-            for f in futures:
-                f.cancel()
-            raise
+        done, waiting = wait(futures, return_when=FIRST_EXCEPTION)
+        for f in waiting:
+            f.cancel()
+        for f in futures:
+            if f in done and f.exception():
+                raise f.exception()
+        return [f.result() for f in futures]
 
 
 def run_raw_layer(spark: SparkSession, config: LayerConfig,
@@ -202,10 +203,12 @@ def run_summary_layer(spark: SparkSession, config: LayerConfig,
 def run_pipeline(spark: SparkSession, config: LayerConfig,
                  loads: Sequence[LoadSpec]) -> list[TableRun]:
     """raw -> cleaned -> aggregated; each layer starts only after the
-    previous one succeeded."""
+    previous one succeeded.  A loaded table without a cleaning rule raises."""
+    unknown = [s.target for s in loads if s.target not in cat.CLEAN_SPECS]
+    if unknown:
+        raise ValueError(f"no cleaning rule for {unknown}")
     runs = run_raw_layer(spark, config, loads)
-    runs += run_clean_layer(spark, config, [s.target for s in loads
-                                            if s.target in cat.CLEAN_SPECS])
+    runs += run_clean_layer(spark, config, [s.target for s in loads])
     runs += run_summary_layer(spark, config)
     return runs
 

@@ -23,7 +23,6 @@ from strata.plans.validate import preview
 from strata.sources.fixtures import raw_ctes, table
 from strata.specs import Metric, SummarySpec
 
-TOP_K = 20
 PREVIEW_ROWS = 10
 
 
@@ -122,17 +121,17 @@ def agg_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sort_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Latest days of the sales-by-day summary, date descending."""
+    """The sales-by-day summary in full, date descending."""
     from strata.plans.queries import summary
 
-    return summary(spark, sf_dir, cat.SALES_BY_DAY, comparable=True, sort=True).limit(TOP_K)
+    return summary(spark, sf_dir, cat.SALES_BY_DAY, comparable=True, sort=True)
 
 
 def sort_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O2: priciest products, price then key descending (a total order)."""
-    return (cleaned(spark, sf_dir, cat.PRODUCTS)
-            .orderBy(F.col("ListPrice").desc_nulls_last(), F.col("ProductID").desc_nulls_last())
-            .limit(TOP_K))
+    """O2: products by colour in full, product count then mean price descending."""
+    from strata.plans.queries import summary
+
+    return summary(spark, sf_dir, cat.BY_COLOR, comparable=True, sort=True)
 
 
 def preview_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,9 +209,11 @@ select CustomerID, cast(sum(TotalDue) as double) as revenue from r_headers group
         "sort_desc": cleaned_ctes("s_headers") + """
 select cast(OrderDate as date) as OrderDateKey, count(distinct SalesOrderID) as Total_Orders,
   cast(sum(TotalDue) as double) as Total_Revenue
-from s_headers group by 1 order by OrderDateKey desc nulls last limit 20""",
+from s_headers group by 1 order by OrderDateKey desc nulls last""",
         "sort_two_keys": cleaned_ctes("s_products") + """
-select * from s_products order by ListPrice desc nulls last, ProductID desc nulls last limit 20""",
+select Color, count(ProductID) as Total_Products,
+  cast(sum(ListPrice) as double) / count(ListPrice) as Average_List_Price
+from s_products where Color is not null group by 1 order by 2 desc, 3 desc""",
         "preview_table": cleaned_ctes("s_customers") + """
 select * from s_customers order by CustomerID asc nulls last limit 10""",
     }

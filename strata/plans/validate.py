@@ -7,6 +7,7 @@ by a cross join.  Catalog listings and schemas are metadata.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from strata.operators.dedupe import dedupe
+from strata.sinks.tables import STAGING_SUFFIX
 from strata.specs import CleanSpec
 
 
@@ -31,7 +33,7 @@ def table_list(spark: SparkSession, catalog: str | None, layers: Sequence[str])
             rows.append((layer, 0))
             continue
         names = [t.name for t in spark.catalog.listTables(ns) if not t.isTemporary
-                 and "__staging" not in t.name]
+                 and not re.search(STAGING_SUFFIX + "_[0-9a-f]{12}$", t.name)]
         rows.append((layer, len(names)))
     schema = StructType([StructField("layer", StringType(), False),
                          StructField("n_tables", LongType(), False)])
@@ -115,16 +117,16 @@ def reconcile_totals(headers: DataFrame, summaries: dict[str, DataFrame],
     One row per summary: its totals, the input's totals and the differences
     (0 when the summary lost or double-counted nothing)."""
     base = headers.agg(F.count_distinct(order_key).alias("o"),
-                       F.sum(amount).cast("double").alias("r"))
+                       F.sum(amount).alias("r"))
     parts = []
     for name, df in summaries.items():
         parts.append(df.agg(F.sum(orders_col).cast("long").alias("summary_orders"),
-                            F.sum(revenue_col).cast("double").alias("summary_revenue"),
+                            F.sum(revenue_col).alias("summary_revenue"),
                             F.lit(0).cast("long").alias("input_orders"),
-                            F.lit(0.0).alias("input_revenue"))
+                            F.lit(0).alias("input_revenue"))
                      .withColumn("summary", F.lit(name)))
         parts.append(base.select(F.lit(0).cast("long").alias("summary_orders"),
-                                 F.lit(0.0).alias("summary_revenue"),
+                                 F.lit(0).alias("summary_revenue"),
                                  F.col("o").cast("long").alias("input_orders"),
                                  F.col("r").alias("input_revenue"))
                      .withColumn("summary", F.lit(name)))
@@ -134,5 +136,7 @@ def reconcile_totals(headers: DataFrame, summaries: dict[str, DataFrame],
     return folded.select(
         "summary", "summary_orders", "input_orders",
         (F.col("summary_orders") - F.col("input_orders")).alias("diff_orders"),
-        "summary_revenue", "input_revenue",
-        F.round(F.col("summary_revenue") - F.col("input_revenue"), 4).alias("diff_revenue"))
+        F.col("summary_revenue").cast("double").alias("summary_revenue"),
+        F.col("input_revenue").cast("double").alias("input_revenue"),
+        # subtracted in the summaries' own type: decimals stay exact
+        F.round(F.col("summary_revenue") - F.col("input_revenue"), 4).cast("double").alias("diff_revenue"))

@@ -80,7 +80,7 @@ class JoinSpec:
     on: tuple[str, ...]
     columns: tuple[str, ...]
     how: str = "left"
-    unique_on_key: bool = True
+    unique_on_key: bool = False
 
 
 @dataclass(frozen=True)

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from strata.functions.audit import with_ingestion_time
+from strata.sinks.tables import align_for_append
 
 
 def stream_files_into_table(spark: SparkSession, landing_path: str, schema: StructType,
@@ -41,7 +42,8 @@ def stream_files_into_table(spark: SparkSession, landing_path: str, schema: Stru
         def append(batch, batch_id):
             out = batch
             if batch.sparkSession.catalog.tableExists(target):
-                out = batch.select(*batch.sparkSession.table(target).columns)
+                # a column the table lacks raises instead of vanishing
+                out = align_for_append(batch.sparkSession.table(target).schema, batch)
             out.write.mode("append").saveAsTable(target)
 
         query = writer.foreachBatch(append).start()
