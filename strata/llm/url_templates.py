@@ -30,6 +30,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.llm.common import checkpointed
+
 # fixed values: rules (action, host and path)
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
@@ -105,7 +107,8 @@ def judge_urls(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, s
     """Per row of ``pages`` (page_id, url): host, path, rule, verdict, template, purity."""
     host, path = host_and_path(F.col("url"))
     urls = pages.select("page_id", host.alias("host"), path.alias("path"))
-    shapes = templates(urls.select("host", "path"), labels, **tree)
+    # read three times below: the tree is grown once
+    shapes = checkpointed(templates(urls.select("host", "path"), labels, **tree))
     total = shapes.agg(F.sum("labelled").alias("al"), F.sum("good").alias("ag"))
     prior = F.coalesce(F.try_divide("ag", "al"), F.lit(1.0))
     sums = shapes.groupBy("host", "template").agg(F.sum("labelled").alias("tl"), F.sum("good").alias("tg"))
