@@ -9,6 +9,7 @@ published tables lazily.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -122,42 +123,90 @@ def reset_tables_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------- layers
 
-def _counts(spark: SparkSession, names: dict[str, str]) -> DataFrame:
-    return row_counts(spark, names)
+# columns of each published table compared by content (without the load time)
+COLUMNS = {
+    cat.CUSTOMERS: ("CustomerID", "EmailAddress", "CompanyName"),
+    cat.ADDRESSES: ("AddressID", "AddressLine1", "AddressLine2", "City", "StateProvince",
+                    "CountryRegion", "PostalCode"),
+    cat.PRODUCTS: ("ProductID", "Name", "ProductNumber", "Color", "ListPrice"),
+    cat.HEADERS: ("SalesOrderID", "CustomerID", "OrderDate", "PurchaseOrderNumber",
+                  "AccountNumber", "ShipMethod", "TotalDue"),
+    cat.DETAILS: ("SalesOrderID", "SalesOrderDetailID", "ProductID", "OrderQty", "ShipDate",
+                  "SupplierID", "LineTotal"),
+    cat.BY_COMPANY: ("CompanyName", "Total_Valid_Contacts"),
+    cat.BY_COLOR: ("Color", "Total_Products", "Average_List_Price"),
+    cat.SALES_BY_CUSTOMER: ("CompanyName", "Total_Orders", "Total_Revenue"),
+    cat.SALES_BY_DAY: ("OrderDateKey", "Total_Orders", "Total_Revenue"),
+}
+AMOUNTS = ("ListPrice", "TotalDue", "OrderQty", "LineTotal", "Total_Revenue")
+
+
+def row_text(table: str) -> str:
+    """SQL text, valid in Spark and DuckDB, of a row as one string: the columns
+    in order, NULL as ``~``, amounts with four decimals, a mean as its total."""
+    def text(c: str) -> str:
+        if c in AMOUNTS:
+            c = f"cast({c} as decimal(28,4))"
+        elif c == "Average_List_Price":
+            c = "cast(Average_List_Price * Total_Products as decimal(28,2))"
+        return f"coalesce(cast({c} as string), '~')"
+
+    return " || '|' || ".join(text(c) for c in COLUMNS[table])
+
+
+def _contents(spark: SparkSession, tables: Iterable[tuple[str, str, str]]) -> DataFrame:
+    """``(table, n_rows, digest)`` for ``(label, table, qualified name)``.
+
+    ``digest`` adds 24 bits of each row's MD5, so a changed, lost or repeated
+    row shows; one aggregate per table, partial in every task."""
+    digest = "cast(conv(substr(md5({}), 1, 6), 16, 10) as bigint)"
+    frames = [spark.table(name).agg(F.count(F.lit(1)).alias("n_rows"),
+                                    F.sum(F.expr(digest.format(row_text(t)))).alias("digest"))
+              .select(F.lit(label).alias("table"), "n_rows", "digest")
+              for label, t, name in tables]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def all_contents(spark: SparkSession, config: LayerConfig) -> DataFrame:
+    """Rows and digest of all 14 published tables, labelled ``layer.table``."""
+    tables = ([(cat.RAW, t) for t in cat.CLEAN_ORDER] + [(cat.CLEANED, t) for t in cat.CLEAN_ORDER]
+              + [(cat.AGGREGATED, t) for t in cat.SUMMARY_ORDER])
+    return _contents(spark, [(f"{layer}.{t}", t, name)
+                             for (layer, t), name in zip(tables, all_tables(config))])
 
 
 def run_raw_layer_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five sources -> five raw tables; rows per table."""
+    """Five sources -> five raw tables; rows and digest per table."""
     config = workspace("raw")
     run_raw_layer(spark, config, fixture_loads(sf_dir))
-    return _counts(spark, {t: config.raw_table(t) for t in cat.CLEAN_ORDER})
+    return _contents(spark, [(t, t, config.raw_table(t)) for t in cat.CLEAN_ORDER])
 
 
 def run_clean_layer_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw -> five cleaned tables; rows per table."""
+    """Raw -> five cleaned tables; rows and digest per table."""
     config = workspace("clean")
     run_raw_layer(spark, config, fixture_loads(sf_dir))
     run_clean_layer(spark, config)
-    return _counts(spark, {t: config.cleaned_table(t) for t in cat.CLEAN_ORDER})
+    return _contents(spark, [(t, t, config.cleaned_table(t)) for t in cat.CLEAN_ORDER])
 
 
 def run_summary_layer_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned -> four aggregate tables; rows per table."""
+    """Cleaned -> four aggregate tables; rows and digest per table."""
     config = workspace("summary")
     run_raw_layer(spark, config, fixture_loads(sf_dir))
     run_clean_layer(spark, config)
     run_summary_layer(spark, config)
-    return _counts(spark, {t: config.aggregated_table(t) for t in cat.SUMMARY_ORDER})
+    return _contents(spark, [(t, t, config.aggregated_table(t)) for t in cat.SUMMARY_ORDER])
 
 
 def layers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw -> cleaned -> aggregated; rows of all 14 tables."""
+    """Raw -> cleaned -> aggregated; rows and digest of all 14 tables."""
     config = workspace("pipeline")
     run_pipeline(spark, config, fixture_loads(sf_dir))
-    labels = ([f"{cat.RAW}.{t}" for t in cat.CLEAN_ORDER]
-              + [f"{cat.CLEANED}.{t}" for t in cat.CLEAN_ORDER]
-              + [f"{cat.AGGREGATED}.{t}" for t in cat.SUMMARY_ORDER])
-    return _counts(spark, dict(zip(labels, all_tables(config))))
+    return all_contents(spark, config)
 
 
 def published_sales_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,6 +218,11 @@ def published_sales_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumn("Total_Revenue", F.col("Total_Revenue").cast("double"))
 
 
+def ordered_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published sales-by-day table read back in full, latest day first."""
+    return published_sales_by_day(spark, sf_dir).orderBy(F.desc("OrderDateKey"))
+
+
 # ------------------------------------------------------------------- checks
 
 def validate_table_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,6 +279,7 @@ QUERIES = {
     "run_summary_layer": run_summary_layer_query,
     "layers_end_to_end": layers_end_to_end,
     "published_sales_by_day": published_sales_by_day,
+    "ordered_read_back": ordered_read_back,
     "validate_table_list": validate_table_list,
     "validate_schema": validate_schema,
     "validate_row_counts": validate_row_counts,
@@ -238,22 +293,53 @@ def _count_rows(pairs) -> str:
         f"select '{label}' as \"table\", count(*) as n_rows from {view}" for label, view in pairs)
 
 
-def oracle_sql(cleaned_ctes) -> dict[str, str]:
-    raw_views = ("r_customers", "r_addresses", "r_products", "r_headers", "r_details")
-    clean_views = ("s_customers", "s_addresses", "s_products", "s_headers", "s_details")
-    raw_pairs = list(zip(cat.CLEAN_ORDER, raw_views))
-    clean_pairs = list(zip(cat.CLEAN_ORDER, clean_views))
-    summaries = {
-        cat.BY_COMPANY: "(select CompanyName from s_customers group by 1)",
-        cat.BY_COLOR: "(select Color from s_products where Color is not null group by 1)",
-        cat.SALES_BY_CUSTOMER: ("(select c.CompanyName from s_headers h left join s_customers c "
-                                "on h.CustomerID = c.CustomerID group by 1)"),
-        cat.SALES_BY_DAY: "(select cast(OrderDate as date) from s_headers group by 1)",
+RAW_NAMES = ("r_customers", "r_addresses", "r_products", "r_headers", "r_details")
+CLEAN_NAMES = ("s_customers", "s_addresses", "s_products", "s_headers", "s_details")
+
+
+def _summary_views(customers: str, products: str, headers: str) -> dict[str, str]:
+    return {
+        cat.BY_COMPANY: f"(select CompanyName, count(CustomerID) as Total_Valid_Contacts from {customers} group by 1)",
+        cat.BY_COLOR: f"""(select Color, count(ProductID) as Total_Products,
+  cast(sum(ListPrice) as double) / count(ListPrice) as Average_List_Price
+from {products} where Color is not null group by 1)""",
+        cat.SALES_BY_CUSTOMER: f"""(select c.CompanyName, count(distinct h.SalesOrderID) as Total_Orders,
+  sum(h.TotalDue) as Total_Revenue
+from {headers} h left join {customers} c on h.CustomerID = c.CustomerID group by 1)""",
+        cat.SALES_BY_DAY: f"""(select cast(OrderDate as date) as OrderDateKey,
+  count(distinct SalesOrderID) as Total_Orders, sum(TotalDue) as Total_Revenue
+from {headers} group by 1)""",
     }
-    all_clean = cleaned_ctes(*clean_views)
-    pipeline_pairs = ([(f"{cat.RAW}.{t}", v) for t, v in raw_pairs]
-                      + [(f"{cat.CLEANED}.{t}", v) for t, v in clean_pairs]
-                      + [(f"{cat.AGGREGATED}.{t}", q) for t, q in summaries.items()])
+
+
+def _content_rows(triples) -> str:
+    """``(label, table, view)`` -> the rows of ``_contents`` in DuckDB."""
+    return "\nunion all\n".join(
+        f"""select '{label}' as "table", count(*) as n_rows,
+  cast(sum(cast('0x' || substr(md5({row_text(t)}), 1, 6) as bigint)) as bigint) as digest from {view}"""
+        for label, t, view in triples)
+
+
+def layers_sql(cleaned_ctes, headers: str = "headers") -> str:
+    """All 14 tables of a full run; ``headers`` names the header views."""
+    raw_views = [v.replace("headers", headers) for v in RAW_NAMES]
+    clean_views = [v.replace("headers", headers) for v in CLEAN_NAMES]
+    summaries = _summary_views("s_customers", "s_products", f"s_{headers}")
+    triples = ([(f"{cat.RAW}.{t}", t, v) for t, v in zip(cat.CLEAN_ORDER, raw_views)]
+               + [(f"{cat.CLEANED}.{t}", t, v) for t, v in zip(cat.CLEAN_ORDER, clean_views)]
+               + [(f"{cat.AGGREGATED}.{t}", t, v) for t, v in summaries.items()])
+    return cleaned_ctes(*clean_views) + "\n" + _content_rows(triples)
+
+
+def oracle_sql(cleaned_ctes) -> dict[str, str]:
+    raw_pairs = list(zip(cat.CLEAN_ORDER, RAW_NAMES))
+    clean_pairs = list(zip(cat.CLEAN_ORDER, CLEAN_NAMES))
+    summaries = _summary_views("s_customers", "s_products", "s_headers")
+    all_clean = cleaned_ctes(*CLEAN_NAMES)
+    by_day = cleaned_ctes("s_headers") + """
+select cast(OrderDate as date) as OrderDateKey, count(distinct SalesOrderID) as Total_Orders,
+  cast(sum(TotalDue) as double) as Total_Revenue
+from s_headers group by 1"""
     dedupe_rows = {
         "r_customers": ("(select distinct * from r_customers)", "EmailAddress"),
         "r_addresses": ("(select distinct * from r_addresses)", "AddressLine1"),
@@ -280,14 +366,12 @@ from customer""",
         "compact_table": "select * from orders",
         "reset_tables": f"""select '{cat.RAW}' as layer, cast(0 as bigint) as n_tables
 union all select '{cat.CLEANED}', 0 union all select '{cat.AGGREGATED}', 0""",
-        "run_raw_layer": raw_ctes(*raw_views) + "\n" + _count_rows(raw_pairs),
-        "run_clean_layer": all_clean + "\n" + _count_rows(clean_pairs),
-        "run_summary_layer": all_clean + "\n" + _count_rows(summaries.items()),
-        "layers_end_to_end": all_clean + "\n" + _count_rows(pipeline_pairs),
-        "published_sales_by_day": cleaned_ctes("s_headers") + """
-select cast(OrderDate as date) as OrderDateKey, count(distinct SalesOrderID) as Total_Orders,
-  cast(sum(TotalDue) as double) as Total_Revenue
-from s_headers group by 1""",
+        "run_raw_layer": raw_ctes(*RAW_NAMES) + "\n" + _content_rows((t, t, v) for t, v in raw_pairs),
+        "run_clean_layer": all_clean + "\n" + _content_rows((t, t, v) for t, v in clean_pairs),
+        "run_summary_layer": all_clean + "\n" + _content_rows((t, t, v) for t, v in summaries.items()),
+        "layers_end_to_end": layers_sql(cleaned_ctes),
+        "published_sales_by_day": by_day,
+        "ordered_read_back": by_day,
         "validate_table_list": f"""select '{cat.RAW}' as layer, cast(5 as bigint) as n_tables
 union all select '{cat.CLEANED}', 5 union all select '{cat.AGGREGATED}', 4""",
         "validate_schema": """select cast(0 as bigint) as position, 'CustomerID' as "column", 'bigint' as type

@@ -119,7 +119,9 @@ def publish(df: DataFrame, name: str, schema_policy: str = "merge",
 
     ``contract`` (declared columns and types) is checked before anything is
     written; a breach raises and leaves the table as it was.  ``compression``
-    names the file codec (e.g. ``zstd``); by default the session's."""
+    names the file codec (e.g. ``zstd``); by default the session's.  A table
+    replaced under ``merge`` or ``strict`` keeps its partition and bucket
+    columns unless others are given."""
     if schema_policy not in ("merge", "strict", "replace"):
         raise ValueError(f"unknown schema policy {schema_policy!r}")
     if contract is not None:
@@ -132,6 +134,8 @@ def publish(df: DataFrame, name: str, schema_policy: str = "merge",
     if exists and schema_policy != "replace":
         existing = spark.table(name).schema
         out = _merged(existing, df) if schema_policy == "merge" else _strict(existing, df)
+        if not partition_by and bucket_by is None and table_format != "delta":
+            partition_by, bucket_by = table_layout(spark, name)
 
     if table_format == "delta":
         writer = out.write.format("delta").mode("overwrite")

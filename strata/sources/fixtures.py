@@ -99,13 +99,24 @@ def r_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def r_headers_drops(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The order headers in two raw drops: every order, then a second copy of
-    every third order with its amount raised by one (a later, differing
-    duplicate of the same key)."""
+    """The order headers in two raw drops.
+
+    First: four of five orders.  Second: the remaining orders (new keys,
+    some without a customer), copies of every third order with a lower amount
+    (they win the dedupe), copies of the orders without a customer that name
+    one (rejected before, kept now) and copies of every seventh order without
+    a customer (they lose)."""
     b = _headers_base(spark, sf_dir)
-    second = (b.filter(F.col("SalesOrderID") % 3 == 0)
-              .withColumn("TotalDue", (F.col("TotalDue") + 1).cast("decimal(19,4)")))
-    return b, second
+    key = F.col("SalesOrderID")
+    late = (key % 5).eqNullSafe(0)
+    lower = b.filter(key % 3 == 0).withColumn(
+        "TotalDue", (F.col("TotalDue") - 1).cast("decimal(19,4)"))
+    named = b.filter(key % 19 == 0).withColumn("CustomerID", F.lit(1).cast("long"))
+    unnamed = b.filter(key % 7 == 0).withColumn("CustomerID", F.lit(None).cast("long"))
+    second = b.filter(late)
+    for more in (lower, named, unnamed):
+        second = second.unionByName(more)
+    return b.filter(~late), second
 
 
 def r_details(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,6 +175,20 @@ with b as (select o_orderkey as SalesOrderID,
     cast(o_totalprice as decimal(19,4)) as TotalDue
   from orders)
 select * from b union all select * from b where SalesOrderID % 3 = 0""",
+    # both drops of r_headers_drops together
+    "r_headers_drops": """
+with b as (select o_orderkey as SalesOrderID,
+    case when o_orderkey % 19 = 0 then null else o_custkey end as CustomerID,
+    o_orderdate as OrderDate,
+    ' ' || o_orderpriority || ' ' as PurchaseOrderNumber,
+    ' AC-' || cast(o_custkey as varchar) as AccountNumber,
+    o_orderstatus || '  ' as ShipMethod,
+    cast(o_totalprice as decimal(19,4)) as TotalDue
+  from orders)
+select * from b
+union all select * replace (cast(TotalDue - 1 as decimal(19,4)) as TotalDue) from b where SalesOrderID % 3 = 0
+union all select * replace (cast(1 as bigint) as CustomerID) from b where SalesOrderID % 19 = 0
+union all select * replace (cast(null as bigint) as CustomerID) from b where SalesOrderID % 7 = 0""",
     "r_details": """
 select l_orderkey as SalesOrderID, l_linenumber as SalesOrderDetailID,
   case when l_partkey % 23 = 0 then null else l_partkey end as ProductID,
