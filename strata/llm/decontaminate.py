@@ -41,7 +41,7 @@ COLUMNS = 1 << 14           # columns of the matrix; more words share them by ha
 ITEM_BLOCK = 2048
 LONG_ITEM = 64              # longer items are taken in parts of two blocks
 CHUNK = 400_000             # words worked on at once
-FLAGS = 1 << 24             # cells of a (passage, column) table of flags
+PIECE, SLAB = 32, 512       # rows added up in one piece, pieces taken together
 
 
 @dataclass
@@ -125,12 +125,9 @@ def document_frequencies(encoded: DataFrame, columns: int, wide: bool) -> tuple[
                 passages = np.concatenate([[0], np.cumsum([max(1, -(-k // (2 * BLOCK))) for k in n_words])])
                 n += int(passages[-1])
                 passage, cols = passages[owner] + place // (2 * BLOCK), _column(words)
-                step = max(1, FLAGS // columns)
-                for lo in range(0, int(passages[-1]), step):
-                    a, b = np.searchsorted(passage, (lo, lo + step))        # passages ascend
-                    held = np.zeros((min(step, int(passages[-1]) - lo), columns), bool)
-                    held[passage[a:b] - lo, cols[a:b]] = True
-                    df += held.sum(axis=0)
+                held = np.sort(passage * columns + cols)
+                new = np.concatenate([[True], held[1:] != held[:-1]])[:len(held)]
+                df += np.bincount(held[new] % columns, minlength=columns)
         held = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(held, -1), pa.int64()), pa.array(np.append(df[held], n), pa.int64())], ["c", "df"])
@@ -145,9 +142,38 @@ def document_frequencies(encoded: DataFrame, columns: int, wide: bool) -> tuple[
     return out, total
 
 
-def _sums(rows: np.ndarray, values: np.ndarray, to: np.ndarray, n: int) -> np.ndarray:
-    """``out[d, to[i]] += values[d, rows[i]]`` for every dimension d: (dimensions x n)."""
-    return np.stack([np.bincount(to, weights=v[rows], minlength=n) for v in values])
+def _sums(values: np.ndarray, rows: np.ndarray, to: np.ndarray, n: int) -> np.ndarray:
+    """``out[to[i]] += values[rows[i]]``: (n x dimensions).
+
+    The rows of a target are added up in pieces of at most ``PIECE``; pieces
+    of like length are taken together, so each step adds whole rows of a slab
+    that stays in the processor's cache.  A target of several pieces is
+    added up from their sums in the same way."""
+    out = np.zeros((n, values.shape[1]), values.dtype)
+    if not len(to):
+        return out
+    if np.any(to[1:] < to[:-1]):
+        order = np.argsort(to, kind="stable")
+        rows, to = rows[order], to[order]
+    change = np.concatenate([[True], to[1:] != to[:-1]])
+    at = np.arange(len(to))
+    since = at - np.maximum.accumulate(np.where(change, at, 0))
+    start = np.flatnonzero(since % PIECE == 0)
+    length = np.diff(np.append(start, len(to)))
+    target = to[start]
+    several = bool(np.any(target[1:] == target[:-1]))
+    parts = np.empty((len(start), values.shape[1]), values.dtype) if several else out
+    place = np.arange(len(start)) if several else target
+    by = np.argsort(-length, kind="stable")
+    for lo in range(0, len(by), SLAB):
+        own = by[lo:lo + SLAB]
+        first, size = start[own], length[own]
+        total = values[rows[first]]
+        for k in range(1, int(size[0])):
+            m = int(np.searchsorted(-size, -k, side="left"))        # pieces longer than k
+            total[:m] += values[rows[first[:m] + k]]
+        parts[place[own]] = total
+    return _sums(parts, place, target, n) if several else out
 
 
 def singular_directions(encoded: DataFrame, idf: np.ndarray, wide: bool, rank: int = RANK,
@@ -158,7 +184,7 @@ def singular_directions(encoded: DataFrame, idf: np.ndarray, wide: bool, rank: i
     sketch = min(rank + OVERSAMPLE, columns)
     omega = np.linalg.qr(np.random.default_rng(seed).normal(size=(columns, sketch)))[0].astype(np.float32)
     spark = encoded.sparkSession
-    table = spark.sparkContext.broadcast((idf, np.ascontiguousarray((omega * idf[:, None]).T)))
+    table = spark.sparkContext.broadcast((idf, (omega * idf[:, None]).astype(np.float32)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight, rows = table.value
@@ -167,8 +193,8 @@ def singular_directions(encoded: DataFrame, idf: np.ndarray, wide: bool, rank: i
             for docs, n_words, owner, place, words, block, first in _chunks(batch, wide):
                 used = weight[_column(words)] > 0
                 cols, block = _column(words)[used], block[used]
-                passage = _sums(cols, rows, block, int(first[-1]))          # A omega, a passage a block
-                total += _sums(block, passage, cols, columns).T * weight[:, None]
+                passage = _sums(rows, cols, block, int(first[-1]))          # A omega, a passage a block
+                total += _sums(passage, block, cols, columns) * weight[:, None]
         held = np.flatnonzero(np.abs(total).sum(axis=1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(held, pa.int64()), pa.array([total[c].tobytes() for c in held], pa.binary())], ["c", "y"])
@@ -221,11 +247,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, stop_share: float = 0.02,
     # a word of few passages counts whatever its share of a small corpus
     idf[(df > stop_share * passages) & (df > 50)] = 0
     directions = singular_directions(encoded, idf, wide)
-    shared = spark.sparkContext.broadcast((items.ids, items.words, np.ascontiguousarray((directions * idf[:, None]).T), idf > 0))
+    shared = spark.sparkContext.broadcast((items.ids, items.words, (directions * idf[:, None]).astype(np.float32), idf > 0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, item_words, table, used = shared.value
-        queries = np.stack([table[:, _column(w)].sum(axis=1) for w in item_words]).astype(np.float32)
+        queries = np.stack([table[_column(w)].sum(axis=0) for w in item_words])
         queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-12)
         masks: list[dict[int, int]] = []
         for w in item_words:
@@ -237,7 +263,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, stop_share: float = 0.02,
             out = []
             for docs_, n_words, owner, place, words, block, first in _chunks(batch, wide):
                 weighty = used[_column(words)]
-                sums = _sums(_column(words)[weighty], table, block[weighty], int(first[-1])).T.astype(np.float32)
+                sums = _sums(table, _column(words)[weighty], block[weighty], int(first[-1]))
                 windows = sums.copy()
                 last = np.zeros(len(sums), bool)
                 last[first[1:] - 1] = True
