@@ -200,26 +200,34 @@ def run_summary_layer(spark: SparkSession, config: LayerConfig,
     return run_each([lambda n=n: build(n) for n in names], config.max_parallel)
 
 
-def run_pipeline(spark: SparkSession, config: LayerConfig,
-                 loads: Sequence[LoadSpec]) -> list[TableRun]:
+def run_pipeline(spark: SparkSession, config: LayerConfig, loads: Sequence[LoadSpec],
+                 clean_specs: dict[str, CleanSpec] | None = None,
+                 summary_specs: dict[str, SummarySpec] | None = None) -> list[TableRun]:
     """raw -> cleaned -> aggregated; each layer starts only after the
-    previous one succeeded.  A loaded table without a cleaning rule raises."""
-    unknown = [s.target for s in loads if s.target not in cat.CLEAN_SPECS]
+    previous one succeeded.  A loaded table without a cleaning rule raises.
+    ``clean_specs`` and ``summary_specs`` replace the catalogue's rules; with
+    ``summary_specs`` every aggregate in it is built."""
+    rules = cat.CLEAN_SPECS if clean_specs is None else clean_specs
+    unknown = [s.target for s in loads if s.target not in rules]
     if unknown:
         raise ValueError(f"no cleaning rule for {unknown}")
     runs = run_raw_layer(spark, config, loads)
-    runs += run_clean_layer(spark, config, [s.target for s in loads])
-    runs += run_summary_layer(spark, config)
+    runs += run_clean_layer(spark, config, [s.target for s in loads], rules)
+    names = cat.SUMMARY_ORDER if summary_specs is None else tuple(summary_specs)
+    runs += run_summary_layer(spark, config, names, summary_specs)
     return runs
 
 
-def refresh_layers(spark: SparkSession, config: LayerConfig, table: str,
-                   new_rows: DataFrame) -> list[TableRun]:
+def refresh_layers(spark: SparkSession, config: LayerConfig, table: str, new_rows: DataFrame,
+                   clean_specs: dict[str, CleanSpec] | None = None,
+                   summary_specs: dict[str, SummarySpec] | None = None) -> list[TableRun]:
     """New source rows of one table, carried through the layers without a
     full rebuild: appended to the raw table (with their load time), the
     cleaned table refreshed for the touched keys only, the aggregates rebuilt.
-    The result equals a full run over all rows."""
-    spec = cat.CLEAN_SPECS[table]
+    The result equals a full run over all rows.  The specs are those of
+    ``run_pipeline``."""
+    spec = (cat.CLEAN_SPECS if clean_specs is None else clean_specs)[table]
+    summaries = cat.SUMMARY_SPECS if summary_specs is None else summary_specs
     t0 = time.perf_counter()
     raw_name = config.raw_table(table)
     audited = align_for_append(spark.table(raw_name).schema, with_ingestion_time(new_rows))
@@ -231,9 +239,9 @@ def refresh_layers(spark: SparkSession, config: LayerConfig, table: str,
     refreshed = refresh_cleaned(spark.table(cleaned_name), spark.table(raw_name), new_rows, spec)
     _write(spark, config, config.cleaned, table, refreshed, config.cleaned_policy)
     runs.append(TableRun(config.cleaned, table, time.perf_counter() - t0))
-    affected = [n for n, s in cat.SUMMARY_SPECS.items()
+    affected = [n for n, s in summaries.items()
                 if s.source == table or (s.join is not None and s.join.table == table)]
-    return runs + run_summary_layer(spark, config, [n for n in cat.SUMMARY_ORDER if n in affected])
+    return runs + run_summary_layer(spark, config, affected, summaries)
 
 
 RUN_LOG_SCHEMA = StructType([

@@ -62,3 +62,23 @@ def test_replacing_a_table_keeps_its_layout(spark):
     publish(df.select("p", "id"), "layout_kept.parts", schema_policy="merge")
     assert table_layout(spark, "layout_kept.parts")[0] == ["p"]
     assert spark.table("layout_kept.parts").count() == 20
+
+
+def test_layers_with_the_users_own_specs(spark):
+    from strata.plans.table_ops import workspace
+    from strata.specs import CleanSpec, LoadSpec, Metric, SummarySpec
+
+    config = workspace("ownspecs")
+    cleaning = {"visits": CleanSpec(name="visits", keys=("id",), required=("page",), trim=("page",))}
+    totals = {"by_page": SummarySpec(name="by_page", source="visits", group_by=("page",),
+                                     metrics=(Metric("n", "count", "id"),), order_by=(("n", True),))}
+    rows = [(1, " a "), (1, " a "), (2, "a"), (3, None), (4, "b")]
+    first = spark.createDataFrame(rows, "id long, page string")
+    pipeline.run_pipeline(spark, config, [LoadSpec(target="visits", reader=lambda s: first)], cleaning, totals)
+    table = config.aggregated_table("by_page")
+    assert {r.page: r.n for r in spark.table(table).collect()} == {"a": 2, "b": 1}
+    more = spark.createDataFrame([(3, "b"), (5, "c")], "id long, page string")
+    pipeline.refresh_layers(spark, config, "visits", more, cleaning, totals)
+    assert {r.page: r.n for r in spark.table(table).collect()} == {"a": 2, "b": 2, "c": 1}
+    with pytest.raises(ValueError, match="no cleaning rule"):
+        pipeline.run_pipeline(spark, config, [LoadSpec(target="unknown", reader=lambda s: first)], cleaning, totals)
