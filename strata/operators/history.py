@@ -5,105 +5,135 @@ version's value of the same key (``NULL`` for the current one).
 
 A plain ``lead()`` over ``partitionBy(key)`` sends all versions of a key to
 one task, so a key holding a third of the rows would be one task.  Here a
-key's versions are cut into slices of at most about ``rows_per_slice`` rows:
+key's versions are cut into slices of about ``rows_per_slice`` rows:
 
 1. versions per key are counted (an aggregate with map-side combining);
    keys over the limit are *hot*, and there are at most
    ``rows / rows_per_slice`` of them;
 2. for each hot key, approximate quantiles of its version values give the
-   slice bounds (one small row per hot key, checkpointed once; broadcast
-   when the hot-key count, a bound known by construction, allows);
+   slice bounds, as many as the key's own rows need (checkpointed once);
    a row's slice is the number of its key's bounds at or below its version
    (a binary search, about log2(slices) comparisons), a pure function of the
    row, so every recomputation agrees;
-3. ``lead()`` runs within ``(key, slice)``; the last version of a slice gets
-   its successor from the first version of the key's next slice (a table of
-   one row per hot-key slice).
-
-Rows that tie on key and version cannot be separated by a cut and stay in
-one slice; give a ``tie_break`` that makes the order total.
+3. a version so common that it is a bound more than once, and a common NULL
+   version, is dealt further by a hash of the row, in as many groups as the
+   bounds it holds;
+4. ``lead()`` runs within ``(key, slice, group)``; the last row of each gets
+   its successor from a table of one row per hot-key slice and group, where
+   the groups of one version follow each other by their last ``tie_break``.
+
+Both small tables are broadcast only when their rows and bytes, known from
+the counts, are within the limits of ``checked_join``.  Only rows equal in
+every column (map columns aside) cannot be parted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.joins import checked_join
+from strata.operators.dedupe import default_tie_break
+from strata.operators.joins import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, null_safe_join, value_bytes
 from strata.session import ensure_checkpoint_dir
 
 DEFAULT_ROWS_PER_SLICE = 1_000_000
 
 _N = "__strata_n"
+_VALUED = "__strata_valued"
+_PIECES = "__strata_pieces"
+_NULL_PIECES = "__strata_null_pieces"
 _BOUNDS = "__strata_bounds"
 _SLICE = "__strata_slice"
+_BELOW = "__strata_below"
+_GROUP = "__strata_group"
 _NEXT = "__strata_next"
+_FOLLOWED = "__strata_followed"
 _HEAD = "__strata_head"
+_LAST = "__strata_last"
 _NEXT_HEAD = "__strata_next_head"
 
 
-def _slice_bounds(df: DataFrame, keys: Sequence[str], version: str,
-                  rows_per_slice: int) -> tuple[DataFrame, int, int] | None:
-    """``(bounds, hot keys, slices per key)`` where ``bounds`` holds
-    ``(keys..., bounds array)`` per hot key, or ``None`` when none is hot.
+@dataclass(frozen=True)
+class _Cuts:
+    """``bounds`` holds ``(keys..., bounds array, NULL groups)`` per hot key."""
+
+    bounds: DataFrame
+    pieces: int          # of the largest key
+    small: bool          # bounds and group heads may be broadcast
+
+
+def _hot_cuts(df: DataFrame, keys: Sequence[str], version: str, rows_per_slice: int) -> _Cuts | None:
+    """The cuts of the hot keys, or ``None`` when none is hot.
 
     The hot keys and the bounds are written once to the shared checkpoint
     folder: approximate quantiles depend on the order partial sketches are
     merged, and every branch and every retried task must see the same."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))
-    hot = counts.filter(F.col(_N) > rows_per_slice)
-    stats = hot.agg(F.count(F.lit(1)).alias("k"), F.max(_N).alias("m")).first()
+    def needed(rows):
+        return F.ceil(rows / F.lit(rows_per_slice))
+
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N), F.count(version).alias(_VALUED))
+    hot = (counts.filter(F.col(_N) > rows_per_slice)
+           .withColumn(_PIECES, needed(F.col(_VALUED)))
+           .withColumn(_NULL_PIECES, needed(F.col(_N) - F.col(_VALUED))))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    key_bytes = reduce(lambda a, b: a + b, [value_bytes(k, types[k]) for k in keys])
+    # a key has at most pieces slices, as many groups of common versions, and its NULL groups
+    entries = 2 * F.col(_PIECES) + F.col(_NULL_PIECES) + 1
+    stats = hot.agg(F.count(F.lit(1)).alias("k"), F.max(_PIECES).alias("m"), F.sum(entries).alias("e"),
+                    F.sum(entries * (key_bytes + F.lit(32))).alias("b")).first()
     if not stats["k"]:
         return None          # the common case: one counting pass, nothing written
     # exact counts: recomputing them for the checkpoint gives the same hot keys
     ensure_checkpoint_dir(df.sparkSession)
     hot = hot.checkpoint(eager=True)
-    pieces = -(-int(stats["m"]) // rows_per_slice)               # ceil
+    small = stats["e"] <= DEFAULT_MAX_ROWS and stats["b"] <= DEFAULT_MAX_BYTES
+    pieces = max(int(stats["m"]), 2)
     cuts = [i / pieces for i in range(1, pieces)]
-    hot_rows = checked_join(df.select(*keys, version), hot.select(*keys), keys, "left_semi",
-                            null_safe=True)
-    accuracy = max(10_000, 4 * pieces)
-    bounds = hot_rows.groupBy(*keys).agg(F.percentile_approx(version, cuts, accuracy).alias(_BOUNDS))
-    return bounds.checkpoint(eager=True), int(stats["k"]), pieces
+    hot_rows = _join_small(df.select(*keys, version), hot.select(*keys), keys, "left_semi", small)
+    all_bounds = hot_rows.groupBy(*keys).agg(
+        F.percentile_approx(version, cuts, max(10_000, 4 * pieces)).alias(_BOUNDS))
+    own = F.transform(F.sequence(F.lit(1), (F.col(_PIECES) - 1).cast("int")),
+                      lambda i: F.element_at(_BOUNDS, F.floor(i * F.lit(pieces) / F.col(_PIECES)).cast("int")))
+    bounds = (_join_small(hot, all_bounds, keys, "left", small)
+              .withColumn(_BOUNDS, F.when(F.col(_PIECES) > 1, own))
+              .select(*keys, _BOUNDS, _NULL_PIECES))
+    return _Cuts(bounds.checkpoint(eager=True), pieces, small)
 
 
-def _slice_of(df: DataFrame, version: str, pieces: int) -> DataFrame:
-    """Add ``_SLICE`` = number of the row's key bounds at or below its version.
+def _slice_of(df: DataFrame, version: str, pieces: int, row_hash) -> DataFrame:
+    """Add ``_SLICE`` = number of the row's key bounds at or below its version,
+    and ``_GROUP`` (0: the only one of its version, or not a common one).
 
     A binary search over the sorted bounds: one comparison per halving step
     (about log2 of the slice count), each step its own projection, instead
     of comparing every row with every bound."""
     v = F.col(version)
     size = F.coalesce(F.size(_BOUNDS), F.lit(0))
-    out = df.withColumn(_SLICE, F.lit(0))
+    out = df.withColumn(_SLICE, F.lit(0)).withColumn(_BELOW, F.lit(0))
     step = 1
     while step * 2 <= max(pieces, 1):
         step *= 2
     while step >= 1:
-        cand = F.col(_SLICE) + F.lit(step)
-        ok = (cand <= size) & (F.try_element_at(F.col(_BOUNDS), cand) <= v)
-        out = out.withColumn(_SLICE, F.when(v.isNotNull() & ok, cand).otherwise(F.col(_SLICE)))
+        up, low = F.col(_SLICE) + F.lit(step), F.col(_BELOW) + F.lit(step)
+        up_ok = (up <= size) & (F.try_element_at(F.col(_BOUNDS), up) <= v)
+        low_ok = (low <= size) & (F.try_element_at(F.col(_BOUNDS), low) < v)
+        out = out.withColumns({
+            _SLICE: F.when(v.isNotNull() & up_ok, up).otherwise(F.col(_SLICE)),
+            _BELOW: F.when(v.isNotNull() & low_ok, low).otherwise(F.col(_BELOW))})
         step //= 2
-    return out.drop(_BOUNDS)
-
+    # bounds the version itself holds
+    groups = F.when(v.isNull(), F.coalesce(F.col(_NULL_PIECES), F.lit(0))).otherwise(F.col(_SLICE) - F.col(_BELOW))
+    group = F.when(groups > 1, F.pmod(row_hash, groups) + 1).otherwise(F.lit(0)).cast("long")
+    return out.withColumn(_GROUP, group).drop(_BOUNDS, _BELOW, _NULL_PIECES)
 
-def _join_small(left: DataFrame, small: DataFrame, on: Sequence[str], how: str,
-                rows_bound: int) -> DataFrame:
-    """Join a side whose row count is bounded by construction: broadcast it
-    when that bound is within the broadcast limit, else shuffle both."""
-    from strata.operators.joins import DEFAULT_MAX_ROWS
 
-    side = F.broadcast(small) if rows_bound <= DEFAULT_MAX_ROWS else small
-    renamed = {c: f"__strata_r_{c}" for c in on}
-    side = side.withColumnsRenamed(renamed)
-    cond = None
-    for c in on:
-        term = left[c].eqNullSafe(side[renamed[c]])
-        cond = term if cond is None else cond & term
-    out = left.join(side, on=cond, how=how)
-    return out if how in ("left_semi", "left_anti") else out.drop(*renamed.values())
+def _join_small(left: DataFrame, side: DataFrame, on: Sequence[str], how: str, small: bool) -> DataFrame:
+    """Join a side whose size is bounded by construction; NULL keys match."""
+    return null_safe_join(left, F.broadcast(side) if small else side, on, how)
 
 
 def validity_ranges(df: DataFrame, keys: Sequence[str], version: str,
@@ -113,30 +143,28 @@ def validity_ranges(df: DataFrame, keys: Sequence[str], version: str,
     """``df`` plus ``valid_to`` (next version of the same key) and ``is_current``.
 
     Versions are ordered by ``version`` then ``tie_break``, ascending with
-    NULL first.  ``version`` must be numeric, a date or a timestamp."""
+    NULL first; which of several rows equal in both comes last is not
+    defined.  ``version`` must be numeric, a date or a timestamp."""
     order = [F.col(c).asc_nulls_first() for c in [version, *tie_break]]
-    found = _slice_bounds(df, keys, version, rows_per_slice)
-    if found is None:
-        sliced = df.withColumn(_SLICE, F.lit(0))
-    else:
-        bounds, n_hot, pieces = found
-        # one row per hot key: bounded by construction
-        sliced = _slice_of(_join_small(df, bounds, keys, "left", n_hot), version, pieces)
-
-    inner = Window.partitionBy(*keys, _SLICE).orderBy(*order)
-    with_next = sliced.withColumn(_NEXT, F.lead(version).over(inner))
-    if found is None:
-        out = with_next.withColumn(valid_to, F.col(_NEXT))
-    else:
-        # first version of every slice of a hot key, and of the key's next slice
-        hot_slices = _join_small(sliced, bounds.select(*keys), keys, "left_semi", n_hot)
-        heads = hot_slices.groupBy(*keys, _SLICE).agg(
-            F.min(F.struct(*[F.col(c) for c in [version, *tie_break]])).alias(_HEAD))
-        heads = heads.withColumn(
-            _NEXT_HEAD, F.lead(F.col(f"{_HEAD}.{version}")).over(Window.partitionBy(*keys).orderBy(_SLICE))
-        ).select(*keys, _SLICE, _NEXT_HEAD)
-        # at most one row per hot-key slice
-        out = (_join_small(with_next, heads, [*keys, _SLICE], "left", n_hot * (pieces + 1))
-               .withColumn(valid_to, F.coalesce(F.col(_NEXT), F.col(_NEXT_HEAD))))
-    return (out.withColumn(is_current, F.col(valid_to).isNull())
-            .drop(_SLICE, _NEXT, _NEXT_HEAD))
+    cuts = _hot_cuts(df, keys, version, rows_per_slice)
+    if cuts is None:
+        out = df.withColumn(valid_to, F.lead(version).over(Window.partitionBy(*keys).orderBy(*order)))
+        return out.withColumn(is_current, F.col(valid_to).isNull())
+
+    row_hash = F.xxhash64(*[F.col(c) for c in default_tie_break(df, ())])
+    sliced = _slice_of(_join_small(df, cuts.bounds, keys, "left", cuts.small), version, cuts.pieces, row_hash)
+    inner = Window.partitionBy(*keys, _SLICE, _GROUP).orderBy(*order)
+    with_next = (sliced.withColumn(_NEXT, F.lead(version).over(inner))
+                 .withColumn(_FOLLOWED, F.lead(F.lit(True)).over(inner)))
+    # first and last row of every slice and group of a hot key, in the key's order:
+    # a common version's groups come before the rest of the slice it opens
+    ordered = F.struct(*[F.col(c) for c in [version, *tie_break]])
+    heads = (_join_small(sliced, cuts.bounds.select(*keys), keys, "left_semi", cuts.small)
+             .groupBy(*keys, _SLICE, _GROUP).agg(F.min(ordered).alias(_HEAD), F.max(ordered).alias(_LAST)))
+    along = Window.partitionBy(*keys).orderBy(F.col(_SLICE), F.col(_GROUP) == 0, F.col(_LAST), F.col(_GROUP))
+    heads = heads.withColumn(_NEXT_HEAD, F.lead(F.col(f"{_HEAD}.{version}")).over(along)).select(
+        *keys, _SLICE, _GROUP, _NEXT_HEAD)
+    out = _join_small(with_next, heads, [*keys, _SLICE, _GROUP], "left", cuts.small)
+    return (out.withColumn(valid_to, F.when(F.col(_FOLLOWED), F.col(_NEXT)).otherwise(F.col(_NEXT_HEAD)))
+            .withColumn(is_current, F.col(valid_to).isNull())
+            .drop(_SLICE, _GROUP, _NEXT, _FOLLOWED, _NEXT_HEAD))

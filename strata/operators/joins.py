@@ -37,7 +37,7 @@ class BroadcastDecision:
     reason: str
 
 
-def _value_bytes(name: str, dtype: T.DataType) -> Column:
+def value_bytes(name: str, dtype: T.DataType) -> Column:
     col = F.col(f"`{name}`")
     if isinstance(dtype, (T.StringType, T.BinaryType)):
         return F.coalesce(F.octet_length(col), F.lit(0))
@@ -50,7 +50,7 @@ def _value_bytes(name: str, dtype: T.DataType) -> Column:
 
 def measure(df: DataFrame) -> tuple[int, int]:
     """``(rows, payload bytes)`` of ``df``: one aggregate, each task sends two numbers."""
-    widths = [_value_bytes(f.name, f.dataType) for f in df.schema.fields] or [F.lit(0)]
+    widths = [value_bytes(f.name, f.dataType) for f in df.schema.fields] or [F.lit(0)]
     row_bytes = widths[0]
     for w in widths[1:]:
         row_bytes = row_bytes + w

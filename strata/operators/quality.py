@@ -5,9 +5,9 @@ contracts.
   aggregate with conditional counts), reshaped to one row per column.
 * ``clean_with_rejects`` -- the cleaned rows and, beside them, every raw row
   the rules dropped, with the reason.  Survivors come from the same
-  deterministic dedupe as ``clean``; the dropped copies are
-  ``raw EXCEPT ALL survivors``, which Spark runs as an aggregate with
-  map-side combining, so a row copied many times is counted, not gathered.
+  deterministic dedupe as ``clean``; the dropped copies are counted per
+  distinct row (an aggregate with map-side combining) and written out again
+  in chunks dealt over the tasks, so no task makes all copies of one row.
 * ``check_contract`` -- compare a schema with a declared ``StructType``.
 """
 
@@ -27,6 +27,12 @@ from strata.specs import CleanSpec
 REJECT_REASON = "_reject_reason"
 DUPLICATE = "duplicate"
 MISSING_PREFIX = "missing:"
+# copies of one row that a task writes out at a time
+COPIES_PER_CHUNK = 10_000
+
+_COPIES = "__strata_copies"
+_CHUNK = "__strata_chunk"
+_COPY = "__strata_copy"
 
 
 def column_metrics(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -58,6 +64,24 @@ def _missing_reason(required: Sequence[str]) -> Column:
     return reason
 
 
+def surplus_copies(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """``rows EXCEPT ALL kept``, where one row may have any number of copies.
+
+    The copies of a distinct row are counted, cut into chunks and the chunks
+    dealt over the tasks before they are expanded."""
+    names = [f"`{c.replace('`', '``')}`" for c in rows.columns]
+    left = (rows.select(*names, F.lit(1).cast("long").alias(_COPIES))
+            .union(kept.select(*names, F.lit(-1).cast("long").alias(_COPIES)))
+            .groupBy(*names).agg(F.sum(_COPIES).alias(_COPIES)).filter(F.col(_COPIES) > 0))
+    chunks = left.withColumn(_CHUNK, F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor((F.col(_COPIES) - 1) / COPIES_PER_CHUNK))))
+    here = F.least(F.lit(COPIES_PER_CHUNK), F.col(_COPIES) - F.col(_CHUNK) * COPIES_PER_CHUNK)
+    # a stated number of tasks: AQE would merge them by the few bytes that the chunks have before they are expanded
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (chunks.repartition(tasks, *names, _CHUNK)
+            .withColumn(_COPY, F.explode(F.sequence(F.lit(1).cast("long"), here))).select(*names))
+
+
 def clean_with_rejects(df: DataFrame, spec: CleanSpec) -> tuple[DataFrame, DataFrame]:
     """``(cleaned, rejects)``; ``rejects`` holds raw rows plus ``_reject_reason``.
 
@@ -67,11 +91,11 @@ def clean_with_rejects(df: DataFrame, spec: CleanSpec) -> tuple[DataFrame, DataF
         missing = df.withColumn(REJECT_REASON, reason).filter(F.col(REJECT_REASON).isNotNull())
         passed = df.filter(reason.isNull()) if spec.required else df
         survivors = dedupe(passed, spec.keys, spec.tie_break)
-        copies = passed.exceptAll(survivors).withColumn(REJECT_REASON, F.lit(DUPLICATE))
+        copies = surplus_copies(passed, survivors).withColumn(REJECT_REASON, F.lit(DUPLICATE))
         kept = survivors
     else:
         survivors = dedupe(df, spec.keys, spec.tie_break)
-        copies = df.exceptAll(survivors).withColumn(REJECT_REASON, F.lit(DUPLICATE))
+        copies = surplus_copies(df, survivors).withColumn(REJECT_REASON, F.lit(DUPLICATE))
         reason = _missing_reason(spec.required)
         missing = survivors.withColumn(REJECT_REASON, reason).filter(F.col(REJECT_REASON).isNotNull())
         kept = survivors.filter(reason.isNull()) if spec.required else survivors

@@ -216,3 +216,43 @@ def test_stream_file_sink_for_a_table_only_the_stream_writes(spark):
     stream_files_into_table(spark, landing, spark.range(1).schema, target, ck, sink="table")
     stream_files_into_table(spark, landing, spark.range(1).schema, target, ck, sink="table")
     assert sorted(r.id for r in spark.table(target).collect()) == list(range(30))
+
+
+@pytest.mark.parametrize("rows_per_slice", [1_000_000, 300, 50, 7])
+def test_validity_ranges_with_common_and_null_versions(spark, rows_per_slice):
+    from pyspark.sql import Window
+
+    from strata.operators.history import validity_ranges
+
+    i = F.col("id")
+    df = spark.range(3000).select(
+        F.when(i % 3 == 0, F.lit("hot")).when(i % 10 < 2, F.lit("nulls")).otherwise((i % 40).cast("string")).alias("k"),
+        F.when(i % 10 < 2, F.lit(None)).when(i % 4 < 2, F.lit(5)).otherwise(i % 11).cast("long").alias("v"),
+        i.alias("t"), F.lit("x").alias("extra"))
+    w = Window.partitionBy("k").orderBy(F.col("v").asc_nulls_first(), F.col("t").asc_nulls_first())
+    want = df.withColumn("valid_to", F.lead("v").over(w)).withColumn("is_current", F.col("valid_to").isNull())
+    got = validity_ranges(df, ["k"], "v", ["t"], rows_per_slice=rows_per_slice)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_common_version_is_spread_over_groups(spark):
+    from strata.operators import history
+
+    df = spark.range(4000).select(F.lit(1).alias("k"), F.when(F.col("id") % 2 == 0, F.lit(5)).otherwise(
+        F.col("id")).alias("v"), F.col("id").alias("t"))
+    cuts = history._hot_cuts(df, ["k"], "v", 200)
+    out = history._slice_of(history._join_small(df, cuts.bounds, ["k"], "left", cuts.small), "v", cuts.pieces,
+                            F.xxhash64("t"))
+    sizes = [r["count"] for r in out.groupBy(history._SLICE, history._GROUP).count().collect()]
+    assert max(sizes) <= 400 and sum(sizes) == 4000
+
+
+def test_rejected_copies_are_written_in_chunks(spark):
+    df = spark.range(45_000).select(F.lit(1).alias("k"), F.lit(None).cast("string").alias("v")).union(
+        spark.createDataFrame([(2, "b"), (2, "b")], "k int, v string"))
+    spec = CleanSpec(name="t", keys=("k",), required=("v",))
+    kept, rejects = clean_with_rejects(df, spec)
+    copies = rejects.filter("_reject_reason = 'duplicate'")
+    assert kept.count() == 1 and copies.count() == 45_000 and rejects.count() == 45_001
+    per_task = [r["count"] for r in copies.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(per_task) < 45_000
