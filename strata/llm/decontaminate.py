@@ -5,7 +5,8 @@
    folder; all later passes read only that.
 2. Passages are blocks of words (for frequencies, two together).  Document frequencies over all of them give
    idf weights; words in more than ``stop_share`` of the passages are left
-   out of the vectors.
+   out of the vectors.  Words of an item do not count where a copy of it
+   stands (step 5), so a leak that is copied often keeps its weights.
 3. Randomised SVD: every partition adds up its part of ``A'(A omega)`` of
    the TF-IDF matrix ``A`` of all passages; the sum (columns x sketch, of at
    most ``COLUMNS`` columns) gives the leading singular directions by the
@@ -13,7 +14,11 @@
 4. Candidate search: windows of two neighbouring blocks and the benchmark's
    items are projected; windows within ``min_cosine`` of an item are
    candidates.  Items are the query set, taken in blocks of ``ITEM_BLOCK``.
-5. Checks: the longest common subsequence of item and neighbourhood, over
+5. Exact path, without weights: a copy of an item of ``n`` words with ``k``
+   words replaced, left out or put in keeps at least ``n - 1 - 2 k`` of its
+   pairs of neighbouring words.  Places with as many pairs as ``min_lcs``
+   asks for are candidates too, and every place of an item's answer.
+6. Checks: the longest common subsequence of item and neighbourhood, over
    the item's length, must reach ``min_lcs``, or ``paraphrase_lcs`` where
    also the item's answer (its last ``answer_words`` words) stands there.
 
@@ -65,13 +70,142 @@ def read_items(rows: list[tuple[int, str]]) -> Items:
     return Items(vocab, ids, words)
 
 
-def encode(docs: DataFrame, items: Items) -> DataFrame:
-    """``(doc_id, n_words, places, words)``: the benchmark's words of every text."""
-    shared = docs.sparkSession.sparkContext.broadcast(items.vocab)
+Postings = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]    # sorted codes, bounds, items, bitmap of the codes
+
+
+@dataclass
+class Grams:
+    """Pairs of neighbouring words of all items, and their answers, by code."""
+    base: int
+    pairs: Postings
+    answers: Postings
+    single: bool                # some item has one word: its code has no second one
+    answer_words: int
+    ends: np.ndarray            # by word: an answer ends with it
+    need: np.ndarray            # by item: pairs a copy keeps
+    reach: np.ndarray           # by item: blocks a copy may touch
+    columns: list[np.ndarray]   # by item
+
+
+def _index(codes: list[int], items: list[int]) -> Postings:
+    rows = np.unique(np.stack([np.array(codes, np.int64), np.array(items, np.int64)], axis=1), axis=0)
+    keys, begin = np.unique(rows[:, 0], return_index=True)
+    bitmap = np.zeros(1 << 18, bool)
+    bitmap[_bit(keys)] = True
+    return keys, np.append(begin, len(rows)), rows[:, 1], bitmap
+
+
+def _bit(codes: np.ndarray) -> np.ndarray:
+    return ((codes * np.int64(0x2545F4914F6CDD1D)) >> 40) & ((1 << 18) - 1)
+
+
+def _run_code(code, word):
+    """The code of a run of words, one word on; equal ones are verified later."""
+    return code * np.int64(0x2545F4914F6CDD1D) + word + 1
+
+
+def read_grams(items: Items, min_lcs: float, answer_words: int) -> Grams:
+    base = len(items.vocab) + 1
+    pairs, owners, tails, of = [], [], [], []
+    ends = np.zeros(base, bool)
+    need, reach = np.ones(len(items.words), np.int64), np.ones(len(items.words), np.int64)
+    for i, own in enumerate(items.words):
+        w = own.astype(np.int64)
+        codes = (w[:-1] + 1) * base + w[1:] + 1 if len(w) > 1 else (w + 1) * base
+        pairs += codes.tolist()
+        owners += [i] * len(codes)
+        edits = int(len(w) * (1 - min_lcs) + 1e-9)
+        need[i] = max(1, len(w) - 1 - 2 * edits)
+        reach[i] = -(-(len(w) + edits) // BLOCK) + 1
+        if 0 < answer_words <= len(w):
+            code = np.zeros(1, np.int64)
+            for word in w[-answer_words:]:
+                code = _run_code(code, word)
+            tails += code.tolist()
+            of.append(i)
+            ends[w[-1]] = True
+    return Grams(base, _index(pairs, owners), _index(tails, of), any(len(w) == 1 for w in items.words), answer_words,
+                 ends, need, reach, [np.unique(_column(w.astype(np.int64))) for w in items.words])
+
+
+def _posted(table: Postings, codes: np.ndarray, blocks: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``item * n + block`` of all hits and their numbers, in slabs of bounded size."""
+    keys, begin, items, bitmap = table
+    if not len(keys):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    maybe = np.flatnonzero(bitmap[_bit(codes)])
+    codes, blocks = codes[maybe], blocks[maybe]
+    at = np.minimum(np.searchsorted(keys, codes), len(keys) - 1)
+    hit = keys[at] == codes
+    at, blocks = at[hit], blocks[hit]
+    size = begin[at + 1] - begin[at]
+    slab = np.cumsum(size) // (1 << 22)
+    found, count = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for lo, hi in zip(edges := np.flatnonzero(np.diff(slab, prepend=-1)), np.append(edges[1:], len(at))):
+        own = size[lo:hi]
+        within = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+        key, c = np.unique(items[np.repeat(begin[at[lo:hi]], own) + within] * n + np.repeat(blocks[lo:hi], own),
+                           return_counts=True)
+        found.append(key), count.append(c)
+    if len(found) == 2:
+        return found[1], count[1]
+    key, back = np.unique(np.concatenate(found), return_inverse=True)
+    return key, np.bincount(back, np.concatenate(count), len(key)).astype(np.int64)
+
+
+def copies(grams: Grams, owner: np.ndarray, place: np.ndarray, words: np.ndarray, block: np.ndarray,
+           first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(block, item)``: a copy of the item, or its answer, may begin there."""
+    n = int(first[-1])
+    joined = (owner[1:] == owner[:-1]) & (place[1:] == place[:-1] + 1)
+    codes, at = ((words[:-1] + 1) * grams.base + words[1:] + 1)[joined], block[:-1][joined]
+    if grams.single:
+        codes, at = np.concatenate([codes, (words + 1) * grams.base]), np.concatenate([at, block])
+    key, count = _posted(grams.pairs, codes, at, n)
+    item, start = key // n, key % n
+    end = first[np.searchsorted(first, start, side="right")] if len(key) else start
+    total = count.copy()
+    for j in range(1, int(grams.reach.max(initial=1))):
+        to = np.minimum(np.searchsorted(key, key + j), max(len(key) - 1, 0))
+        own = (key[to] == key + j) & (j < grams.reach[item]) & (start + j < end)
+        total[own] += count[to[own]]
+    key = key[total >= grams.need[item]]
+    m = grams.answer_words
+    if len(grams.answers[0]) and len(words) >= m:
+        last = m - 1 + np.flatnonzero(grams.ends[words[m - 1:]])
+        last = last[(owner[last] == owner[last - m + 1]) & (place[last] - place[last - m + 1] == m - 1)]
+        codes = np.zeros(len(last), np.int64)
+        for j in range(m):
+            codes = _run_code(codes, words[last - m + 1 + j])
+        key = np.union1d(key, _posted(grams.answers, codes, block[last - m + 1], n)[0])
+    return key % n, key // n
+
+
+def _outside(grams: Grams, columns: int, words: np.ndarray, block: np.ndarray, first: np.ndarray, start: np.ndarray,
+             item: np.ndarray) -> np.ndarray:
+    """Mask of the words that do not stand in a copy of an item that has them."""
+    held = []
+    for i in np.unique(item):
+        own = start[item == i]
+        end = first[np.searchsorted(first, own, side="right")]
+        at = own[:, None] + np.arange(grams.reach[i])
+        at = np.unique(at[at < end[:, None]])
+        held.append((at[:, None] * columns + grams.columns[i]).ravel())
+    if not held:
+        return np.ones(len(words), bool)
+    return ~np.isin(block * columns + _column(words), np.concatenate(held))
+
+
+def encode(docs: DataFrame, items: Items, grams: Grams) -> DataFrame:
+    """``(doc_id, n_words, places, words, starts, copied)``: the benchmark's words
+    of every text, and the blocks where copies of items may begin."""
+    shared = docs.sparkSession.sparkContext.broadcast((items.vocab, grams))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = shared.value.get
-        kind = np.uint16 if len(shared.value) < 1 << 16 else np.int32
+        vocab, grams = shared.value
+        get = vocab.get
+        wide = len(vocab) >= 1 << 16
+        kind = np.int32 if wide else np.uint16
         for batch in batches:
             n, places, words = [], [], []
             for raw in batch.column(1).to_pylist():
@@ -81,20 +215,32 @@ def encode(docs: DataFrame, items: Items) -> DataFrame:
                 n.append(len(ws))
                 places.append(at.astype(np.int32).tobytes())
                 words.append(ids[at].astype(kind).tobytes())
+            cols = [batch.column(0), pa.array(n, pa.int64()), pa.array(places, pa.binary()), pa.array(words, pa.binary())]
+            names = ["doc_id", "n_words", "places", "words"]
+            starts, copied = [], []
+            for docs_, _, owner, place, flat, block, first, *_ in _chunks(pa.RecordBatch.from_arrays(cols, names), wide):
+                start, item = copies(grams, owner, place, flat, block, first)
+                order = np.lexsort((item, start))
+                start, item = start[order], item[order]
+                cuts = np.searchsorted(start, first)
+                for d, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                    starts.append((start[a:b] - first[d]).astype(np.int32).tobytes())
+                    copied.append(item[a:b].astype(np.int32).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(places, pa.binary()), pa.array(words, pa.binary())],
-                ["doc_id", "n_words", "places", "words"])
+                [*cols, pa.array(starts, pa.binary()), pa.array(copied, pa.binary())], [*names, "starts", "copied"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(
-        run, "doc_id long, n_words long, places binary, words binary")
+        run, "doc_id long, n_words long, places binary, words binary, starts binary, copied binary")
 
 
 def _chunks(batch: pa.RecordBatch, wide: bool) -> Iterator[tuple]:
     """Documents put together: ids, and per word its document, place and block;
-    per document the first block.  A very long document is one chunk."""
+    per document the first block; blocks and items of copies, where they are
+    known.  A very long document is one chunk."""
     docs = batch.column(0).to_pylist()
     n_words = batch.column(1).to_pylist()
     places, words = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+    starts, copied = (batch.column(i).to_pylist() if batch.num_columns > 4 else [b""] * len(docs) for i in (4, 5))
     kind = np.int32 if wide else np.uint16
     lo = 0
     while lo < len(docs):
@@ -108,7 +254,9 @@ def _chunks(batch: pa.RecordBatch, wide: bool) -> Iterator[tuple]:
         flat_words = np.concatenate([np.frombuffer(w, kind) for w in words[lo:hi]]).astype(np.int64)
         owner = np.repeat(np.arange(hi - lo), [len(p) for p in place])
         flat_places = np.concatenate(place).astype(np.int64)
-        yield docs[lo:hi], n_words[lo:hi], owner, flat_places, flat_words, first[owner] + flat_places // BLOCK, first
+        start = [np.frombuffer(x, np.int32) + a for x, a in zip(starts[lo:hi], first)]
+        yield (docs[lo:hi], n_words[lo:hi], owner, flat_places, flat_words, first[owner] + flat_places // BLOCK, first,
+               np.concatenate(start), np.frombuffer(b"".join(copied[lo:hi]), np.int32))
         lo = hi
 
 
@@ -116,15 +264,19 @@ def _column(words: np.ndarray) -> np.ndarray:
     return words % COLUMNS
 
 
-def document_frequencies(encoded: DataFrame, columns: int, wide: bool) -> tuple[np.ndarray, int]:
-    """Passages (two blocks, not overlapping) that hold each column; the number of passages."""
+def document_frequencies(encoded: DataFrame, columns: int, wide: bool, grams: Grams) -> tuple[np.ndarray, int]:
+    """Passages (two blocks, not overlapping) that hold each column outside
+    copies of its items; the number of passages."""
+    shared = encoded.sparkSession.sparkContext.broadcast(grams)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n = np.zeros(columns, np.int64), 0
         for batch in batches:
-            for docs, n_words, owner, place, words, block, first in _chunks(batch, wide):
+            for docs, n_words, owner, place, words, block, first, start, item in _chunks(batch, wide):
                 passages = np.concatenate([[0], np.cumsum([max(1, -(-k // (2 * BLOCK))) for k in n_words])])
                 n += int(passages[-1])
-                passage, cols = passages[owner] + place // (2 * BLOCK), _column(words)
+                out = _outside(shared.value, columns, words, block, first, start, item)
+                passage, cols = (passages[owner] + place // (2 * BLOCK))[out], _column(words[out])
                 held = np.sort(passage * columns + cols)
                 new = np.concatenate([[True], held[1:] != held[:-1]])[:len(held)]
                 df += np.bincount(held[new] % columns, minlength=columns)
@@ -190,7 +342,7 @@ def singular_directions(encoded: DataFrame, idf: np.ndarray, wide: bool, rank: i
         weight, rows = table.value
         total = np.zeros((columns, sketch), np.float64)
         for batch in batches:
-            for docs, n_words, owner, place, words, block, first in _chunks(batch, wide):
+            for docs, n_words, owner, place, words, block, first, *_ in _chunks(batch, wide):
                 used = weight[_column(words)] > 0
                 cols, block = _column(words)[used], block[used]
                 passage = _sums(rows, cols, block, int(first[-1]))          # A omega, a passage a block
@@ -241,18 +393,23 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, stop_share: float = 0.02,
     if not items.ids:
         return spark.createDataFrame([], schema)
     columns, wide = min(len(items.vocab), COLUMNS), len(items.vocab) >= 1 << 16
-    encoded = checkpointed(encode(docs.where(F.col("doc_id").isNotNull()), items))
-    df, passages = document_frequencies(encoded, columns, wide)
+    grams = read_grams(items, min_lcs, answer_words)
+    encoded = checkpointed(encode(docs.where(F.col("doc_id").isNotNull()), items, grams))
+    df, passages = document_frequencies(encoded, columns, wide, grams)
     idf = np.log((1 + passages) / (1 + df))
     # a word of few passages counts whatever its share of a small corpus
     idf[(df > stop_share * passages) & (df > 50)] = 0
     directions = singular_directions(encoded, idf, wide)
     shared = spark.sparkContext.broadcast((items.ids, items.words, (directions * idf[:, None]).astype(np.float32), idf > 0))
 
+    n_vocab = len(items.vocab)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, item_words, table, used = shared.value
         queries = np.stack([table[_column(w)].sum(axis=0) for w in item_words])
         queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-12)
+        lengths = np.array([len(w) for w in item_words], np.int64)
+        own_words = np.zeros(n_vocab, bool)     # of the item at hand
         masks: list[dict[int, int]] = []
         for w in item_words:
             own: dict[int, int] = {}
@@ -261,7 +418,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, stop_share: float = 0.02,
             masks.append(own)
         for batch in batches:
             out = []
-            for docs_, n_words, owner, place, words, block, first in _chunks(batch, wide):
+            for docs_, n_words, owner, place, words, block, first, starts, copied in _chunks(batch, wide):
                 weighty = used[_column(words)]
                 sums = _sums(table, _column(words)[weighty], block[weighty], int(first[-1]))
                 windows = sums.copy()
@@ -270,33 +427,54 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, stop_share: float = 0.02,
                 windows[:-1][~last[:-1]] += sums[1:][~last[:-1]]
                 size = np.linalg.norm(windows, axis=1)
                 busy = np.flatnonzero(size > 0)
-                seen: set[tuple[int, int, int]] = set()
-                begins = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(docs_)))])
+                found = [[], [], []]                    # windows, items, cosines
                 for lo in range(0, len(queries), ITEM_BLOCK):
                     for wlo in range(0, len(busy), 1 << 14):
                         rows = busy[wlo:wlo + (1 << 14)]
                         near = (windows[rows] / size[rows, None]) @ queries[lo:lo + ITEM_BLOCK].T
-                        for i, q in zip(*np.nonzero(near >= min_cosine)):
-                            window, item = int(rows[i]), int(lo + q)
-                            d = int(np.searchsorted(first, window, side="right")) - 1
-                            start = (window - int(first[d])) * BLOCK
-                            length = len(item_words[item])
-                            a, b = begins[d], begins[d + 1]
-                            # the window and as much around it as the item may reach out
-                            lo_at = a + np.searchsorted(place[a:b], start - length)
-                            hi_at = a + np.searchsorted(place[a:b], start + 2 * BLOCK + length)
-                            got = words[lo_at:hi_at].tolist()
-                            common = lcs(masks[item], length, got) / length
-                            if common < paraphrase_lcs:
-                                continue
-                            seq = item_words[item].tolist()
-                            tail = seq[-answer_words:]
-                            at = place[lo_at:hi_at]
-                            answer = any(got[k:k + len(tail)] == tail and at[k + len(tail) - 1] - at[k] == len(tail) - 1
-                                         for k in range(len(got) - len(tail) + 1))
-                            if common >= min_lcs or answer:
-                                own = [int(p) for p, w in zip(at, got) if w in masks[item]]
-                                out.append((docs_[d], ids[item], own[0], own[-1] + 1, float(near[i, q]), common, answer))
+                        i, q = np.nonzero(near >= min_cosine)
+                        found[0].append(rows[i]), found[1].append(lo + q), found[2].append(near[i, q])
+                near_by = len(windows) * np.concatenate([*found[1], copied[:0]]) + np.concatenate([*found[0], starts[:0]])
+                alone = ~np.isin(len(windows) * copied.astype(np.int64) + starts, near_by)
+                w, q = starts[alone], copied[alone]
+                found[0].append(w), found[1].append(q)
+                found[2].append(np.einsum("ij,ij->i", windows[w], queries[q]) / np.maximum(size[w], 1e-12))
+                window, item, cosine = (np.concatenate(x) for x in found)
+                order = np.lexsort((cosine < min_cosine, item))
+                window, item, cosine = window[order], item[order], cosine[order].astype(np.float64)
+                # the window and as much around it as the item may reach out
+                doc = np.searchsorted(first, window, side="right") - 1
+                start, length = (window - first[doc]) * BLOCK, lengths[item]
+                far = max(n_words, default=0) + 1
+                line = owner * far + place
+                lows = np.searchsorted(line, doc * far + np.clip(start - length, 0, far - 1))
+                highs = np.searchsorted(line, doc * far + np.clip(start + 2 * BLOCK + length, 0, far - 1))
+                whole: set[tuple[int, int]] = set()
+                before = -1
+                for d, i, c, lo_at, hi_at in zip(*(x.tolist() for x in (doc, item, cosine, lows, highs))):
+                    if i != before:
+                        own_words[item_words[before] if before >= 0 else slice(0)] = False
+                        own_words[item_words[i]] = True
+                        before, n = i, len(item_words[i])
+                    if c < min_cosine and (d, i) in whole:
+                        continue        # at best the same share at a smaller cosine
+                    got, at = words[lo_at:hi_at], place[lo_at:hi_at]
+                    own = own_words[got]
+                    if np.count_nonzero(own) / n < paraphrase_lcs:
+                        continue
+                    common = lcs(masks[i], n, got[own].tolist()) / n
+                    if common < paraphrase_lcs:
+                        continue
+                    got = got.tolist()
+                    tail = item_words[i].tolist()[-answer_words:]
+                    answer = any(got[k:k + len(tail)] == tail and at[k + len(tail) - 1] - at[k] == len(tail) - 1
+                                 for k in range(len(got) - len(tail) + 1))
+                    if common == 1 and c >= min_cosine:
+                        whole.add((d, i))
+                    if common >= min_lcs or answer:
+                        at = at[own]
+                        out.append((docs_[d], ids[i], int(at[0]), int(at[-1]) + 1, c, common, answer))
+                own_words[:] = False
             cols = list(zip(*out)) or [[]] * 7
             types = [pa.int64()] * 4 + [pa.float64()] * 2 + [pa.bool_()]
             yield pa.RecordBatch.from_arrays(

@@ -177,6 +177,17 @@ def test_decontamination(spark, docs):
     assert decontaminate.find_leaks(docs([]), bench).count() == 0
 
 
+def test_a_leak_copied_often_is_found(spark, docs):
+    rng = random.Random(11)
+    item = prose(40, rng)
+    bench = spark.createDataFrame([(1, item), (2, "w1")], "item_id long, text string")
+    rows = [(i, f"{prose(i % 50, rng)} {item}") for i in range(150)] + [(200 + i, edited(item, 8, rng)) for i in range(50)]
+    rows += [(300 + i, " ".join(f"v{rng.randrange(400)}" for _ in range(90))) for i in range(100)] + [(500, "w1")]
+    found = {(r[0], r[1]) for r in rows_of(decontaminate.find_leaks(docs(rows), bench))}
+    assert {i for i, item_ in found if item_ == 1} == {i for i, _ in rows if i < 300}
+    assert {i for i, item_ in found if item_ == 2} == {i for i, t in rows if "w1" in t.split()}
+
+
 def test_lcs():
     def slow(a, b):
         row = [0] * (len(b) + 1)
