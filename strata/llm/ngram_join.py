@@ -13,7 +13,8 @@ similarity; the result is each document's component under these links.
    a star's shard is named by the least neighbour of its centre, so every
    pair that links meets in a shard and stars of one group mostly in one.  Signatures move as packed arrays, and within a
    batch only the first set with a signature goes on, so a signature that a
-   third of all rows have is a few rows in the shuffle.
+   third of all rows have is a few rows in the shuffle; the sets it stands
+   for enter all shards it enters.
 3. T-occurrence search in each shard.  An inverted index over its sets; for
    each set the lists of its shingles are divided: all but the ``l`` longest
    are merged and counted, sets with ``t - l`` occurrences are candidates,
@@ -138,7 +139,9 @@ def _stars(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def candidate_edges(docs: DataFrame, k: int, num: int, den: int, shingles: int) -> DataFrame:
-    """``(a, b)``: fingerprints of sets that share a signature, as stars."""
+    """``(a, b, inner)``: fingerprints of sets that share a signature, as stars;
+    ``inner`` ones are around the first set of a batch, which stands for its
+    others in the stars over all."""
     groups = max(1, -(-int(shingles * 0.4) // PACKED))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,21 +174,27 @@ def candidate_edges(docs: DataFrame, k: int, num: int, den: int, shingles: int)
     def meet(t: pa.Table) -> pa.Table:
         col = {c: b"".join(t.column(c).to_pylist()) for c in ("sigs", "nodes", "a", "b")}
         _, a, b = _stars(np.frombuffer(col["sigs"], U), np.frombuffer(col["nodes"], np.int64))
+        inner = np.arange(len(a) + len(col["a"]) // 8) >= len(a)
         a = np.concatenate([a, np.frombuffer(col["a"], np.int64)])
         b = np.concatenate([b, np.frombuffer(col["b"], np.int64)])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "inner": pa.array(inner)})
 
     packed = docs.select("text").mapInArrow(pack, "part int, sigs binary, nodes binary, a binary, b binary")
-    return packed.groupBy("part").applyInArrow(meet, "a long, b long")
+    return packed.groupBy("part").applyInArrow(meet, "a long, b long, inner boolean")
 
 
 def shards_of(edges: DataFrame) -> DataFrame:
-    """``(fp1, cell)``: the shards of every set; ``edges`` (a, b) are stars around b."""
+    """``(fp1, cell)``: the shards of every set; ``edges`` (a, b, inner) are stars
+    around b.  Whoever an inner star's centre stands for enters with it."""
     ends = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = ends.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("cell")).withColumnRenamed("a", "centre")
     named = edges.join(least, F.col("b") == F.col("centre"))
-    return (named.select(F.col("a").alias("fp1"), "cell").union(named.select(F.col("b").alias("fp1"), "cell"))
-            .distinct())
+    own = named.select(F.col("a").alias("fp1"), "cell").union(named.select(F.col("b").alias("fp1"), "cell"))
+    outer = named.where("not inner")
+    entered = (outer.select(F.col("a").alias("centre"), "cell").union(outer.select("centre", "cell")).distinct())
+    with_it = (edges.where("inner").join(entered, F.col("b") == F.col("centre"))
+               .select(F.col("a").alias("fp1"), "cell"))
+    return own.union(with_it).distinct()
 
 
 class Forest:

@@ -102,6 +102,24 @@ def test_linked_sets_share_a_signature():
                 assert set(sig[at == 0].tolist()) & set(sig[at == 1].tolist())
 
 
+def test_sets_of_a_signature_share_a_shard_over_batches(spark):
+    # signature s: 60 and 50 in one batch, 40 in another; signature t: 40 and 10
+    edges = spark.createDataFrame([(60, 50, True), (50, 40, False), (40, 10, True)], "a long, b long, inner boolean")
+    cells = collections.defaultdict(set)
+    for fp, cell in rows_of(ngram_join.shards_of(edges)):
+        cells[fp].add(cell)
+    assert cells[60] & cells[50] & cells[40] and cells[40] & cells[10]
+
+
+def test_ngram_join_of_many_small_batches(docs, monkeypatch):
+    monkeypatch.setattr(ngram_join, "SLICE", 60)
+    rng = random.Random(9)
+    rows = [(10 * b + e, edited(text, e % 4, rng)) for b, text in enumerate(prose(50, rng) for _ in range(12)) for e in range(9)]
+    rng.shuffle(rows)
+    got = dict(rows_of(ngram_join.components(docs(rows), 3, 70, 100).select("doc_id", "component_id")))
+    assert got == brute_components(rows, 3, 70, 100)
+
+
 def test_keep_one(docs):
     rows = [(3, prose(40)), (4, prose(40)), (None, "x"), (7, None), (8, None)]
     rows += [(9, rows[0][1]), (3, rows[0][1])]
