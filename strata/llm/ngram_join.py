@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import (checkpointed, connected_components, maybe_member, space_words, split_by_membership,
                                without)
-from strata.llm.shingles import U, WordHashes, fingerprint, in_groups, mix, sequence
+from strata.llm.shingles import U, WordHashes, dealt, fingerprint, in_groups, mix, sequence
 
 #: shingles worked on at once in a task; shingles of a shard that is not split; signatures in a packed group
 SLICE, SHARD, PACKED = 400_000, 1_000_000, 1_000_000
@@ -142,8 +142,19 @@ def candidate_edges(docs: DataFrame, k: int, num: int, den: int, shingles: int)
     """``(a, b, inner)``: fingerprints of sets that share a signature, as stars;
     ``inner`` ones are around the first set of a batch, which stands for its
     others in the stars over all."""
+    def meet(t: pa.Table) -> pa.Table:
+        col = {c: b"".join(t.column(c).to_pylist()) for c in ("sigs", "nodes", "a", "b")}
+        _, a, b = _stars(np.frombuffer(col["sigs"], U), np.frombuffer(col["nodes"], np.int64))
+        inner = np.arange(len(a) + len(col["a"]) // 8) >= len(a)
+        a = np.concatenate([a, np.frombuffer(col["a"], np.int64)])
+        b = np.concatenate([b, np.frombuffer(col["b"], np.int64)])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "inner": pa.array(inner)})
     groups = max(1, -(-int(shingles * 0.4) // PACKED))
+    return packed_signatures(docs, k, num, den, groups).groupBy("part").applyInArrow(meet, "a long, b long, inner boolean")
+
 
+def packed_signatures(docs: DataFrame, k: int, num: int, den: int, groups: int) -> DataFrame:
+    """Per batch and group: signatures with their first sets, and edges of the others to these."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
@@ -165,22 +176,14 @@ def candidate_edges(docs: DataFrame, k: int, num: int, den: int, shingles: int)
                 cuts = np.flatnonzero(np.diff(group)) + 1
                 rows = [(int(group[x[0]]), sig[x].tobytes(), node[x].tobytes(), b"", b"")
                         for x in np.split(np.arange(len(sig)), cuts) if len(x)]
-                rows.append((int(group[-1]), b"", b"", a.tobytes(), b.tobytes()))
+                # a batch's own edges are dealt by themselves over all groups
+                rows += [(g, b"", b"", a[x].tobytes(), b[x].tobytes()) for g, x in dealt(groups, a, b)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int32()),
                      *(pa.array([r[i] for r in rows], pa.binary()) for i in range(1, 5))],
                     ["part", "sigs", "nodes", "a", "b"])
 
-    def meet(t: pa.Table) -> pa.Table:
-        col = {c: b"".join(t.column(c).to_pylist()) for c in ("sigs", "nodes", "a", "b")}
-        _, a, b = _stars(np.frombuffer(col["sigs"], U), np.frombuffer(col["nodes"], np.int64))
-        inner = np.arange(len(a) + len(col["a"]) // 8) >= len(a)
-        a = np.concatenate([a, np.frombuffer(col["a"], np.int64)])
-        b = np.concatenate([b, np.frombuffer(col["b"], np.int64)])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "inner": pa.array(inner)})
-
-    packed = docs.select("text").mapInArrow(pack, "part int, sigs binary, nodes binary, a binary, b binary")
-    return packed.groupBy("part").applyInArrow(meet, "a long, b long, inner boolean")
+    return docs.select("text").mapInArrow(pack, "part int, sigs binary, nodes binary, a binary, b binary")
 
 
 def shards_of(edges: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import checkpointed, maybe_member, space_words, split_by_membership
-from strata.llm.shingles import U, WordHashes, in_groups, mix, sequence
+from strata.llm.shingles import U, WordHashes, dealt, in_groups, mix, sequence
 
 HASHES = 4
 WORDS = 5                   # words in a shingle
@@ -177,6 +177,23 @@ def candidates(docs: DataFrame, min_words: int, words_total: int) -> DataFrame:
     repeat those of alo..ahi of the smaller document a."""
     t = min_words - WORDS + 1
     parts = max(1, -(-int(words_total * HASHES * 2 / t) // PACKED))
+
+    def meet(table: pa.Table) -> pa.Table:
+        w = {n: np.frombuffer(b"".join(table.column(n).to_pylist()), kind) for n, kind in _FIELDS}
+        _, pairs = _leaders(w)
+        own = {k: np.frombuffer(b"".join(table.column(f"p_{k}").to_pylist()), np.int64) for k in pairs}
+        joined = interval_join({k: np.concatenate([pairs[k], own[k]]) for k in pairs})
+        return pa.table({k: pa.array(joined[k].astype(np.int64), pa.int64()) for k in ("b", "a", "diag", "lo", "hi")})
+
+    met = packed_windows(docs, t, parts).groupBy("part").applyInArrow(meet, _PAIR)
+    # over all functions, nodes and diagonals: the places of either document that need a look
+    at = F.col("lo") - F.col("diag"), F.col("hi") - F.col("diag")
+    return met.groupBy("b", "a").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+                                     F.min(at[0]).alias("alo"), F.max(at[1]).alias("ahi"))
+
+
+def packed_windows(docs: DataFrame, t: int, parts: int) -> DataFrame:
+    """Per batch and group: the windows that go on, and pairs of the others with these."""
     names = [n for n, _ in _FIELDS]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,25 +213,15 @@ def candidates(docs: DataFrame, min_words: int, words_total: int) -> DataFrame:
                 part = ((w["sig"] >> U(32)) * U(parts) >> U(32)).astype(np.int64)   # rows ascend by sig
                 rows = [(int(part[x[0]]), *(w[n][x].tobytes() for n in names), *[b""] * 5)
                         for x in np.split(np.arange(len(part)), np.flatnonzero(np.diff(part)) + 1)]
-                rows.append((rows[-1][0], *[b""] * len(names), *_pairs_batch(pairs).values()))
+                # a batch's own pairs are dealt by themselves over all groups
+                rows += [(g, *[b""] * len(names), *_pairs_batch({k: v[x] for k, v in pairs.items()}).values())
+                         for g, x in dealt(parts, pairs["b"], pairs["a"])]
                 cols = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])],
                     ["part", *names, "p_b", "p_a", "p_diag", "p_lo", "p_hi"])
 
-    def meet(table: pa.Table) -> pa.Table:
-        w = {n: np.frombuffer(b"".join(table.column(n).to_pylist()), kind) for n, kind in _FIELDS}
-        _, pairs = _leaders(w)
-        own = {k: np.frombuffer(b"".join(table.column(f"p_{k}").to_pylist()), np.int64) for k in pairs}
-        joined = interval_join({k: np.concatenate([pairs[k], own[k]]) for k in pairs})
-        return pa.table({k: pa.array(joined[k].astype(np.int64), pa.int64()) for k in ("b", "a", "diag", "lo", "hi")})
-
-    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(pack, _PACK_SCHEMA)
-    met = packed.groupBy("part").applyInArrow(meet, _PAIR)
-    # over all functions, nodes and diagonals: the places of either document that need a look
-    at = F.col("lo") - F.col("diag"), F.col("hi") - F.col("diag")
-    return met.groupBy("b", "a").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"),
-                                     F.min(at[0]).alias("alo"), F.max(at[1]).alias("ahi"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(pack, _PACK_SCHEMA)
 
 
 def runs(mark: np.ndarray, t: int) -> list[tuple[int, int]]:

@@ -62,3 +62,15 @@ def in_groups(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         total += n
     if len(sizes) > start:
         yield start, len(sizes)
+
+
+def dealt(groups: int, *columns: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows dealt by a hash of the columns: each group that has some, and their places."""
+    h = np.zeros(len(columns[0]), U)
+    for c in columns:
+        h = mix(h + c.astype(U) + U(0x9E3779B97F4A7C15))
+    group = ((h >> U(32)) * U(groups) >> U(32)).astype(np.int64)
+    order = np.argsort(group, kind="stable")
+    for x in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
+        if len(x):
+            yield int(group[x[0]]), x

@@ -161,6 +161,18 @@ def test_repeats_find_passages_and_leave_the_rest(docs):
     assert cut[22]["text"] == rows[2][1] and cut[31]["text"] is None
 
 
+def test_pairs_of_a_batch_are_spread_over_the_groups(docs):
+    rng = random.Random(6)
+    texts = [prose(150, rng) for _ in range(40)]
+    copies = docs([(i, edited(texts[i % 40], i % 3, rng)) for i in range(400)])
+    for packed, column in ((repeats.packed_windows(copies, 46, 16), "p_b"),
+                           (ngram_join.packed_signatures(copies, 4, 85, 100, 16), "a")):
+        size = collections.Counter()
+        for part, body in rows_of(packed.select("part", column)):
+            size[part] += len(body)
+        assert max(size.values()) < 0.3 * sum(size.values())
+
+
 def test_license_scan_equals_brute_force(docs):
     rows = ODD + [(40, "Under the MIT license! under-the_mit license; Apache License, Version 2.0 cc by-nc"),
                   (41, "licensd under the apache licence version 2 0"), (42, "creative work")]
