@@ -13,6 +13,10 @@ the minimum of some ``t`` consecutive shingles have such windows, about
 2. Within a signature every window is paired with the first document's, and
    with the first of those with the same neighbouring shingles - stars,
    never all pairs.
+   A signature of three windows or more may have holders of one passage
+   that share less with these.  There every ``t`` consecutive shingles
+   around the place (one function is enough) are a key of their own, whose
+   holders are a star: equal passages always meet.
 3. The intervals that both windows of a pair span around c are joined on
    their diagonal, then over all functions and tree nodes.  One function
    hitting is enough for a candidate: a passage of similarity 0.8 has all
@@ -90,7 +94,11 @@ def compact_windows(h: np.ndarray, first: np.ndarray, t: int) -> tuple[np.ndarra
     return c, np.array(left, np.int64), np.array(right, np.int64)
 
 
-_FIELDS = (("sig", U), ("ctx", U), ("doc", np.int64), ("c", np.int32), ("l", np.int32), ("r", np.int32))
+_FIELDS = (("sig", U), ("ctx", U), ("doc", np.int64), ("c", np.int32), ("l", np.int32), ("r", np.int32), ("n", np.int32))
+#: words of the map of signatures that go the exact way; fixed at every size
+MAP_WORDS = 1 << 17
+#: keys of passages in a packed group
+KEYS = 1_000_000
 
 
 def _surroundings(s: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -112,7 +120,7 @@ def windows_of(docs: list[int], texts: list[np.ndarray], t: int) -> dict[str, np
         at = owner[c]
         # least hashes lie near zero: scrambled, signatures spread over all groups
         for name, values in zip(out, (mix(h[c]), _surroundings(s, c), ids[at], c - first[at], left - first[at],
-                                      right - first[at])):
+                                      right - first[at], np.full(len(c), f == 0))):    # n: windows of one function
             out[name].append(values)
     return {name: np.concatenate(out[name]).astype(kind) for name, kind in _FIELDS}
 
@@ -141,7 +149,9 @@ def _leaders(w: dict[str, np.ndarray]) -> tuple[np.ndarray, dict[str, np.ndarray
     a, b = (np.concatenate(x) for x in zip(*pairs))
     reach_l = np.minimum(v["c"][a] - v["l"][a], v["c"][b] - v["l"][b])
     reach_r = np.minimum(v["r"][a] - v["c"][a], v["r"][b] - v["c"][b])
-    return order[new_ctx], interval_join({
+    # the first of each (sig, ctx) stands for the windows of all
+    v["n"] = np.add.reduceat(v["n"], np.flatnonzero(new_ctx)) if n else v["n"]
+    return order[new_ctx], v["n"].astype(np.int32), interval_join({
         "b": v["doc"][b], "a": v["doc"][a], "diag": v["c"][b].astype(np.int64) - v["c"][a],
         "lo": v["c"][b].astype(np.int64) - reach_l, "hi": v["c"][b].astype(np.int64) + reach_r})
 
@@ -180,12 +190,21 @@ def candidates(docs: DataFrame, min_words: int, words_total: int) -> DataFrame:
 
     def meet(table: pa.Table) -> pa.Table:
         w = {n: np.frombuffer(b"".join(table.column(n).to_pylist()), kind) for n, kind in _FIELDS}
-        _, pairs = _leaders(w)
+        _, _, pairs = _leaders(w)
+        sigs, of = np.unique(w["sig"], return_inverse=True)
+        held = np.bincount(of, w["n"], len(sigs)).astype(np.int64)
+        more = held >= 3
         own = {k: np.frombuffer(b"".join(table.column(f"p_{k}").to_pylist()), np.int64) for k in pairs}
         joined = interval_join({k: np.concatenate([pairs[k], own[k]]) for k in pairs})
-        return pa.table({k: pa.array(joined[k].astype(np.int64), pa.int64()) for k in ("b", "a", "diag", "lo", "hi")})
-
-    met = packed_windows(docs, t, parts).groupBy("part").applyInArrow(meet, _PAIR)
+        out = pa.table({k: pa.array(joined[k].astype(np.int64), pa.int64()) for k in ("b", "a", "diag", "lo", "hi")})
+        # signatures that go the exact way, with their windows: rows without documents
+        none = pa.nulls(int(more.sum()), pa.int64())
+        return pa.concat_tables([out, pa.table({
+            "b": none, "a": none, "diag": pa.array(sigs[more].view(np.int64)), "lo": pa.array(held[more]), "hi": none})])
+
+    met = checkpointed(packed_windows(docs, t, parts).groupBy("part").applyInArrow(meet, _PAIR))
+    met = met.where("b is not null").union(exact_pairs(docs, t, met.where("b is null").select(
+        F.col("diag").alias("sig"), F.col("lo").alias("n"))))
     # over all functions, nodes and diagonals: the places of either document that need a look
     at = F.col("lo") - F.col("diag"), F.col("hi") - F.col("diag")
     return met.groupBy("b", "a").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"),
@@ -208,8 +227,8 @@ def packed_windows(docs: DataFrame, t: int, parts: int) -> DataFrame:
                 w = windows_of([i for i, _ in seqs], [s for _, s in seqs], t)
                 if not len(w["sig"]):
                     continue
-                first, pairs = _leaders(w)
-                w = {k: x[first] for k, x in w.items()}
+                first, n, pairs = _leaders(w)
+                w = {**{k: x[first] for k, x in w.items()}, "n": n}
                 part = ((w["sig"] >> U(32)) * U(parts) >> U(32)).astype(np.int64)   # rows ascend by sig
                 rows = [(int(part[x[0]]), *(w[n][x].tobytes() for n in names), *[b""] * 5)
                         for x in np.split(np.arange(len(part)), np.flatnonzero(np.diff(part)) + 1)]
@@ -224,6 +243,91 @@ def packed_windows(docs: DataFrame, t: int, parts: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(pack, _PACK_SCHEMA)
 
 
+def passage_keys(s: np.ndarray, start: np.ndarray, t: int) -> np.ndarray:
+    """Hash of the ``t`` shingles from each start on."""
+    odd, n = 0x9E3779B97F4A7C15, len(s) + 1
+    power, back = (np.cumprod(np.concatenate([np.ones(1, U), np.full(n - 1, x, U)]), dtype=U)
+                   for x in (odd, pow(odd, -1, 1 << 64)))
+    total = np.concatenate([np.zeros(1, U), np.cumsum(s * power[:-1], dtype=U)])
+    return mix((total[start + t] - total[start]) * back[start])
+
+
+def _key_stars(key: np.ndarray, doc: np.ndarray, at: np.ndarray, t: int) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """The first (least document and place) of each key, in order of the keys,
+    and pairs of the others with it."""
+    order = np.lexsort((at, doc, key))
+    key, doc, at = key[order], doc[order], at[order].astype(np.int64)
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    head = np.flatnonzero(new)[np.cumsum(new) - 1] if len(key) else np.zeros(0, np.int64)
+    b = np.flatnonzero(doc != doc[head])
+    a = head[b]
+    return order[new], interval_join({"b": doc[b], "a": doc[a], "diag": at[b] - at[a], "lo": at[b], "hi": at[b] + t - 1})
+
+
+def exact_pairs(docs: DataFrame, t: int, sigs: DataFrame) -> DataFrame:
+    """Pairs of documents with ``t`` equal shingles around a place of one of ``sigs`` (sig, n)."""
+    # a map of fixed size: a signature that is not meant may pass, none is lost
+    rows = (sigs.groupBy(F.shiftrightunsigned("sig", 47).alias("w"))
+            .agg(F.expr("bit_or(shiftleft(1L, cast(shiftrightunsigned(sig, 41) & 63 as int)))").alias("bits"),
+                 F.sum("n").alias("n")).collect())
+    bits = np.zeros(MAP_WORDS, np.int64)
+    for r in rows:
+        bits[r["w"]] = r["bits"]
+    parts = max(1, -(-sum(r["n"] for r in rows) * t // KEYS))
+    shared = docs.sparkSession.sparkContext.broadcast(bits.view(U))
+    if not rows:
+        return docs.sparkSession.createDataFrame([], _PAIR)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, bitmap = WordHashes(), shared.value
+        for batch in batches:
+            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for lo, hi in in_groups([len(x or "") // 5 + 1 for x in texts], SLICE):
+                seqs = [(i, sequence(hashes.of(space_words(x)), WORDS)) for i, x in zip(ids[lo:hi], texts[lo:hi])]
+                seqs = [(i, s) for i, s in seqs if len(s) >= t]
+                if not seqs:
+                    continue
+                first = np.concatenate([[0], np.cumsum([len(s) for _, s in seqs])]).astype(np.int64)
+                s = np.concatenate([s for _, s in seqs])
+                h = mix(s + U(0x9E3779B97F4A7C15))          # the first function of windows_of
+                c, left, right = compact_windows(h, first, t)
+                sig = mix(h[c])
+                go = (bitmap[(sig >> U(47)).astype(np.int64)] >> ((sig >> U(41)) & U(63)) & U(1)) > 0
+                c, left, right = c[go], left[go], right[go]
+                low = np.maximum(left, c - t + 1)
+                many = np.minimum(c, right - t + 1) - low + 1
+                start = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(low, many)
+                if not len(start):
+                    continue
+                owner = np.searchsorted(first, start, side="right") - 1
+                doc = np.array([i for i, _ in seqs], np.int64)[owner]
+                key, at = passage_keys(s, start, t), (start - first[owner]).astype(np.int32)
+                own, pairs = _key_stars(key, doc, at, t)
+                key, doc, at = key[own], doc[own], at[own]
+                part = ((key >> U(32)) * U(parts) >> U(32)).astype(np.int64)
+                rows = [(int(part[x[0]]), key[x].tobytes(), doc[x].tobytes(), at[x].tobytes(), *[b""] * 5)
+                        for x in np.split(np.arange(len(part)), np.flatnonzero(np.diff(part)) + 1)]
+                rows += [(g, b"", b"", b"", *_pairs_batch({k: v[x] for k, v in pairs.items()}).values())
+                         for g, x in dealt(parts, pairs["b"], pairs["a"])]
+                cols = list(zip(*rows))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cols[0], pa.int32()), *(pa.array(x, pa.binary()) for x in cols[1:])],
+                    ["part", "key", "doc", "at", "p_b", "p_a", "p_diag", "p_lo", "p_hi"])
+
+    def meet(table: pa.Table) -> pa.Table:
+        key, doc, at = (np.frombuffer(b"".join(table.column(n).to_pylist()), kind)
+                        for n, kind in (("key", U), ("doc", np.int64), ("at", np.int32)))
+        _, pairs = _key_stars(key, doc, at, t)
+        own = {k: np.frombuffer(b"".join(table.column(f"p_{k}").to_pylist()), np.int64) for k in pairs}
+        joined = interval_join({k: np.concatenate([pairs[k], own[k]]) for k in pairs})
+        return pa.table({k: pa.array(joined[k].astype(np.int64), pa.int64()) for k in ("b", "a", "diag", "lo", "hi")})
+
+    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        pack, "part int, key binary, doc binary, at binary, p_b binary, p_a binary, p_diag binary, p_lo binary, p_hi binary")
+    return packed.groupBy("part").applyInArrow(meet, _PAIR)
+
+
 def runs(mark: np.ndarray, t: int) -> list[tuple[int, int]]:
     """Maximal ranges of at least ``t`` places, at least 8/9 of them marked,
     beginning and ending at a mark: neighbouring stretches of marks are put

@@ -161,6 +161,19 @@ def test_repeats_find_passages_and_leave_the_rest(docs):
     assert cut[22]["text"] == rows[2][1] and cut[31]["text"] is None
 
 
+def test_repeats_behind_a_leader_that_shares_only_a_line(docs):
+    rng = random.Random(12)
+    rows = []
+    for g in range(60):
+        line = prose(45, rng)
+        passage = f"{prose(3, rng)} {line} {prose(2, rng)}"
+        rows += [(g, f"{prose(20, rng)} {line} {prose(20, rng)}"), (100 + g, f"{prose(20, rng)} {passage} {prose(20, rng)}"),
+                 (200 + g, f"{prose(30, rng)} {passage} {prose(10, rng)}")]
+    got = {(i, a, b, src) for i, a, b, src in rows_of(repeats.find_repeats(docs(rows)).select(
+        "doc_id", "begin", "end", "source_doc_id"))}
+    assert got == {(200 + g, 30, 80, 100 + g) for g in range(60)}
+
+
 def test_pairs_of_a_batch_are_spread_over_the_groups(docs):
     rng = random.Random(6)
     texts = [prose(150, rng) for _ in range(40)]
