@@ -391,13 +391,23 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, shard
         work = members.join(big, "cell", "left_anti").withColumn("probe", F.lit(True)).union(blocks)
         links = (work.repartition("cell").sortWithinPartitions("cell", "rep", "probe")
                  .mapInArrow(_links_of_shards(num, den), schema).union(direct))
+    # rows that share an id are one document: the sets of an id are tied to it
+    own = F.struct("fp1", "fp2", "n")
+    several = checkpointed(rows.where("doc_id is not null").groupBy("doc_id").agg(F.min(own).alias("x"), F.max(own).alias("y"))
+                           .where("x <> y").select("doc_id"))
+    tied = not several.isEmpty()
+    if tied:
+        links = links.union(rows.join(several, "doc_id").join(classes, ["fp1", "fp2", "n"])
+                            .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     found = connected_components(links.where("a <> b"))
     least = found.groupBy("root").agg(F.min("node").alias("component"))
     of_rep = found.join(least, "root").select(F.col("node").alias("rep"), "component")
-    # rows that share an id are one document: its classes meet in that id
     named = classes.join(of_rep, "rep", "left").select(
         "fp1", "fp2", "n", F.coalesce("component", "rep").alias("component"))
     out = rows.join(named, ["fp1", "fp2", "n"], "left")
+    if tied:                                # an empty row of such an id has no class
+        of_id = of_rep.join(several, F.col("rep") == F.col("doc_id")).select("doc_id", F.col("component").alias("by_id"))
+        out = out.join(of_id, "doc_id", "left").withColumn("component", F.coalesce("component", "by_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 

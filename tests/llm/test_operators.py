@@ -120,6 +120,13 @@ def test_ngram_join_of_many_small_batches(docs, monkeypatch):
     assert got == brute_components(rows, 3, 70, 100)
 
 
+def test_rows_of_one_id_tie_their_texts(docs):
+    t1, t2, t3 = (prose(40, random.Random(i)) for i in (21, 22, 23))
+    rows = [(3, t1), (7, t1), (7, t2), (5, t2), (8, t3), (9, t3), (9, ""), (9, None)]
+    got = set(rows_of(ngram_join.components(docs(rows)).select("doc_id", "component_id")))
+    assert got == {(3, 3), (7, 3), (5, 3), (8, 8), (9, 8)}
+
+
 def test_keep_one(docs):
     rows = [(3, prose(40)), (4, prose(40)), (None, "x"), (7, None), (8, None)]
     rows += [(9, rows[0][1]), (3, rows[0][1])]
