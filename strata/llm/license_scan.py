@@ -109,8 +109,12 @@ class Scanner:
         out = []
         for i, own in windows.items():
             notice = self.notices[i]
-            for lo, hi in own:
-                for m in self.patterns[i].finditer(text, lo, hi):
+            todo = list(own)
+            while todo:
+                lo, hi = todo.pop()
+                # the best place of the range, then the text before and after it
+                if m := self.patterns[i].search(text, lo, hi):
+                    todo += [[lo, m.start()], [m.end(), hi]]
                     out.append((notice.label, text.count(" ", 0, m.start()) - 1, text.count(" ", 0, m.end()),
                                 sum(m.fuzzy_counts), len(notice.text)))
         return out

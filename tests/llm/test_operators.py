@@ -214,6 +214,12 @@ def test_license_scan_equals_brute_force(docs):
     assert got[41]["labels"] == "apache-2" and 0 < got[41]["score"] < 1 and got[42]["labels"] == ""
 
 
+def test_an_edited_notice_before_an_exact_one_is_found(docs):
+    text = "x gnu generel public license gnu general public license gnu general publik license y"
+    row, = license_scan.scan_licenses(docs([(1, text)])).collect()
+    assert [(s["begin"], s["end"], s["edits"]) for s in row["spans"] if s["label"] == "gpl"] == [(1, 5, 1), (5, 9, 0), (9, 13, 1)]
+
+
 def test_decontamination(spark, docs):
     item = prose(40)
     bench = spark.createDataFrame([(1, item), (1, item), (2, None), (3, ""), (None, "q"), (4, prose(30))],
