@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import url_templates
+from strata.llm import merkle, url_templates
 from strata.llm.common import ship_code, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: fields of a leaf of the manifest, in this order
+MERKLE_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
 
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
@@ -85,6 +88,27 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.merkle import folded, leaf_hash, manifest, proof_digest
+
+    docs = table(spark, sf_dir, "documents")
+    # tampered: one more character said than there is; exact beyond a long, too
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("string")
+    tampered = leaf_hash([F.col("doc_id"), F.col("source"), F.col("lang"), more, F.col("text")])
+    original = leaf_hash([F.col(c) for c in MERKLE_FIELDS])
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    proved = manifest(docs, MERKLE_FIELDS, "lang", "doc_id", F.when(hit, tampered).otherwise(original))
+    root = folded(F.col("presented"), F.col("path"))
+    return proved.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"),
+                         root.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.conversation_repair import audits, damaged, faulted
+
+    return audits(faulted(damaged(table(spark, sf_dir, "conversations"))))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_code(spark)
@@ -98,7 +122,8 @@ QUERIES: dict[str, Query] = {f.__name__: _shipped(f) for f in (
     op1_ngram_join, op2_repeats, op3_license_scan,
     op4_decontamination, op5_toxicity, op6_site_quality,
     op7_url_templates, op8_token_counts, op9_packing,
-    op10_nearest_neighbours,
+    op10_nearest_neighbours, op11_merkle_manifest, op12_conversation_repair,
 )}
 
-ORACLE_SQL: dict[str, str] = {"op7_url_templates": url_templates.oracle_sql()}
+ORACLE_SQL: dict[str, str] = {"op7_url_templates": url_templates.oracle_sql(),
+                              "op11_merkle_manifest": merkle.oracle_sql()}
