@@ -109,6 +109,14 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audits(faulted(damaged(table(spark, sf_dir, "conversations"))))
 
 
+def op13_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.pitman_yor import remainder, score, train
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 5) == 1
+    return score(docs, held_out, train(docs, ~held_out))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_code(spark)
@@ -123,6 +131,7 @@ QUERIES: dict[str, Query] = {f.__name__: _shipped(f) for f in (
     op4_decontamination, op5_toxicity, op6_site_quality,
     op7_url_templates, op8_token_counts, op9_packing,
     op10_nearest_neighbours, op11_merkle_manifest, op12_conversation_repair,
+    op13_pitman_yor,
 )}
 
 ORACLE_SQL: dict[str, str] = {"op7_url_templates": url_templates.oracle_sql(),
