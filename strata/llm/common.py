@@ -140,7 +140,8 @@ def without(docs: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     return apart.union(maybe.join(keys, F.col(column) == F.col("__key"), "left_anti"))
 
 
-BATCH_ROWS = 2000
+#: rows and bytes of the batches a Python worker gets
+BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
 _shipped: set[str] = set()
 
 
@@ -152,6 +153,7 @@ def ship_code(spark: SparkSession) -> None:
     sc = spark.sparkContext
     # texts are long: small batches bound the memory of a Python worker
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if sc.applicationId not in _shipped:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         folder = tempfile.mkdtemp(prefix="strata-code-")
