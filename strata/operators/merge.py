@@ -59,9 +59,11 @@ def upsert_table(target: str, updates: DataFrame, keys: Sequence[str],
     """Upsert ``updates`` into the published table ``target``.
 
     Delta: one transactional ``MERGE INTO`` (matched keys updated, others
-    inserted).  Other formats: ``upsert`` above, published through the
-    staging swap of ``publish`` with the table's schema kept."""
-    from strata.sinks.tables import publish
+    inserted).  Other formats: a partitioned table has only its touched
+    partitions rewritten (``merge_partitions``); any other is published anew
+    from ``upsert`` above, through the staging swap of ``publish``."""
+    from strata.sinks.partitions import merge_partitions
+    from strata.sinks.tables import publish, table_layout
 
     spark = updates.sparkSession
     if table_format == "delta":
@@ -74,4 +76,24 @@ def upsert_table(target: str, updates: DataFrame, keys: Sequence[str],
         finally:
             spark.catalog.dropTempView(view)
         return target
+    if table_layout(spark, target)[0]:
+        merge_partitions(target, updates.select(*spark.table(target).columns), keys)
+        return target
     return publish(upsert(spark.table(target), updates, keys), target, schema_policy="strict")
+
+
+def apply_changes_table(target: str, changes: DataFrame, keys: Sequence[str], sequence: str,
+                        op: str = "op", delete_value: str = "D") -> str:
+    """Apply a change feed to the published table ``target``; of a partitioned
+    table only the partitions that hold or get a changed key are rewritten."""
+    from strata.sinks.partitions import merge_partitions
+    from strata.sinks.tables import publish, table_layout
+
+    spark = changes.sparkSession
+    if not table_layout(spark, target)[0]:
+        return publish(apply_changes(spark.table(target), changes, keys, sequence, op, delete_value), target,
+                       schema_policy="strict")
+    last = latest_changes(changes, keys, sequence)
+    upserts = last.filter(~F.col(op).eqNullSafe(F.lit(delete_value))).select(*spark.table(target).columns)
+    merge_partitions(target, upserts, keys, touched=changes.select(*keys))
+    return target

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import logging
 import time
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from typing import TypeVar
@@ -24,10 +25,15 @@ from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, St
 
 from strata.functions.audit import with_ingestion_time
 from strata.operators.clean import clean, refresh_cleaned
+from strata.operators.joins import checked_join
+from strata.operators.maintain import StateTable, state_delta
 from strata.operators.summarise import summarise
 from strata.plans import catalogue as cat
+from strata.session import ensure_checkpoint_dir
+from strata.sinks.partitions import merge_partitions
 from strata.sinks.tables import (align_for_append, compact_table, ensure_schema, publish,
                                  qualified_name, reset_tables)
+from strata.sources.ledger import BATCH, FULL, Ledger, batch_rows, publish_full, write_batch
 from strata.sources.retry import RetryPolicy, with_retry
 from strata.specs import CleanSpec, LoadSpec, SummarySpec
 
@@ -65,6 +71,15 @@ class LayerConfig:
     # file codec of published tables (None: the session's, e.g. snappy; zstd is smaller)
     compression: str | None = None
     retry: RetryPolicy = field(default_factory=RetryPolicy)
+    # raw tables partitioned by batch, with a ledger: ``refresh_layers`` takes a batch id
+    # and a batch delivered again replaces itself
+    raw_batches: bool = False
+    # cleaned tables in so many parts by a hash of their key (a column ``_part``): a refresh
+    # rewrites the parts of the touched keys only
+    cleaned_parts: int | None = None
+    # aggregates kept up by deltas, their state in so many parts; None: rebuilt
+    state_parts: int | None = None
+    state: str = "state"
 
     def name(self, layer: str, table: str) -> str:
         return qualified_name(self.catalog, layer, table)
@@ -78,6 +93,12 @@ class LayerConfig:
     def aggregated_table(self, table: str) -> str:
         return self.name(self.aggregated, table)
 
+    def state_table(self, spec: SummarySpec) -> StateTable:
+        return StateTable(self.name(self.state, spec.name), spec, self.state_parts)
+
+    def ledger(self, spark: SparkSession) -> Ledger:
+        return Ledger(spark, self.raw_table("_batches"))
+
 
 @dataclass(frozen=True)
 class TableRun:
@@ -88,13 +109,28 @@ class TableRun:
     rows: int | None = None
 
 
+#: part of a cleaned table, by a hash of its key
+PART = "_part"
+
+
+def _parted(df: DataFrame, spec: CleanSpec, parts: int) -> DataFrame:
+    return df.withColumn(PART, F.pmod(F.xxhash64(*[F.col(k) for k in spec.keys]), F.lit(parts)).cast("int"))
+
+
+def _raw_input(spark: SparkSession, config: LayerConfig, table: str) -> DataFrame:
+    """The raw rows the cleaning reads: the batch they came in is not one of their columns."""
+    df = spark.table(config.raw_table(table))
+    return df.drop(BATCH) if config.raw_batches else df
+
+
 def _write(spark: SparkSession, config: LayerConfig, layer: str, table: str, df: DataFrame,
-           policy: str, bucket_by: tuple[int, Sequence[str]] | None = None) -> str:
+           policy: str, bucket_by: tuple[int, Sequence[str]] | None = None,
+           partition_by: Sequence[str] = ()) -> str:
     ensure_schema(spark, config.catalog, layer)
     name = config.name(layer, table)
     log.info("publishing %s", name)
     publish(df, name, schema_policy=policy, table_format=config.table_format, bucket_by=bucket_by,
-            compression=config.compression)
+            partition_by=partition_by, compression=config.compression)
     log.info("published %s", name)
     if config.compact and config.table_format == "delta":
         compact_table(spark, name, config.table_format)
@@ -138,7 +174,11 @@ def run_raw_layer(spark: SparkSession, config: LayerConfig,
             # a fresh observation per attempt
             obs = Observation()
             df = with_ingestion_time(spec.reader(spark)).observe(obs, F.count(F.lit(1)).alias("rows"))
-            _write(spark, config, config.raw, spec.target, df, config.raw_policy)
+            if config.raw_batches:
+                publish_full(df, config.raw_table(spec.target), config.raw_policy, config.compression)
+                config.ledger(spark).log(spec.target, FULL, "done", obs.get.get("rows"))
+            else:
+                _write(spark, config, config.raw, spec.target, df, config.raw_policy)
             return obs.get.get("rows")
 
         rows, attempts = with_retry(attempt, config.retry)
@@ -158,9 +198,13 @@ def clean_table(spark: SparkSession, config: LayerConfig, table: str,
         raise ValueError(f"no cleaning rule for table {table!r}")
     t0 = time.perf_counter()
     spec = specs[table]
-    df = clean(spark.table(config.raw_table(table)), spec)
-    buckets = (config.cleaned_buckets, spec.keys) if config.cleaned_buckets else None
-    _write(spark, config, config.cleaned, table, df, config.cleaned_policy, buckets)
+    df = clean(_raw_input(spark, config, table), spec)
+    if config.cleaned_parts:
+        df = _parted(df, spec, config.cleaned_parts).hint("rebalance", PART)
+        _write(spark, config, config.cleaned, table, df, config.cleaned_policy, partition_by=(PART,))
+    else:
+        buckets = (config.cleaned_buckets, spec.keys) if config.cleaned_buckets else None
+        _write(spark, config, config.cleaned, table, df, config.cleaned_policy, buckets)
     return TableRun(config.cleaned, table, time.perf_counter() - t0)
 
 
@@ -193,13 +237,25 @@ def run_summary_layer(spark: SparkSession, config: LayerConfig,
 
     def build(n: str) -> TableRun:
         t0 = time.perf_counter()
-        _write(spark, config, config.aggregated, n, build_summary(spark, config, specs[n]),
-               config.aggregated_policy)
+        if config.state_parts:
+            config.state_table(specs[n]).build(spark.table(config.cleaned_table(specs[n].source)),
+                                               lambda t: spark.table(config.cleaned_table(t)))
+            _publish_state(spark, config, specs[n])
+        else:
+            _write(spark, config, config.aggregated, n, build_summary(spark, config, specs[n]),
+                   config.aggregated_policy)
         return TableRun(config.aggregated, n, time.perf_counter() - t0)
 
     return run_each([lambda n=n: build(n) for n in names], config.max_parallel)
 
 
+def _publish_state(spark: SparkSession, config: LayerConfig, spec: SummarySpec) -> None:
+    """Publish an aggregate from its state (one row per group; no cleaned row is read)."""
+    df = config.state_table(spec).published(spark, spark.table(config.cleaned_table(spec.source)),
+                                            config.sort_aggregates)
+    _write(spark, config, config.aggregated, spec.name, df, config.aggregated_policy)
+
+
 def run_pipeline(spark: SparkSession, config: LayerConfig, loads: Sequence[LoadSpec],
                  clean_specs: dict[str, CleanSpec] | None = None,
                  summary_specs: dict[str, SummarySpec] | None = None) -> list[TableRun]:
@@ -220,28 +276,97 @@ def run_pipeline(spark: SparkSession, config: LayerConfig, loads: Sequence[LoadS
 
 def refresh_layers(spark: SparkSession, config: LayerConfig, table: str, new_rows: DataFrame,
                    clean_specs: dict[str, CleanSpec] | None = None,
-                   summary_specs: dict[str, SummarySpec] | None = None) -> list[TableRun]:
+                   summary_specs: dict[str, SummarySpec] | None = None,
+                   batch_id: str | None = None) -> list[TableRun]:
     """New source rows of one table, carried through the layers without a
-    full rebuild: appended to the raw table (with their load time), the
-    cleaned table refreshed for the touched keys only, the aggregates rebuilt.
-    The result equals a full run over all rows.  The specs are those of
-    ``run_pipeline``."""
+    full rebuild; the result equals a full run over all rows.
+
+    Raw: the rows are appended with their load time, or written as the batch
+    ``batch_id`` (``raw_batches``).  Cleaned: only the touched keys are
+    cleaned again; the whole table is rewritten, or only the parts that hold them
+    (``cleaned_parts``).  Aggregates: rebuilt, or kept up by the delta of
+    the touched keys' rows (``state_parts``).
+
+    With batches a run that died may be started again with the same batch id:
+    the ledger names its last finished phase, every phase replaces what it wrote
+    before, and the delta, taken between the cleaned rows before and after, is
+    stored and logged before the cleaned rows change.  A finished batch is
+    left out.  The specs are those of ``run_pipeline``."""
     spec = (cat.CLEAN_SPECS if clean_specs is None else clean_specs)[table]
     summaries = cat.SUMMARY_SPECS if summary_specs is None else summary_specs
+    affected = [n for n, s in summaries.items()
+                if s.source == table or (s.join is not None and s.join.table == table)]
+    raw_name, cleaned_name = config.raw_table(table), config.cleaned_table(table)
+    ledger = known = None
+
+    def log_phase(phase: str) -> None:
+        if ledger:
+            ledger.log(table, batch_id, phase)
+
     t0 = time.perf_counter()
-    raw_name = config.raw_table(table)
-    audited = align_for_append(spark.table(raw_name).schema, with_ingestion_time(new_rows))
-    audited.write.mode("append").saveAsTable(raw_name)
+    if config.raw_batches:
+        if batch_id is None:
+            raise ValueError("raw tables kept by batch need a batch id")
+        ledger = config.ledger(spark)
+        known = write_batch(new_rows, raw_name, table, batch_id, ledger)
+        if ledger.reached(known, "done"):
+            return [TableRun(config.raw, table, time.perf_counter() - t0, rows=0)]
+        fresh = batch_rows(spark, raw_name, batch_id)
+    else:
+        audited = align_for_append(spark.table(raw_name).schema, with_ingestion_time(new_rows))
+        audited.write.mode("append").saveAsTable(raw_name)
+        fresh, batch_id = new_rows, batch_id or uuid.uuid4().hex
     runs = [TableRun(config.raw, table, time.perf_counter() - t0)]
+
     t0 = time.perf_counter()
-    cleaned_name = config.cleaned_table(table)
-    # only the keys of the new rows are used: their raw rows are read back from the table
-    refreshed = refresh_cleaned(spark.table(cleaned_name), spark.table(raw_name), new_rows, spec)
-    _write(spark, config, config.cleaned, table, refreshed, config.cleaned_policy)
+    if not (ledger and ledger.reached(known, "cleaned")):
+        # only the keys of the new rows are used: their raw rows are read back from the table
+        cleaned = spark.table(cleaned_name)
+        if not (config.state_parts or config.cleaned_parts):
+            refreshed = refresh_cleaned(cleaned, _raw_input(spark, config, table), fresh, spec)
+            _write(spark, config, config.cleaned, table, refreshed, config.cleaned_policy)
+        else:
+            _refresh_touched(spark, config, table, spec, fresh, batch_id, [summaries[n] for n in affected],
+                             ledger and ledger.reached(known, "delta"), log_phase)
+        log_phase("cleaned")
     runs.append(TableRun(config.cleaned, table, time.perf_counter() - t0))
-    affected = [n for n, s in summaries.items()
-                if s.source == table or (s.join is not None and s.join.table == table)]
-    return runs + run_summary_layer(spark, config, affected, summaries)
+
+    if not config.state_parts:
+        runs += run_summary_layer(spark, config, affected, summaries)
+    else:
+        def apply(n: str) -> TableRun:
+            t0 = time.perf_counter()
+            config.state_table(summaries[n]).apply_delta(spark, batch_id)
+            _publish_state(spark, config, summaries[n])
+            return TableRun(config.aggregated, n, time.perf_counter() - t0)
+
+        runs += run_each([lambda n=n: apply(n) for n in affected], config.max_parallel)
+    log_phase("done")
+    return runs
+
+
+def _refresh_touched(spark: SparkSession, config: LayerConfig, table: str, spec: CleanSpec, fresh: DataFrame,
+                     batch_id: str, summaries: Sequence[SummarySpec], has_delta: bool,
+                     log_phase: Callable[[str], None]) -> None:
+    """Clean the touched keys again, store the deltas, then replace the keys' cleaned rows."""
+    name = config.cleaned_table(table)
+    cleaned, keys = spark.table(name), list(spec.keys)
+    touched = fresh.select(*keys).distinct()
+    new = clean(checked_join(_raw_input(spark, config, table), touched, keys, "left_semi", null_safe=True), spec)
+    if config.state_parts and not has_delta:
+        # both sides of the change are read by every delta: written once
+        ensure_checkpoint_dir(spark)
+        before = checked_join(cleaned.drop(PART), touched, keys, "left_semi", null_safe=True).checkpoint(eager=True)
+        new = new.checkpoint(eager=True)
+        for s in summaries:
+            delta = state_delta(s, table, before, new, lambda t: spark.table(config.cleaned_table(t)))
+            config.state_table(s).write_delta(delta, batch_id)
+        log_phase("delta")
+    if config.cleaned_parts:
+        merge_partitions(name, _parted(new, spec, config.cleaned_parts), keys, touched=touched)
+    else:
+        untouched = checked_join(cleaned, touched, keys, "left_anti", null_safe=True)
+        _write(spark, config, config.cleaned, table, untouched.unionByName(new), config.cleaned_policy)
 
 
 RUN_LOG_SCHEMA = StructType([

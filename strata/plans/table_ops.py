@@ -35,7 +35,7 @@ def workspace(tag: str) -> LayerConfig:
     """Layer schemas unique to one call: ``strata_<tag>_<id>_{bronze,silver,gold}``."""
     run = f"strata_{tag}_{uuid.uuid4().hex[:10]}"
     return LayerConfig(raw=f"{run}_{cat.RAW}", cleaned=f"{run}_{cat.CLEANED}",
-                       aggregated=f"{run}_{cat.AGGREGATED}", max_parallel=PARALLEL_TABLES)
+                       aggregated=f"{run}_{cat.AGGREGATED}", state=f"{run}_state", max_parallel=PARALLEL_TABLES)
 
 
 def fixture_loads(sf_dir: str):

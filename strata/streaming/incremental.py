@@ -56,15 +56,16 @@ def stream_files_into_table(spark: SparkSession, landing_path: str, schema: Stru
 
 def stream_files_into_layers(spark: SparkSession, config, table: str, landing_path: str,
                              schema: StructType, checkpoint_location: str,
-                             file_format: str = "parquet", wait: bool = True) -> StreamingQuery:
+                             file_format: str = "parquet", wait: bool = True,
+                             stream: str = "stream") -> StreamingQuery:
     """Carry every new file under ``landing_path`` through all layers.
 
-    Each micro-batch runs ``refresh_layers``: the rows are appended to the raw
-    table, the cleaned table is refreshed for their keys and the aggregates
-    reading it are rebuilt.  ``foreachBatch`` is at-least-once: a batch
-    replayed after a failure appends its raw rows again, but those copies come
-    later in the dedupe's order, so the cleaned and aggregated tables are
-    the same as after one delivery."""
+    Each micro-batch runs ``refresh_layers``.  ``foreachBatch`` is
+    at-least-once.  With ``config.raw_batches`` the micro-batch is the batch
+    ``<stream>-<number>`` of the ledger: replayed after a failure it replaces
+    itself, so all layers, raw included, are the same as after one delivery.
+    Without, a replayed batch appends its raw rows again; those copies come
+    later in the dedupe's order, so only the raw table differs."""
     from strata.plans.pipeline import refresh_layers
 
     from strata.plans.pipeline import all_tables
@@ -72,7 +73,8 @@ def stream_files_into_layers(spark: SparkSession, config, table: str, landing_pa
     def apply(batch, batch_id):
         # the batch has a session of its own (tables are read and written there)
         if not batch.isEmpty():
-            refresh_layers(batch.sparkSession, config, table, batch)
+            refresh_layers(batch.sparkSession, config, table, batch,
+                           batch_id=f"{stream}-{batch_id}" if config.raw_batches else None)
 
     stream = spark.readStream.schema(schema).format(file_format).load(landing_path)
     query = (stream.writeStream
