@@ -6,15 +6,16 @@ to the fill level that makes the sum over levels of (open windows at that
 level) squared least, kept in one array of counts by level.  Nothing is
 shuffled or collected, and a lost task repeats only its own partition.
 
-What is still open when the partition ends is put together in order and cut
-into full windows again; the last remainder is cut by its binary digits, and
-a window filled to a power of two needs no padding.
+What is still open when the partition ends is placed by the same rule, the
+emptiest window as a document of its fill; one that fits behind no other is
+cut, its first part filling the fullest window.  The last remainder is cut by
+its binary digits: a window filled to a power of two needs no padding.
 
-Token ids: a text is cut before single spaces, where the byte-level
+Token ids: Latin text goes, whole, through the rank file of the same
+vocabulary.  Any other text is cut before single spaces, where the byte-level
 pre-tokenizer always cuts too, and each distinct piece is encoded once per
-worker.  Pieces of Latin text go through the rank file of the same
-vocabulary, all others (and every text with two spaces in a row) through the
-tokenizer file itself.
+worker, Latin ones by the rank file, others (and a text with two spaces in a
+row) by the tokenizer file itself.
 
 Defined results: a null text is empty and gives the end id alone; repeated
 rows and null ids are packed like any other; other columns are ignored.
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 #: a worker's cache of encoded pieces is emptied beyond this many
 CACHE = 1_000_000
-_PLAIN = re.compile(r"[\x00-ɏ]*\Z")
+_PLAIN = re.compile(r"[\t-\r -~\xa0-ɏ]*\Z")
 
 
 class _Pieces(dict):
@@ -53,20 +54,28 @@ class _Pieces(dict):
             with open(ranks, "rb") as lines:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
             self.plain = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table,
-                                           special_tokens={}).encode_ordinary
+                                           special_tokens={}).encode_to_numpy
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def ranked(self, text: str) -> bytes | None:
+        """Ids by the rank file, where its pattern surely cuts as the tokenizer's does."""
+        if self.plain and _PLAIN.match(text) and not any(s in text for s in self.special):
+            return self.plain(text).astype("<u4", copy=False).tobytes()
+        return None
+
     def __missing__(self, piece: str) -> bytes:
-        if self.plain and _PLAIN.match(piece) and not any(s in piece for s in self.special):
-            ids = np.asarray(self.plain(piece), "<u4").tobytes()
-        else:
+        ids = self.ranked(piece)
+        if ids is None:
             ids = self.whole(piece)
         self[piece] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
+        ids = self.ranked(text)
+        if ids is not None:
+            return ids
         if "  " in text:
             return self.whole(text)
         if len(self) > CACHE:
@@ -83,47 +92,80 @@ class _Levels:
         self.count = np.zeros(size + 1, np.int64)
         self.open: dict[int, list[list]] = {}
 
-    def place(self, piece: tuple, r: int) -> list | None:
-        """Put a piece of ``r`` < size ids; the window, when it became full."""
-        n, best = self.count, 0
-        if len(self.open):
-            # change of the sum of squares for level h -> h + r, halved, without what is common
-            gain = n[1 + r:] - n[1:self.size + 1 - r]
-            gain = 2 * gain + 2
-            gain[-1] -= 1                                   # a full window counts at no level
-            gain[n[1:self.size + 1 - r] == 0] = 1 << 60
-            at = len(gain) - 1 - int(gain[::-1].argmin())   # ties: the fuller window
-            if gain[at] <= 2 * n[r] + 1:
-                best = at + 1
-        window = [] if not best else self.open[best].pop()
-        if best:
-            self.count[best] -= 1
-            if not self.open[best]:
-                del self.open[best]
-        window.append(piece)
-        if best + r == self.size:
+    def _best(self, r: int, alone: float) -> int:
+        """The level that ``r`` more ids join at the least sum of squares; 0 where ``alone`` is less."""
+        n = self.count
+        here = n[1:self.size + 1 - r]
+        if not here.any():
+            return 0
+        # change of the sum of squares for level h -> h + r, halved, without what is common
+        gain = 2 * (n[1 + r:] - here) + 2
+        gain[-1] -= 1                                   # a full window counts at no level
+        gain[here == 0] = 1 << 60
+        at = len(gain) - 1 - int(gain[::-1].argmin())   # ties: the fuller window
+        return at + 1 if gain[at] <= alone else 0
+
+    def _take(self, level: int) -> list:
+        window = self.open[level].pop()
+        self.count[level] -= 1
+        if not self.open[level]:
+            del self.open[level]
+        return window
+
+    def _put(self, window: list, fill: int) -> list | None:
+        if fill == self.size:
             return window
-        self.count[best + r] += 1
-        self.open.setdefault(best + r, []).append(window)
+        self.count[fill] += 1
+        self.open.setdefault(fill, []).append(window)
         return None
 
-
-def _recut(pieces: list[tuple], size: int) -> Iterator[list[tuple]]:
-    """Windows of ``size`` from ``pieces`` in order; the rest by binary digits."""
-    left = sum(len(p[2]) // 4 for p in pieces)
-    rest = iter(pieces)
-    doc, start, ids, total = next(rest, (None, 0, b"", 0))
-    while left:
-        want = size if left >= size else 1 << (left.bit_length() - 1)
-        left -= want
-        window = []
-        while want:
-            if not ids:
-                doc, start, ids, total = next(rest)
-            part = ids[:4 * want]
-            window.append((doc, start, part, total))
-            ids, start, want = ids[len(part):], start + len(part) // 4, want - len(part) // 4
-        yield window
+    def place(self, piece: tuple, r: int) -> list | None:
+        """Put a piece of ``r`` < size ids; the window, when it became full."""
+        best = self._best(r, 2 * self.count[r] + 1) if self.open else 0
+        return self._put([*(self._take(best) if best else []), piece], best + r)
+
+    def close(self) -> Iterator[list]:
+        """What is open, as full windows and at last windows of a power of two.
+
+        The emptiest window is placed as a piece of its fill, never alone; where it
+        fits behind none, its first ids fill the fullest and the rest stays open."""
+        while self.open:
+            least = min(self.open)
+            window = self._take(least)
+            if not self.open:
+                while least:
+                    part = 1 << (least.bit_length() - 1)
+                    head, window = _cut(window, part)
+                    least -= part
+                    yield head
+                return
+            best = self._best(least, float("inf"))
+            if best:
+                done = self._put(self._take(best) + window, best + least)
+                if done:
+                    yield done
+                continue
+            most = max(self.open)
+            head, rest = _cut(window, self.size - most)
+            yield self._take(most) + head
+            self._put(rest, least - (self.size - most))
+
+
+def _cut(window: list[tuple], n: int) -> tuple[list[tuple], list[tuple]]:
+    """The first ``n`` ids of a window's pieces and the others."""
+    head, rest = [], []
+    for doc, start, ids, total in window:
+        size = len(ids) // 4
+        if n >= size:
+            head.append((doc, start, ids, total))
+            n -= size
+        elif n:
+            head.append((doc, start, ids[:4 * n], total))
+            rest.append((doc, start + n, ids[4 * n:], total))
+            n = 0
+        else:
+            rest.append((doc, start, ids, total))
+    return head, rest
 
 
 def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, size: int = 1024,
@@ -169,8 +211,7 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, size: int =
                 if len(done) >= 2048:
                     yield rows(done)
                     done = []
-        open_pieces = [p for level in sorted(levels.open, reverse=True) for w in levels.open[level] for p in w]
-        for window in _recut(open_pieces, size):
+        for window in levels.close():
             done.append((number, window))
             number += 1
         if done:
