@@ -13,19 +13,21 @@ its pre-tokens' counts (a pre-token: a word with the spaces before it).
 3. All others, frequent in no group, are rows (document, pre-token, times)
    joined to the vocabulary and summed by document.
 
+A row is known by its task and its place there, never by its id or text.
+
 Defined results: a null text is empty; an empty text has 0 tokens; rows with
 a null ``doc_id`` are counted like any other; repeated rows are all returned;
-other columns are ignored.
+an empty table has no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -103,11 +105,12 @@ def count_tokens(docs: DataFrame, model: str, limit: int = 4096, hot_units: int
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = hot.value
+        row = TaskContext.get().partitionId() << 36
         for batch in batches:
-            ids, hashes, units, times, base, size = [], [], [], [], [], []
+            rids, ids, units, times, base, size = [], [], [], [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 raw = utf8(text)
-                h = zlib.crc32(raw) - (1 << 31)
+                row += 1
                 total, rest = 0, []
                 for unit, n in Counter(pre_tokens(text)).items():
                     pieces = known.get(unit)
@@ -116,24 +119,20 @@ def count_tokens(docs: DataFrame, model: str, limit: int = 4096, hot_units: int
                     else:
                         total += n * pieces
                 # the document's own row: its unit is none of the vocabulary's, which hold no mark
-                ids += [doc] * (len(rest) + 1)
-                hashes += [h] * (len(rest) + 1)
-                units += [f"{SPACE_MARK}{doc}"] + [u for u, _ in rest]
+                rids += [row] * (len(rest) + 1)
+                ids += [doc] + [None] * len(rest)
+                units += [f"{SPACE_MARK}{row}"] + [u for u, _ in rest]
                 times += [None] + [n for _, n in rest]
                 base += [total] + [None] * len(rest)
                 size += [len(raw)] + [None] * len(rest)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(hashes, pa.int32()), pa.array(units, pa.string()),
+                [pa.array(rids, pa.int64()), pa.array(ids, pa.int64()), pa.array(units, pa.string()),
                  pa.array(times, pa.int32()), pa.array(base, pa.int64()), pa.array(size, pa.int64())],
-                ["doc_id", "h", "unit", "times", "base", "size"])
+                ["rid", "doc_id", "unit", "times", "base", "size"])
 
     parts = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        rows, "doc_id long, h int, unit string, times int, base long, size long")
+        rows, "rid long, doc_id long, unit string, times int, base long, size long")
     joined = parts.join(vocab.where(~is_hot).select("unit", "pieces"), "unit", "left")
-    # rows equal in id and text fall in one group: their sums are shared out again
-    same = joined.groupBy("doc_id", "h").agg(
-        F.count("base").alias("copies"), F.max("size").alias("n_bytes"),
-        (F.sum("base") + F.coalesce(F.sum(F.col("times") * F.col("pieces")), F.lit(0))).alias("total"))
-    n = F.expr("total div copies")
-    return (same.withColumn("copy", F.explode(F.expr("sequence(1L, copies)")))
-            .select("doc_id", "n_bytes", n.alias("n_tokens"), (n > limit).alias("over_limit")))
+    n = F.sum("base") + F.coalesce(F.sum(F.col("times") * F.col("pieces")), F.lit(0))
+    per_row = joined.groupBy("rid").agg(F.max("doc_id").alias("doc_id"), F.max("size").alias("n_bytes"), n.alias("n_tokens"))
+    return per_row.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
