@@ -115,9 +115,11 @@ def score_quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column
     picked = rows.select("x", "y", "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()
     x, y = np.array([r["x"] for r in picked]), np.array([r["y"] for r in picked], float)
     if len(set(y.tolist())) < 2:
+        # one class of labels: the smoothed prior is all there is
+        prior = float((y.sum() + 1) / (len(y) + 2))
         return measured.select("doc_id", "host", "path", held.alias("held_out"), F.lit(0.0).alias("document_logit"),
-                               F.lit(0.0).alias("site_logit"), F.lit(float((y.sum() + 1) / (len(y) + 2))).alias("score"),
-                               F.lit(1).alias("predicted"), F.lit(True).alias("keep"))
+                               F.lit(0.0).alias("site_logit"), F.lit(prior).alias("score"),
+                               F.lit(int(prior >= 0.5)).alias("predicted"), F.lit(prior >= keep_at).alias("keep"))
     mean, scale, w = fit_logistic(x, y)
 
     sites = checkpointed(rows.groupBy("host", "path").agg(
