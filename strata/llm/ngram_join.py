@@ -378,6 +378,12 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, shard
     loaded = texts.mapInArrow(load, "rep long, fp1 long, fp2 long, n long, shingles binary")
     members = (loaded.join(active, ["rep", "fp1", "fp2", "n"])
                .select("cell", "rep", "shingles"))
+    own = F.struct("fp1", "fp2", "n")
+    repeated = checkpointed(rows.where("doc_id is not null").groupBy("doc_id").agg(
+        F.min(own).alias("x"), F.max(own).alias("y"), F.count(F.lit(1)).alias("c")).where("c > 1"))
+    if not repeated.isEmpty():
+        # rows equal in id and text are one member of their cells
+        members = members.groupBy("cell", "rep").agg(F.first("shingles").alias("shingles"))
     load_of = active.groupBy("cell").agg(F.sum("n").alias("load"))
     big = load_of.where(F.col("load") > shard).select("cell")
     schema = "a long, b long"
@@ -392,9 +398,7 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, shard
         links = (work.repartition("cell").sortWithinPartitions("cell", "rep", "probe")
                  .mapInArrow(_links_of_shards(num, den), schema).union(direct))
     # rows that share an id are one document: the sets of an id are tied to it
-    own = F.struct("fp1", "fp2", "n")
-    several = checkpointed(rows.where("doc_id is not null").groupBy("doc_id").agg(F.min(own).alias("x"), F.max(own).alias("y"))
-                           .where("x <> y").select("doc_id"))
+    several = repeated.where("x <> y").select("doc_id")
     tied = not several.isEmpty()
     if tied:
         links = links.union(rows.join(several, "doc_id").join(classes, ["fp1", "fp2", "n"])
