@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strata.llm import (decontaminate, hnsw, license_scan, ngram_join, packing, repeats, site_quality, token_counts,
                         toxicity, url_templates)
@@ -320,6 +321,95 @@ def test_token_counts_equal_the_library(docs):
         assert got == want
 
 
+def test_rows_of_one_id_are_counted_apart(docs):
+    """Null ids and texts whose CRC-32 is equal."""
+    a, b = crc_twins()
+    assert a != b and zlib.crc32(a.encode()) == zlib.crc32(b.encode())
+    rows = [(None, a), (None, b), (None, a), (4, a), (4, b)]
+    got = sorted(r[1] for r in rows_of(token_counts.count_tokens(docs(rows), tokenizer_path("piece_bpe_32k.model"))))
+    assert got == sorted(len(t.encode()) for _, t in rows)
+
+
+def crc_twins():
+    """Two texts of different length and equal CRC-32, found by birthday."""
+    seen = {}
+    for i in range(1, 1 << 19):
+        text = f"text {i * 2654435761 % (1 << 32):x}" + " more" * (i % 3)
+        other = seen.setdefault(zlib.crc32(text.encode()), text)
+        if other != text and len(other) != len(text):
+            return other, text
+    raise AssertionError
+
+
+def test_one_class_of_labels_gives_one_verdict(spark, docs):
+    rows = [(i, prose(20)) for i in range(30)]
+    for y in (0, 1):
+        marks = spark.createDataFrame([(i, y) for i in range(30)], "doc_id long, quality int")
+        for r in site_quality.score_quality(docs(rows), marks, F.lit("h"), F.lit("p")).collect():
+            assert (r["score"] >= 0.5, r["predicted"], r["keep"]) == (bool(y), y, bool(y))
+
+
+def test_equal_rows_are_one_member(docs, monkeypatch):
+    text = prose(60, random.Random(31))
+    near = edited(text, 1, random.Random(32))
+    real, most = ngram_join._links_of_shards, []
+
+    def counted(num, den):
+        run = real(num, den)
+
+        def rows(batches):
+            batches = list(batches)
+            assert sum(b.num_rows for b in batches) < 20
+            return run(iter(batches))
+        return rows
+
+    monkeypatch.setattr(ngram_join, "_links_of_shards", counted)
+    got = rows_of(ngram_join.components(docs([(5, text)] * 400 + [(9, near)] + [(None, text)] * 5), 4, 80, 100))
+    assert collections.Counter((i, c) for i, _, c in got) == {(5, 5): 400, (9, 5): 1, (None, None): 5}
+
+
+def test_open_windows_are_placed_by_the_rule_and_lose_nothing():
+    rng = random.Random(6)
+    for _ in range(40):
+        levels, fed, out = packing._Levels(64), {}, []
+        for doc in range(rng.randrange(0, 120)):
+            r = rng.randrange(1, 64)
+            fed[doc] = np.arange(r, dtype="<u4").tobytes()
+            done = levels.place((doc, 0, fed[doc], r), r)
+            out += [done] if done else []
+        out += levels.close()
+        sizes = [sum(len(p[2]) // 4 for p in w) for w in out]
+        short = [n for n in sizes if n != 64]
+        assert all(n & (n - 1) == 0 for n in sizes) and len(short) == len(set(short)) and not levels.open
+        back = collections.defaultdict(list)
+        for w in out:
+            for doc, start, ids, total in w:
+                back[doc].append((start, ids))
+                assert total == len(fed[doc]) // 4
+        assert {d: b"".join(i for _, i in sorted(p)) for d, p in back.items()} == fed
+        for p in back.values():
+            at = 0
+            for start, ids in sorted(p):
+                assert start == at
+                at += len(ids) // 4
+
+
+def test_whole_texts_get_the_librarys_ids():
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    pieces = packing._Pieces(tokenizer_path("byte_bpe_50k.json"), tokenizer_path("byte_bpe_50k.tiktoken"))
+    rng = random.Random(8)
+    signs = ["  ", " ", "\n", "\n\n", "\r\n", "\t", "\x0b", "\xa0", "\xad", "it's", "WE'LL", "123456", "½²", "ſ", "Ǆ", "é", "ß", "...",
+             "!?", "<|endoftext|", "a", "Word", "_x", "ª", "×", "=+", "\x00", "\x1c", "\x85", "—", "日本", "e\u0301"]
+    plain = 0
+    for _ in range(4000):
+        text = "".join(rng.choice(signs) for _ in range(rng.randrange(1, 14)))
+        plain += pieces.ranked(text) is not None
+        assert pieces.encode(text) == np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
+    assert plain > 500
+
+
 def test_packing_round_trip(docs):
     from tokenizers import Tokenizer
 
