@@ -49,6 +49,24 @@ def r_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_copies(b, F.col("CustomerID") % 5 == 0)
 
 
+def r_customers_drops(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The customers in two raw drops: all of them, then addresses for those that
+    have none (rejected before, kept now), another company for every seventh (it
+    wins the dedupe) and copies of every fifth with a company that loses."""
+    c = table(spark, sf_dir, "customer")
+    key = F.col("CustomerID")
+    b = c.select(
+        F.col("c_custkey").alias("CustomerID"),
+        _null_when(F.col("c_custkey") % 11 == 0,
+                   F.concat(F.lit("  "), F.col("c_name"), F.lit("@X.COM "))).alias("EmailAddress"),
+        _null_when(F.col("c_custkey") % 13 == 0,
+                   F.concat(F.lit(" "), F.col("c_mktsegment"), F.lit("  "))).alias("CompanyName"))
+    late = b.filter(key % 11 == 0).withColumn("EmailAddress", F.concat(F.lit(" late@X.COM"), key.cast("string")))
+    moved = b.filter(key % 7 == 0).withColumn("CompanyName", F.lit("  MOVED"))
+    losing = b.filter(key % 5 == 0).withColumn("CompanyName", F.lit("zzz"))
+    return _with_copies(b, key % 5 == 0), late.unionByName(moved).unionByName(losing)
+
+
 def r_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
@@ -149,6 +167,16 @@ with b as (select c_custkey as CustomerID,
     case when c_custkey % 13 = 0 then null else ' ' || c_mktsegment || '  ' end as CompanyName
   from customer)
 select * from b union all select * from b where CustomerID % 5 = 0""",
+    # both drops of r_customers_drops together
+    "r_customers_drops": """
+with b as (select c_custkey as CustomerID,
+    case when c_custkey % 11 = 0 then null else '  ' || c_name || '@X.COM ' end as EmailAddress,
+    case when c_custkey % 13 = 0 then null else ' ' || c_mktsegment || '  ' end as CompanyName
+  from customer)
+select * from b union all select * from b where CustomerID % 5 = 0
+union all select * replace (' late@X.COM' || cast(CustomerID as varchar) as EmailAddress) from b where CustomerID % 11 = 0
+union all select * replace ('  MOVED' as CompanyName) from b where CustomerID % 7 = 0
+union all select * replace ('zzz' as CompanyName) from b where CustomerID % 5 = 0""",
     "r_addresses": """
 with b as (select s_suppkey as AddressID,
     case when s_suppkey % 9 = 0 then null else '  ' || s_name end as AddressLine1,
@@ -189,6 +217,8 @@ select * from b
 union all select * replace (cast(TotalDue - 1 as decimal(19,4)) as TotalDue) from b where SalesOrderID % 3 = 0
 union all select * replace (cast(1 as bigint) as CustomerID) from b where SalesOrderID % 19 = 0
 union all select * replace (cast(null as bigint) as CustomerID) from b where SalesOrderID % 7 = 0""",
+    # the first drop of r_headers_drops
+    "r_headers_first": "select * from orders where o_orderkey % 5 <> 0 or o_orderkey is null",
     "r_details": """
 select l_orderkey as SalesOrderID, l_linenumber as SalesOrderDetailID,
   case when l_partkey % 23 = 0 then null else l_partkey end as ProductID,
