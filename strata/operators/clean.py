@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from strata.functions.text import lower_trim, trim_spaces, upper_trim
 from strata.operators.dedupe import dedupe
@@ -23,17 +24,49 @@ def normalise_text(df: DataFrame, spec: CleanSpec) -> DataFrame:
     return df.withColumns(rules) if rules else df
 
 
-def clean(df: DataFrame, spec: CleanSpec) -> DataFrame:
+class CleanCounts:
+    """Rows at three places of a cleaning plan, counted by the job that runs it.
+
+    The plan reads its input once; every task adds up its rows and nothing is
+    scanned again.  A map task that runs again after a lost executor may count its
+    input twice, so ``account`` takes ``input`` from elsewhere where that matters
+    (the number of rows the load wrote)."""
+
+    def __init__(self) -> None:
+        self._seen = {place: Observation() for place in ("input", "middle", "output")}
+        self._filter_first = False
+
+    def at(self, place: str, df: DataFrame) -> DataFrame:
+        return df.observe(self._seen[place], F.count(F.lit(1)).alias("rows"))
+
+    def account(self, input_rows: int | None = None) -> dict[str, int]:
+        """``input = duplicates + rejected + output``, once an action has run the plan."""
+        n = {place: int(seen.get["rows"]) for place, seen in self._seen.items()}
+        first = (n["input"] if input_rows is None else input_rows) - n["middle"]
+        second = n["middle"] - n["output"]
+        duplicates, rejected = (second, first) if self._filter_first else (first, second)
+        return {"input": n["input"] if input_rows is None else input_rows, "duplicates": duplicates,
+                "rejected": rejected, "output": n["output"]}
+
+
+def clean(df: DataFrame, spec: CleanSpec, counts: CleanCounts | None = None) -> DataFrame:
     """dedupe -> required filter -> text rules (reference order).
 
     With ``dedupe_after_filter`` the filter runs first, so a key whose
     first-ordered row lacks the required value keeps another row instead of
-    disappearing."""
+    disappearing.  ``counts`` observes the rows before, between and after."""
+    if counts is not None:
+        counts._filter_first = spec.dedupe_after_filter
+
+    def seen(place: str, rows: DataFrame) -> DataFrame:
+        return rows if counts is None else counts.at(place, rows)
+
+    df = seen("input", df)
     if spec.dedupe_after_filter:
-        out = dedupe(require(df, spec.required), spec.keys, spec.tie_break)
+        out = dedupe(seen("middle", require(df, spec.required)), spec.keys, spec.tie_break)
     else:
-        out = require(dedupe(df, spec.keys, spec.tie_break), spec.required)
-    return normalise_text(out, spec)
+        out = require(seen("middle", dedupe(df, spec.keys, spec.tie_break)), spec.required)
+    return seen("output", normalise_text(out, spec))
 
 
 def refresh_cleaned(cleaned: DataFrame, raw_all: DataFrame, new_rows: DataFrame,

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators.dedupe import default_tie_break
-from strata.operators.joins import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, null_safe_join, value_bytes
+from strata.operators.joins import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, checked_join, null_safe_join, value_bytes
 from strata.session import ensure_checkpoint_dir
 
 DEFAULT_ROWS_PER_SLICE = 1_000_000
@@ -168,3 +168,80 @@ def validity_ranges(df: DataFrame, keys: Sequence[str], version: str,
     return (out.withColumn(valid_to, F.when(F.col(_FOLLOWED), F.col(_NEXT)).otherwise(F.col(_NEXT_HEAD)))
             .withColumn(is_current, F.col(valid_to).isNull())
             .drop(_SLICE, _GROUP, _NEXT, _FOLLOWED, _NEXT_HEAD))
+
+
+def fold_unchanged(df: DataFrame, keys: Sequence[str], version: str, attributes: Sequence[str],
+                   tie_break: Sequence[str] = (), rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
+    """The versions that change something: the first row of every run of
+    versions of a key with equal ``attributes`` (NULLs equal; gaps and islands).
+
+    Of several rows of one version the last by ``tie_break`` (else by all other
+    columns) counts; it is found by an aggregate with map-side combining.  Hot
+    keys are cut into slices as in ``validity_ranges``: a row is compared with
+    the row before it in its slice, the first of a slice with the last row of
+    the slices before."""
+    rest = [c for c in df.columns if c not in keys and c != version]
+    last = F.max_by(F.struct(*rest), F.struct(*(tie_break or default_tie_break(df.select(*rest), ()))))
+    one = df.groupBy(*keys, version).agg(last.alias(_LAST)).select(*keys, version, f"{_LAST}.*").select(*df.columns)
+    own = F.struct(*[F.col(a) for a in attributes])
+    order = F.col(version).asc_nulls_first()
+
+    def changes(rows: DataFrame) -> DataFrame:
+        return rows.where(F.col(_FOLLOWED).isNull() | ~own.eqNullSafe(F.col(_NEXT))).select(*df.columns)
+
+    cuts = _hot_cuts(one, keys, version, rows_per_slice)
+    if cuts is None:
+        before = Window.partitionBy(*keys).orderBy(order)
+        return changes(one.withColumn(_NEXT, F.lag(own).over(before)).withColumn(_FOLLOWED, F.lag(F.lit(True)).over(before)))
+    # a version stands once a key now, so its group is one row and the slices are in the key's order
+    sliced = _slice_of(_join_small(one, cuts.bounds, keys, "left", cuts.small), version, cuts.pieces, F.lit(0))
+    inner = Window.partitionBy(*keys, _SLICE, _GROUP).orderBy(order)
+    within = sliced.withColumn(_NEXT, F.lag(own).over(inner)).withColumn(_FOLLOWED, F.lag(F.lit(True)).over(inner))
+    ends = (_join_small(sliced, cuts.bounds.select(*keys), keys, "left_semi", cuts.small)
+            .groupBy(*keys, _SLICE, _GROUP).agg(F.max_by(own, F.struct(version)).alias(_LAST), F.max(F.struct(version)).alias(_HEAD)))
+    along = Window.partitionBy(*keys).orderBy(F.col(_HEAD))
+    ends = ends.select(*keys, _SLICE, _GROUP, F.lag(_LAST).over(along).alias(_NEXT_HEAD),
+                       F.lag(F.lit(True)).over(along).alias(_BELOW))
+    out = _join_small(within, ends, [*keys, _SLICE, _GROUP], "left", cuts.small)
+    return changes(out.withColumns({_NEXT: F.when(F.col(_FOLLOWED), F.col(_NEXT)).otherwise(F.col(_NEXT_HEAD)),
+                                    _FOLLOWED: F.coalesce(_FOLLOWED, _BELOW)}))
+
+
+def merge_versions(history: DataFrame, late: DataFrame, keys: Sequence[str], version: str,
+                   tie_break: Sequence[str] = (), valid_to: str = "valid_to", is_current: str = "is_current",
+                   rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
+    """The ranges of the keys of ``late`` after its versions, however old, joined them.
+
+    Only the touched keys' stored ranges are read: a range that a late version
+    falls into is closed there and the late version takes over its end.  A row
+    that is stored already in every column is not taken twice, so a replay
+    changes nothing."""
+    touched = late.select(*keys).distinct()
+    stored = checked_join(history, touched, keys, "left_semi", null_safe=True).drop(valid_to, is_current)
+    columns = stored.columns
+    fresh = null_safe_join(late.select(*columns).distinct(), stored, columns, "left_anti")
+    return validity_ranges(stored.unionByName(fresh), keys, version, tie_break, valid_to, is_current, rows_per_slice)
+
+
+def merge_history_table(name: str, late: DataFrame, keys: Sequence[str], version: str,
+                        tie_break: Sequence[str] = (), folded: str | None = None, attributes: Sequence[str] = (),
+                        rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> None:
+    """Merge late versions into a published history (``valid_to``, ``is_current``).
+
+    The table is partitioned (by a function of the key, say): only partitions
+    that hold a touched key are rewritten.  ``folded`` names a second table with
+    the ranges of changes of ``attributes`` only; its touched keys are folded again
+    from all their versions, for a late version can bring back one folded away."""
+    from strata.sinks.partitions import merge_partitions
+
+    spark = late.sparkSession
+    touched = late.select(*keys).distinct()
+    # read by both tables' merges, and from the table that the first replaces
+    ensure_checkpoint_dir(spark)
+    merged = merge_versions(spark.table(name), late, keys, version, tie_break,
+                            rows_per_slice=rows_per_slice).checkpoint(eager=True)
+    if folded:
+        changes = fold_unchanged(merged.drop("valid_to", "is_current"), keys, version, attributes, tie_break, rows_per_slice)
+        merge_partitions(folded, validity_ranges(changes, keys, version, tie_break, rows_per_slice=rows_per_slice), keys,
+                         touched=touched, unique=False)
+    merge_partitions(name, merged, keys, touched=touched, unique=False)

@@ -24,7 +24,7 @@ from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, St
                                TimestampType)
 
 from strata.functions.audit import with_ingestion_time
-from strata.operators.clean import clean, refresh_cleaned
+from strata.operators.clean import CleanCounts, clean, refresh_cleaned
 from strata.operators.joins import checked_join
 from strata.operators.maintain import StateTable, state_delta
 from strata.operators.summarise import summarise
@@ -80,6 +80,8 @@ class LayerConfig:
     # aggregates kept up by deltas, their state in so many parts; None: rebuilt
     state_parts: int | None = None
     state: str = "state"
+    # cleaning runs count their input, dropped and written rows in the writing job
+    accounting: bool = False
 
     def name(self, layer: str, table: str) -> str:
         return qualified_name(self.catalog, layer, table)
@@ -107,6 +109,8 @@ class TableRun:
     seconds: float
     attempts: int = 1
     rows: int | None = None
+    # cleaning runs: input, duplicates, rejected and output rows, observed by the write
+    account: dict[str, int] | None = None
 
 
 #: part of a cleaned table, by a hash of its key
@@ -198,14 +202,16 @@ def clean_table(spark: SparkSession, config: LayerConfig, table: str,
         raise ValueError(f"no cleaning rule for table {table!r}")
     t0 = time.perf_counter()
     spec = specs[table]
-    df = clean(_raw_input(spark, config, table), spec)
+    counts = CleanCounts() if config.accounting else None
+    df = clean(_raw_input(spark, config, table), spec, counts)
     if config.cleaned_parts:
         df = _parted(df, spec, config.cleaned_parts).hint("rebalance", PART)
         _write(spark, config, config.cleaned, table, df, config.cleaned_policy, partition_by=(PART,))
     else:
         buckets = (config.cleaned_buckets, spec.keys) if config.cleaned_buckets else None
         _write(spark, config, config.cleaned, table, df, config.cleaned_policy, buckets)
-    return TableRun(config.cleaned, table, time.perf_counter() - t0)
+    account = counts.account() if counts else None
+    return TableRun(config.cleaned, table, time.perf_counter() - t0, rows=account and account["output"], account=account)
 
 
 def run_clean_layer(spark: SparkSession, config: LayerConfig,
@@ -393,6 +399,24 @@ def append_run_log(spark: SparkSession, config: LayerConfig, run_id: str,
     return name
 
 
+ACCOUNT_SCHEMA = StructType([
+    StructField("run_id", StringType(), False),
+    StructField("table", StringType(), False),
+    *[StructField(c, LongType(), False) for c in ("input", "duplicates", "rejected", "output")],
+])
+
+
+def append_clean_log(spark: SparkSession, config: LayerConfig, run_id: str, runs: Sequence[TableRun],
+                     table: str = "_clean_runs") -> str:
+    """Append the accounts of cleaning runs (``accounting``) to a log table in the cleaned layer."""
+    ensure_schema(spark, config.catalog, config.cleaned)
+    name = config.cleaned_table(table)
+    rows = [(run_id, r.table, *(r.account[c] for c in ("input", "duplicates", "rejected", "output")))
+            for r in runs if r.account]
+    spark.createDataFrame(rows, ACCOUNT_SCHEMA).coalesce(1).write.mode("append").saveAsTable(name)
+    return name
+
+
 def all_tables(config: LayerConfig) -> list[str]:
     """Every published table, in build order."""
     return ([config.raw_table(t) for t in cat.CLEAN_ORDER]

@@ -1,5 +1,6 @@
 """Queries for tables kept up over many loads: replayed batches, aggregates
-kept up by deltas, merges scoped to the touched partitions.
+kept up by deltas, merges scoped to the touched partitions, histories that take
+late versions, row contracts, accounting in the writing job, layouts, versions.
 
 Every query reads whole driver tables and compares what is published in the
 end with a full computation.
@@ -13,13 +14,19 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.history import fold_unchanged, merge_history_table, validity_ranges
 from strata.operators.merge import apply_changes_table, upsert_table
 from strata.plans import catalogue as cat
 from strata.plans.extended import change_feed
-from strata.plans.pipeline import LayerConfig, refresh_layers, run_pipeline
-from strata.plans.table_ops import _scratch_table, all_contents, layers_sql, workspace
+from strata.operators.contracts import Reference, Rule, reference_report, rule_report, split_rows
+from strata.plans.pipeline import (LayerConfig, append_clean_log, refresh_layers, run_clean_layer, run_pipeline,
+                                   run_raw_layer)
+from strata.plans.queries import cleaned, raw
+from strata.plans.table_ops import _scratch_table, all_contents, fixture_loads, layers_sql, workspace
 from strata.session import ensure_checkpoint_dir
+from strata.sinks.layout import publish_layout
 from strata.sinks.tables import publish
+from strata.sinks.versions import default_base, publish_version
 from strata.sources.fixtures import RAW_VIEWS, r_customers_drops, r_headers_drops, raw_ctes, table
 from strata.specs import LoadSpec
 
@@ -129,6 +136,115 @@ def apply_order_changes_partitioned(spark: SparkSession, sf_dir: str) -> DataFra
     return spark.table(target)
 
 
+HISTORY_KEYS, HISTORY_VERSION = ["o_custkey"], "o_orderdate"
+
+
+def _histories(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Customers' order histories, whole and folded to changes of priority, published
+    from two of three orders; the others come late, in two batches, one of them twice."""
+    config = workspace("history")
+    whole, changes = _scratch_table(spark, config, "orders"), _scratch_table(spark, config, "priorities")
+    versions = table(spark, sf_dir, "orders").select(
+        "o_custkey", "o_orderdate", "o_orderkey", "o_orderstatus", "o_orderpriority",
+        (F.pmod(F.xxhash64("o_custkey"), F.lit(PARTS))).cast("int").alias("part"))
+    late = F.coalesce(F.col("o_orderkey") % 3 == 0, F.lit(True))
+    first = versions.where(~late)
+    publish(validity_ranges(first, HISTORY_KEYS, HISTORY_VERSION, ["o_orderkey"]), whole, partition_by=("part",))
+    folded = fold_unchanged(first, HISTORY_KEYS, HISTORY_VERSION, ["o_orderpriority"], ["o_orderkey"])
+    publish(validity_ranges(folded, HISTORY_KEYS, HISTORY_VERSION, ["o_orderkey"]), changes, partition_by=("part",))
+    odd = F.coalesce(F.col("o_orderkey") % 2 == 1, F.lit(False))
+    for batch in (versions.where(late & odd), versions.where(late & ~odd), versions.where(late & odd)):
+        merge_history_table(whole, batch, HISTORY_KEYS, HISTORY_VERSION, ["o_orderkey"], changes, ["o_orderpriority"],
+                            rows_per_slice=5000)
+    return whole, changes
+
+
+def merged_order_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X8 kept up: late versions merged into stored ranges, equal to ranges over all."""
+    return spark.table(_histories(spark, sf_dir)[0]).drop("part")
+
+
+def merged_priority_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X8 folded: ranges in which a customer's order priority did not change, kept up too."""
+    return spark.table(_histories(spark, sf_dir)[1]).drop("part")
+
+
+def accounted_clean_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V5 in the writing job: input = duplicates + rejected + output per cleaned table,
+    observed by the jobs that wrote them, from the run log."""
+    config = replace(workspace("account"), accounting=True)
+    run_raw_layer(spark, config, fixture_loads(sf_dir))
+    runs = run_clean_layer(spark, config)
+    return spark.table(append_clean_log(spark, config, uuid.uuid4().hex, runs)).drop("run_id")
+
+
+#: what every order line and order must meet
+DETAIL_RULES = (
+    Rule("detail_product", "ProductID is not null"),
+    Rule("detail_quantity", "OrderQty between 1 and 45"),
+    Rule("detail_total", "LineTotal > 1000"),
+    Rule("detail_shipped", "ShipDate >= timestamp_ntz'1996-01-01'"),
+)
+HEADER_RULES = (
+    Rule("header_customer", "CustomerID is not null"),
+    Rule("header_due", "TotalDue > 5000"),
+    Rule("header_urgent_due", "trim(PurchaseOrderNumber) <> '1-URGENT' or TotalDue > 20000"),
+)
+
+
+def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that break each rule of the raw orders and order lines, all rules of a
+    table in one pass, and references that the cleaned tables do not hold."""
+    details, headers = raw(spark, sf_dir, cat.DETAILS), raw(spark, sf_dir, cat.HEADERS)
+    reports = [
+        rule_report(details, DETAIL_RULES), rule_report(headers, HEADER_RULES),
+        reference_report(details, Reference("detail_order", ("SalesOrderID",), ("SalesOrderID",)),
+                         cleaned(spark, sf_dir, cat.HEADERS)),
+        reference_report(details, Reference("detail_product_known", ("ProductID",), ("ProductID",)),
+                         cleaned(spark, sf_dir, cat.PRODUCTS)),
+        reference_report(headers, Reference("header_customer_known", ("CustomerID",), ("CustomerID",)),
+                         cleaned(spark, sf_dir, cat.CUSTOMERS))]
+    out = reports[0]
+    for r in reports[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+def contract_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw orders that break a rule, with the names of all they break."""
+    _, bad = split_rows(raw(spark, sf_dir, cat.HEADERS), HEADER_RULES)
+    return bad.select("SalesOrderID", "CustomerID", F.concat_ws(",", "broken_rules").alias("broken_rules"))
+
+
+def _laid_out(spark: SparkSession, sf_dir: str, interleave: bool) -> DataFrame:
+    config = workspace("layout")
+    target = _scratch_table(spark, config, "orders")
+    publish_layout(table(spark, sf_dir, "orders"), target, ["o_custkey", "o_orderdate"], PARTS, interleave)
+    return spark.table(target)
+
+
+def range_laid_out_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders published in ranges of (customer, date), read back."""
+    return _laid_out(spark, sf_dir, False)
+
+
+def interleaved_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders published in the order of the interleaved ranks of customer and date."""
+    return _laid_out(spark, sf_dir, True)
+
+
+def versioned_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2/K3 published by versions: orders, then orders with a column more, computed
+    from the table itself; one switch of the table's folder each."""
+    config = workspace("versions")
+    target = _scratch_table(spark, config, "orders")
+    base = default_base(spark, target)
+    publish_version(table(spark, sf_dir, "orders"), target, base)
+    publish_version(spark.table(target).withColumn("o_year", F.year("o_orderdate")), target, base)
+    publish_version(spark.table(target).withColumn("o_totalprice", F.col("o_totalprice") * 2), target, base, "strict")
+    return spark.table(target)
+
+
 QUERIES = {
     "replayed_batch": replayed_batch,
     "batch_ledger": batch_ledger,
@@ -137,6 +253,14 @@ QUERIES = {
     "delta_kept_sales": delta_kept_sales,
     "upsert_orders_partitioned": upsert_orders_partitioned,
     "apply_order_changes_partitioned": apply_order_changes_partitioned,
+    "merged_order_history": merged_order_history,
+    "merged_priority_changes": merged_priority_changes,
+    "accounted_clean_layer": accounted_clean_layer,
+    "contract_violations": contract_violations,
+    "contract_quarantine": contract_quarantine,
+    "range_laid_out_orders": range_laid_out_orders,
+    "interleaved_orders": interleaved_orders,
+    "versioned_orders": versioned_orders,
 }
 
 
@@ -158,7 +282,29 @@ sales as (select c.CompanyName, count(distinct h.SalesOrderID) as Total_Orders,
 people as (select CompanyName as c, count(CustomerID) as Total_Valid_Contacts from s_customers_drops group by 1)
 select coalesce(CompanyName, c) as CompanyName, Total_Orders, Total_Revenue, Total_Valid_Contacts
 from sales full join people on CompanyName is not distinct from c"""
+    detail_rules = {"detail_product": "ProductID is not null", "detail_quantity": "OrderQty between 1 and 45",
+                    "detail_total": "LineTotal > 1000", "detail_shipped": "ShipDate >= timestamp '1996-01-01'"}
+    header_rules = {"header_customer": "CustomerID is not null", "header_due": "TotalDue > 5000",
+                    "header_urgent_due": "trim(PurchaseOrderNumber) <> '1-URGENT' or TotalDue > 20000"}
+    known = {"detail_order": ("r_details", "SalesOrderID", "s_headers"),
+             "detail_product_known": ("r_details", "ProductID", "s_products"),
+             "header_customer_known": ("r_headers", "CustomerID", "s_customers")}
+    reports = [f"select '{n}' as rule, count(*) as n_rows, count(*) filter (where not coalesce({c}, false)) as n_broken from {v}"
+               for v, rules in (("r_details", detail_rules), ("r_headers", header_rules)) for n, c in rules.items()]
+    reports += [f"select '{n}' as rule, count(*) as n_rows, count(*) filter (where {c} is not null and not exists "
+                f"(select 1 from {other} o where o.{c} = d.{c})) as n_broken from {v} d" for n, (v, c, other) in known.items()]
+    names = ", ".join(f"case when not coalesce({c}, false) then '{n}' end" for n, c in header_rules.items())
     return {
+        "accounted_clean_layer": base["reconcile_clean"],
+        "contract_violations": cleaned_ctes("s_headers", "s_products", "s_customers").replace(
+            "with ", raw_ctes("r_details") + ",\n", 1) + "\n" + "\nunion all\n".join(reports),
+        "contract_quarantine": raw_ctes("r_headers") + f"""
+select * from (select SalesOrderID, CustomerID, concat_ws(',', {names}) as broken_rules from r_headers)
+where broken_rules <> ''""",
+        "range_laid_out_orders": "select * from orders",
+        "interleaved_orders": "select * from orders",
+        "versioned_orders": """select o_orderkey, o_custkey, o_orderstatus, o_totalprice * 2 as o_totalprice, o_orderdate,
+  o_orderpriority, cast(year(o_orderdate) as int) as o_year from orders""",
         "replayed_batch": one_delivery,
         "batch_ledger": ledger,
         "replayed_stream": one_delivery,
@@ -168,6 +314,16 @@ from sales full join people on CompanyName is not distinct from c"""
   case when o_orderstatus = 'P' or year(o_orderdate) = 1996 then o_totalprice * 2 else o_totalprice end as o_totalprice,
   o_orderdate, o_orderpriority, cast(year(o_orderdate) as int) as o_year
 from orders""",
+        "merged_order_history": base["customer_order_history"],
+        "merged_priority_changes": """with one as (select o_custkey, o_orderdate, max(o_orderkey) as o_orderkey,
+    arg_max(o_orderstatus, o_orderkey) as o_orderstatus, arg_max(o_orderpriority, o_orderkey) as o_orderpriority
+  from orders group by 1, 2),
+runs as (select *, lag(o_orderpriority) over w as was, row_number() over w as n from one
+  window w as (partition by o_custkey order by o_orderdate asc nulls first))
+select o_custkey, o_orderdate, o_orderkey, o_orderstatus, o_orderpriority,
+  lead(o_orderdate) over w as valid_to, lead(o_orderdate) over w is null as is_current
+from runs where n = 1 or o_orderpriority is distinct from was
+window w as (partition by o_custkey order by o_orderdate asc nulls first)""",
         "apply_order_changes_partitioned": f"""select o_orderkey, o_custkey, o_totalprice,
   cast(floor(o_totalprice / 50000) as int) as band from ({base["apply_order_changes"]})""",
     }

@@ -113,17 +113,19 @@ def drop_partitions(spark: SparkSession, name: str, partition_by: Sequence[str],
         spark.catalog.refreshTable(name)
 
 
-def merge_partitions(name: str, upserts: DataFrame, keys: Sequence[str], touched: DataFrame | None = None) -> list[Row]:
+def merge_partitions(name: str, upserts: DataFrame, keys: Sequence[str], touched: DataFrame | None = None,
+                     unique: bool = True) -> list[Row]:
     """Replace the rows of the ``touched`` keys by ``upserts`` (see module doc).
 
     ``touched`` defaults to the keys of ``upserts``; a key in it without a new
-    row is deleted.  ``upserts`` must be unique on ``keys``.  NULL keys match
-    each other.  Returns the partitions that were replaced or dropped."""
+    row is deleted.  ``upserts`` must be unique on ``keys`` unless a key's rows
+    are replaced as a whole (``unique=False``).  NULL keys match each other.
+    Returns the partitions that were replaced or dropped."""
     spark = upserts.sparkSession
     target = spark.table(name)
     partition_by = partition_columns(spark, name)
     upserts = align_for_append(target.schema, upserts)
-    if not upserts.groupBy(*keys).count().filter("count > 1").isEmpty():
+    if unique and not upserts.groupBy(*keys).count().filter("count > 1").isEmpty():
         raise ValueError(f"several updates of one key {list(keys)}: dedupe them first")
     touched = (upserts if touched is None else touched).select(*keys).distinct()
     held = _distinct(checked_join(target.select(*dict.fromkeys([*keys, *partition_by])), touched, keys, "left_semi",
