@@ -133,7 +133,7 @@ def test_references_with_hot_and_null_values(spark):
     other = spark.createDataFrame([(1, 7), (1, 7), (4, 4), (None, None)], "x int, y int")
     ref = Reference("pair", ("a", "b"), ("x", "y"))
     assert rows_of(orphans(df, ref, other)) == [(1, 9, 1), (2, 8, 3)]
-    assert rows_of(reference_report(df, ref, other)) == [("pair", 505, 4)]
+    assert rows_of(reference_report(df, ref, other)) == [("pair", 506, 4)]
     assert rows_of(reference_report(df.limit(0), ref, other)) == [("pair", 0, 0)]
 
 
@@ -172,5 +172,5 @@ def test_accounting_of_no_rows(spark):
     from strata.specs import CleanSpec
 
     counts = CleanCounts()
-    clean(spark.createDataFrame([], "k long"), CleanSpec(name="t", keys=("k",)), counts).collect()
+    clean(spark.createDataFrame([], "k long, v string"), CleanSpec(name="t", keys=("k",)), counts).collect()
     assert counts.account() == {"input": 0, "duplicates": 0, "rejected": 0, "output": 0}
