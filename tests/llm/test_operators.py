@@ -309,6 +309,53 @@ def test_url_templates(spark):
     assert url_templates.judge_urls(pages.limit(0), labels).count() == 0
 
 
+def _url_rows(spark, pages, marks):
+    p = spark.createDataFrame(pages, "page_id long, url string, host string, template string, n int")
+    m = spark.createDataFrame(marks, "doc_id long, quality int, host string")
+    return p, m, url_templates.judge_urls(p, m)
+
+
+def test_url_templates_see_every_level(spark):
+    pages = [(i, f"http://h/a/b/c/d/{'good' if i % 2 else 'bad'}/{i}", "x", "y", 1) for i in range(400)]
+    pages += [(900, "http://j/" + "s/" * 3000, None, None, None), (901, "http://k/p//q/", None, None, None)]
+    *_, out = _url_rows(spark, pages, [(i, i % 2, "z") for i in range(400)])
+    got = {r["page_id"]: r for r in out.collect()}
+    assert {i for i, r in got.items() if r["verdict"] == "block"} == set(range(0, 400, 2))
+    assert got[1]["template"] == "/a/b/c/d/good/#" and got[900]["template"].endswith("/s/s/") and got[901]["template"] == "/p//q/"
+
+
+def test_url_templates_equal_their_sql(spark):
+    import duckdb
+
+    rng = random.Random(5)
+    parts = ["news", "shop", "u", "v", "", "x#y"]
+    pages = [(i, "http://" + rng.choice(["a.b", "c.d"]) + "".join("/" + rng.choice(parts + [f"id{i}", "w" + "abcdefghij"[i % 10] * (i % 3)])
+                                                                  for _ in range(rng.randrange(8))) + f"?{i}", "x", "y", 1)
+             for i in range(1500)]
+    pages = [(i, u.replace("/u", f"/u{i % 300}"), *r) for i, u, *r in pages] + [(7, None, None, None, None)] * 2
+    marks = [(i, rng.randrange(2) if i % 3 else None, "z") for i in range(300)] + [(5, 0, "z"), (None, 1, "z")]
+    p, m, out = _url_rows(spark, pages, marks)
+    names = ["page_id", "host", "path", "rule", "verdict", "template", "purity"]
+    got = sorted((tuple(r) for r in out.select(*names).collect()), key=repr)
+    db = duckdb.connect()
+    db.register("pages", p.toPandas())
+    db.register("labels", m.toPandas().astype({"doc_id": "Int64", "quality": "Int64"}))
+    want = sorted(db.sql("select " + ", ".join(names) + " from (" + url_templates.oracle_sql() + ")").fetchall(), key=repr)
+    assert {r[5] for r in got} != {r[2] for r in got} and any("*" in r[5] for r in got)
+    assert [r[:6] for r in got] == [r[:6] for r in want]
+    assert np.allclose([r[6] for r in got], [r[6] for r in want])
+
+
+def test_license_places_of_a_long_text_are_quick(docs):
+    import time
+
+    n = 200_000
+    begin = time.monotonic()
+    row, = license_scan.scan_licenses(docs([(1, "cc by nc x " * n)])).collect()
+    assert (row["n_words"], row["n_base"], row["first_word"], row["last_word"]) == (4 * n, n, 0, 4 * (n - 1))
+    assert time.monotonic() - begin < 60
+
+
 def test_token_counts_equal_the_library(docs):
     import sentencepiece
 
