@@ -293,6 +293,23 @@ def test_site_quality(spark, docs):
     assert site_quality.score_quality(docs(ODD), marks.limit(0), F.lit("h"), F.lit("p")).count() == len(ODD)
 
 
+def test_language_thresholds_are_pooled_at_every_size():
+    k = len(toxicity.LANGUAGES)
+
+    def cuts(n, pooling=20.0):
+        # language 0 is toxic from 0.8 on, language 1 from 0.3 on
+        s = np.tile(np.linspace(0.01, 0.99, 50), n)
+        s, lang = np.concatenate([s, s]), np.repeat([0, 1], 50 * n)
+        y = (s >= np.where(lang == 0, 0.8, 0.3)).astype(float)
+        return toxicity.language_thresholds(s, y, np.ones(len(s)), lang, pooling)
+
+    few, many, own = cuts(1), cuts(40), cuts(1, pooling=1e-9)
+    assert few[2] <= few[0] <= 0.82 and abs(many[0] - 0.8) < 0.02 and abs(many[1] - 0.3) < 0.02
+    assert abs(own[0] - 0.8) < 0.02 and abs(own[1] - 0.3) < 0.02
+    assert len(few) == k and len(set(few[2:])) == 1         # without own rows: the common one
+    assert toxicity.language_thresholds(np.ones(3), np.ones(3), np.ones(3), np.zeros(3), 20.0) == (0.5,) * k
+
+
 def test_url_templates(spark):
     pages = spark.createDataFrame([
         (1, "http://a.net/x"), (2, "https://www.Example.net/en/5?q"), (3, "http://b.example.com/de/7#t"),
