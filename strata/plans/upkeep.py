@@ -24,6 +24,8 @@ from strata.plans.pipeline import (LayerConfig, append_clean_log, refresh_layers
 from strata.plans.queries import cleaned, raw
 from strata.plans.table_ops import _scratch_table, all_contents, fixture_loads, layers_sql, workspace
 from strata.session import ensure_checkpoint_dir
+from strata.operators.profiles import measure, store_profile, table_profile
+from strata.sinks.compaction import compact_small_files
 from strata.sinks.layout import publish_layout
 from strata.sinks.tables import publish
 from strata.sinks.versions import default_base, publish_version
@@ -245,7 +247,64 @@ def versioned_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(target)
 
 
+def _compacted(spark: SparkSession, sf_dir: str, partitioned: bool) -> DataFrame:
+    config = workspace("packs")
+    target = _scratch_table(spark, config, "orders")
+    orders = table(spark, sf_dir, "orders")
+    by = ("o_year",) if partitioned else ()
+    if partitioned:
+        orders = orders.withColumn("o_year", F.year("o_orderdate"))
+    late = F.coalesce(F.col("o_orderkey") % 3 == 0, F.lit(True))
+    publish(orders.where(~late).repartition(4, *by), target, partition_by=by)
+    for i in (0, 1):
+        drop = orders.where(late & (F.coalesce(F.col("o_orderkey") % 2, F.lit(0)) == i))
+        drop.repartition(PARTS).write.mode("append").insertInto(target)
+    spark.catalog.refreshTable(target)
+    compact_small_files(spark, target)
+    return spark.table(target)
+
+
+def compacted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4 by file size: orders loaded in one go and two late drops of many small files, packed."""
+    return _compacted(spark, sf_dir, False)
+
+
+def compacted_orders_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4 by file size on a partitioned table: the small files of each year packed apart."""
+    return _compacted(spark, sf_dir, True)
+
+
+PROFILED = ("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag")
+
+
+def merged_line_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 kept up: order lines arrive in four loads, one of them twice; the profile added up from
+    the stored states, its estimates held against exact counts: within 4 % of the distinct
+    values, the median's rank within 2 % of the rows."""
+    config = workspace("profiles")
+    states = _scratch_table(spark, config, "profiles")
+    lines = table(spark, sf_dir, "lineitem").select(*PROFILED)
+    for i in (0, 1, 2, 3, 1):
+        store_profile(lines.where(F.pmod(F.xxhash64("l_orderkey"), F.lit(4)) == i), states, f"load {i}")
+    found = table_profile(spark, states, (0.5,))
+    medians = {r["column"]: r["q50"] for r in found.collect()}     # a row a column
+    numbers = {c: measure(F.col(c), lines.schema[c].dataType) for c in PROFILED}
+    exact = lines.agg(F.array(*[F.struct(
+        F.lit(c).alias("c"), F.count_distinct(c).alias("distinct"), F.count(c).alias("n"),
+        F.count_if(numbers[c] < F.lit(medians[c])).alias("below"),
+        F.count_if(numbers[c] <= F.lit(medians[c])).alias("upto")) for c in PROFILED]).alias("e"))
+    exact = exact.select(F.explode("e").alias("e")).select("e.*")
+    near = F.abs(F.col("n_distinct") - F.col("distinct")) <= F.greatest(F.lit(1.0), F.col("distinct") * 0.04)
+    middle = (F.col("below") <= F.col("n") * 0.52) & (F.col("upto") >= F.col("n") * 0.48)
+    return found.join(F.broadcast(exact), F.col("column") == F.col("c")).select(
+        "column", "n_rows", "n_null", "n_blank", "least", "largest",
+        near.alias("distinct_near"), middle.alias("median_near"))
+
+
 QUERIES = {
+    "compacted_orders": compacted_orders,
+    "compacted_orders_by_year": compacted_orders_by_year,
+    "merged_line_profiles": merged_line_profiles,
     "replayed_batch": replayed_batch,
     "batch_ledger": batch_ledger,
     "replayed_stream": replayed_stream,
@@ -293,6 +352,14 @@ from sales full join people on CompanyName is not distinct from c"""
                for v, rules in (("r_details", detail_rules), ("r_headers", header_rules)) for n, c in rules.items()]
     reports += [f"select '{n}' as rule, count(*) as n_rows, count(*) filter (where {c} is not null and not exists "
                 f"(select 1 from {other} o where o.{c} = d.{c})) as n_broken from {v} d" for n, (v, c, other) in known.items()]
+    profiles = []
+    for c in PROFILED:
+        text = c == "l_returnflag"
+        number = f"length({c})::double" if text else f"{c}::double"
+        blank = f"count(*) filter (where trim({c}) = '')" if text else "0::bigint"
+        profiles.append(f"""select '{c}' as "column", count(*) as n_rows, count(*) - count({c}) as n_null, {blank} as n_blank,
+  case when min({number}) = 0 then 0.0::double else min({number}) end as least,
+  case when max({number}) = 0 then 0.0::double else max({number}) end as largest, true as distinct_near, true as median_near from lineitem""")
     names = ", ".join(f"case when not coalesce({c}, false) then '{n}' end" for n, c in header_rules.items())
     return {
         "accounted_clean_layer": base["reconcile_clean"],
@@ -301,6 +368,9 @@ from sales full join people on CompanyName is not distinct from c"""
         "contract_quarantine": raw_ctes("r_headers") + f"""
 select * from (select SalesOrderID, CustomerID, concat_ws(',', {names}) as broken_rules from r_headers)
 where broken_rules <> ''""",
+        "compacted_orders": "select * from orders",
+        "compacted_orders_by_year": "select *, cast(year(o_orderdate) as int) as o_year from orders",
+        "merged_line_profiles": "\nunion all\n".join(profiles),
         "range_laid_out_orders": "select * from orders",
         "interleaved_orders": "select * from orders",
         "versioned_orders": """select o_orderkey, o_custkey, o_orderstatus, o_totalprice * 2 as o_totalprice, o_orderdate,
