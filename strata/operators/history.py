@@ -98,9 +98,12 @@ def _hot_cuts(df: DataFrame, keys: Sequence[str], version: str, rows_per_slice:
         F.percentile_approx(version, cuts, max(10_000, 4 * pieces)).alias(_BOUNDS))
     own = F.transform(F.sequence(F.lit(1), (F.col(_PIECES) - 1).cast("int")),
                       lambda i: F.element_at(_BOUNDS, F.floor(i * F.lit(pieces) / F.col(_PIECES)).cast("int")))
-    bounds = (_join_small(hot, all_bounds, keys, "left", small)
-              .withColumn(_BOUNDS, F.when(F.col(_PIECES) > 1, own))
-              .select(*keys, _BOUNDS, _NULL_PIECES))
+    # a bound held more than once stands once, with the bounds below it and up to it
+    marks = (_join_small(hot.where(F.col(_PIECES) > 1), all_bounds, keys, "inner", small)
+             .select(*keys, F.posexplode(own).alias(_SLICE, "bound"))
+             .groupBy(*keys, "bound").agg(F.min(_SLICE).alias("below"), (F.max(_SLICE) + 1).alias("upto"))
+             .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("bound", "below", "upto"))).alias(_BOUNDS)))
+    bounds = _join_small(hot, marks, keys, "left", small).select(*keys, _BOUNDS, _NULL_PIECES)
     return _Cuts(bounds.checkpoint(eager=True), pieces, small)
 
 
@@ -108,27 +111,23 @@ def _slice_of(df: DataFrame, version: str, pieces: int, row_hash) -> DataFrame:
     """Add ``_SLICE`` = number of the row's key bounds at or below its version,
     and ``_GROUP`` (0: the only one of its version, or not a common one).
 
-    A binary search over the sorted bounds: one comparison per halving step
-    (about log2 of the slice count), each step its own projection, instead
-    of comparing every row with every bound."""
+    A binary search over the sorted distinct bounds, folded over its steps
+    (about log2 of the slice count): one expression of fixed size.  A column a
+    step, each naming the one before several times, is a plan that doubles
+    with every step when the optimizer puts the columns into each other."""
     v = F.col(version)
     size = F.coalesce(F.size(_BOUNDS), F.lit(0))
-    out = df.withColumn(_SLICE, F.lit(0)).withColumn(_BELOW, F.lit(0))
-    step = 1
-    while step * 2 <= max(pieces, 1):
-        step *= 2
-    while step >= 1:
-        up, low = F.col(_SLICE) + F.lit(step), F.col(_BELOW) + F.lit(step)
-        up_ok = (up <= size) & (F.try_element_at(F.col(_BOUNDS), up) <= v)
-        low_ok = (low <= size) & (F.try_element_at(F.col(_BOUNDS), low) < v)
-        out = out.withColumns({
-            _SLICE: F.when(v.isNotNull() & up_ok, up).otherwise(F.col(_SLICE)),
-            _BELOW: F.when(v.isNotNull() & low_ok, low).otherwise(F.col(_BELOW))})
-        step //= 2
+    steps = [1 << k for k in reversed(range(max(pieces, 1).bit_length()))]
+    found = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: F.when(
+        (at + step <= size) & (F.try_element_at(F.col(_BOUNDS), at + step)["bound"] <= v), at + step).otherwise(at))
+    out = df.withColumn(_BELOW, found)
+    out = out.withColumn(_BELOW, F.when(F.col(_BELOW) > 0, F.try_element_at(F.col(_BOUNDS), F.col(_BELOW))))
+    mark = F.col(_BELOW)
     # bounds the version itself holds
-    groups = F.when(v.isNull(), F.coalesce(F.col(_NULL_PIECES), F.lit(0))).otherwise(F.col(_SLICE) - F.col(_BELOW))
+    groups = F.when(v.isNull(), F.col(_NULL_PIECES)).when(mark["bound"] == v, mark["upto"] - mark["below"])
     group = F.when(groups > 1, F.pmod(row_hash, groups) + 1).otherwise(F.lit(0)).cast("long")
-    return out.withColumn(_GROUP, group).drop(_BOUNDS, _BELOW, _NULL_PIECES)
+    return (out.withColumn(_SLICE, F.coalesce(mark["upto"], F.lit(0))).withColumn(_GROUP, group)
+            .drop(_BOUNDS, _BELOW, _NULL_PIECES))
 
 
 def _join_small(left: DataFrame, side: DataFrame, on: Sequence[str], how: str, small: bool) -> DataFrame:
