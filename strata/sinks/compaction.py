@@ -25,6 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strata.sinks.partitions import session_setting
 from strata.sinks.tables import quote, table_layout
 from strata.sinks.versions import _files, location
 
@@ -32,6 +33,8 @@ _PREFIX = "_compact-"
 _PACK = "__strata_pack"
 #: paths that a broadcast of the plan may hold; beyond them the plan is joined by a shuffle
 BROADCAST_FILES = 100_000
+#: files a task of the packing job holds open at once, a row group in memory each
+OPEN_PACKS = 4
 
 
 def file_sizes(spark: SparkSession, name: str, below: int | None = None) -> DataFrame:
@@ -83,8 +86,11 @@ def _write_packs(spark: SparkSession, name: str, partition_by: Sequence[str], pl
     columns = [quote(c) for c in spark.table(name).columns if c not in partition_by]
     rows = (spark.table(name).where(F.col("_metadata.file_size") < below)
             .select(*columns, F.col("_metadata.file_path").alias("__strata_at")))
-    (rows.join(keys, F.col("__strata_at") == F.col("__strata_file")).select(*columns, _PACK).repartition(n_packs, _PACK)
-     .write.partitionBy(_PACK).parquet(out))
+    packed = rows.join(keys, F.col("__strata_at") == F.col("__strata_file")).select(*columns, _PACK)
+    # a task gets a pack, or few: their rows go straight to their files, where a write by
+    # partition else sorts all rows of the task first
+    with session_setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_PACKS)):
+        packed.repartition(n_packs, _PACK).write.partitionBy(_PACK).parquet(out)
 
 
 def finish_compactions(spark: SparkSession, name: str) -> int:

@@ -149,3 +149,23 @@ def test_profiles_of_odd_columns(spark):
     assert got["b c"]["largest"] == 2.0 and got["f"]["q50"] is None and got["e"]["q50"] == 18263.0
     none = {r["column"]: r for r in merge_states(column_states(rows.limit(0), "x")).collect()}
     assert none["a"]["n_rows"] == 0 and none["a"]["n_distinct"] == 0 and none["a"]["q50"] is None
+
+
+def test_packs_are_written_without_a_sort_of_their_rows(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    key, seen = "spark.sql.maxConcurrentOutputFileWriters", {}
+    before = spark.conf.get(key, None)
+    write = DataFrameWriter.parquet
+
+    def watched(self, path, *args, **kwargs):
+        seen[path.rsplit("/", 1)[1]] = int(spark.conf.get(key, "0"))
+        return write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", watched)
+    name = _mixed(spark, 4000)
+    rows = _digest(spark, name)
+    # more packs than files that a task may hold open
+    assert compact_small_files(spark, name, 20_000) > 1 and _digest(spark, name) == rows
+    assert seen["data"] > 0 and spark.conf.get(key, None) == before
+    finish_compactions(spark, name)
