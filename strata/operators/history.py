@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.dedupe import default_tie_break
 from strata.operators.joins import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, checked_join, null_safe_join, value_bytes
-from strata.session import ensure_checkpoint_dir
+from strata.session import ensure_checkpoint_dir, stored
 
 DEFAULT_ROWS_PER_SLICE = 1_000_000
 
@@ -55,6 +55,7 @@ _FOLLOWED = "__strata_followed"
 _HEAD = "__strata_head"
 _LAST = "__strata_last"
 _NEXT_HEAD = "__strata_next_head"
+_FRESH = "__strata_fresh"
 
 
 @dataclass(frozen=True)
@@ -138,14 +139,15 @@ def _join_small(left: DataFrame, side: DataFrame, on: Sequence[str], how: str, s
 def validity_ranges(df: DataFrame, keys: Sequence[str], version: str,
                     tie_break: Sequence[str] = (), valid_to: str = "valid_to",
                     is_current: str = "is_current",
-                    rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
+                    rows_per_slice: int = DEFAULT_ROWS_PER_SLICE, hot: bool = True) -> DataFrame:
     """``df`` plus ``valid_to`` (next version of the same key) and ``is_current``.
 
-    Versions are ordered by ``version`` then ``tie_break``, ascending with
+    ``hot=False`` says that no key has over ``rows_per_slice`` rows, known from a count
+    of these or of more rows: it saves computing ``df`` to count them.  Versions are ordered by ``version`` then ``tie_break``, ascending with
     NULL first; which of several rows equal in both comes last is not
     defined.  ``version`` must be numeric, a date or a timestamp."""
     order = [F.col(c).asc_nulls_first() for c in [version, *tie_break]]
-    cuts = _hot_cuts(df, keys, version, rows_per_slice)
+    cuts = _hot_cuts(df, keys, version, rows_per_slice) if hot else None
     if cuts is None:
         out = df.withColumn(valid_to, F.lead(version).over(Window.partitionBy(*keys).orderBy(*order)))
         return out.withColumn(is_current, F.col(valid_to).isNull())
@@ -170,7 +172,8 @@ def validity_ranges(df: DataFrame, keys: Sequence[str], version: str,
 
 
 def fold_unchanged(df: DataFrame, keys: Sequence[str], version: str, attributes: Sequence[str],
-                   tie_break: Sequence[str] = (), rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> DataFrame:
+                   tie_break: Sequence[str] = (), rows_per_slice: int = DEFAULT_ROWS_PER_SLICE,
+                   hot: bool = True) -> DataFrame:
     """The versions that change something: the first row of every run of
     versions of a key with equal ``attributes`` (NULLs equal; gaps and islands).
 
@@ -178,7 +181,7 @@ def fold_unchanged(df: DataFrame, keys: Sequence[str], version: str, attributes:
     columns) counts; it is found by an aggregate with map-side combining.  Hot
     keys are cut into slices as in ``validity_ranges``: a row is compared with
     the row before it in its slice, the first of a slice with the last row of
-    the slices before."""
+    the slices before; ``hot`` is as there."""
     rest = [c for c in df.columns if c not in keys and c != version]
     last = F.max_by(F.struct(*rest), F.struct(*(tie_break or default_tie_break(df.select(*rest), ()))))
     one = df.groupBy(*keys, version).agg(last.alias(_LAST)).select(*keys, version, f"{_LAST}.*").select(*df.columns)
@@ -188,7 +191,7 @@ def fold_unchanged(df: DataFrame, keys: Sequence[str], version: str, attributes:
     def changes(rows: DataFrame) -> DataFrame:
         return rows.where(F.col(_FOLLOWED).isNull() | ~own.eqNullSafe(F.col(_NEXT))).select(*df.columns)
 
-    cuts = _hot_cuts(one, keys, version, rows_per_slice)
+    cuts = _hot_cuts(one, keys, version, rows_per_slice) if hot else None
     if cuts is None:
         before = Window.partitionBy(*keys).orderBy(order)
         return changes(one.withColumn(_NEXT, F.lag(own).over(before)).withColumn(_FOLLOWED, F.lag(F.lit(True)).over(before)))
@@ -215,11 +218,20 @@ def merge_versions(history: DataFrame, late: DataFrame, keys: Sequence[str], ver
     falls into is closed there and the late version takes over its end.  A row
     that is stored already in every column is not taken twice, so a replay
     changes nothing."""
-    touched = late.select(*keys).distinct()
-    stored = checked_join(history, touched, keys, "left_semi", null_safe=True).drop(valid_to, is_current)
-    columns = stored.columns
-    fresh = null_safe_join(late.select(*columns).distinct(), stored, columns, "left_anti")
-    return validity_ranges(stored.unionByName(fresh), keys, version, tie_break, valid_to, is_current, rows_per_slice)
+    versions = _with_late(history.drop(valid_to, is_current), late, late.select(*keys).distinct(), keys).drop(_FRESH)
+    return validity_ranges(versions, keys, version, tie_break, valid_to, is_current, rows_per_slice)
+
+
+def _with_late(history: DataFrame, late: DataFrame, touched: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The stored versions of the touched keys and the late ones that are not among them (``_FRESH``)."""
+    held = checked_join(history, touched, keys, "left_semi", null_safe=True)
+    fresh = null_safe_join(late.select(*held.columns).distinct(), held, held.columns, "left_anti")
+    return held.withColumn(_FRESH, F.lit(False)).unionByName(fresh.withColumn(_FRESH, F.lit(True)))
+
+
+def has_hot_keys(df: DataFrame, keys: Sequence[str], rows_per_slice: int = DEFAULT_ROWS_PER_SLICE) -> bool:
+    """Whether a key has over ``rows_per_slice`` rows."""
+    return not df.groupBy(*keys).count().where(F.col("count") > rows_per_slice).isEmpty()
 
 
 def merge_history_table(name: str, late: DataFrame, keys: Sequence[str], version: str,
@@ -233,14 +245,21 @@ def merge_history_table(name: str, late: DataFrame, keys: Sequence[str], version
     from all their versions, for a late version can bring back one folded away."""
     from strata.sinks.partitions import merge_partitions
 
+    # what several jobs read is written once, in the shared folder: the batch, its keys, the
+    # versions, and the ranges, which are read while the tables they come from are replaced
     spark = late.sparkSession
-    touched = late.select(*keys).distinct()
-    # read by both tables' merges, and from the table that the first replaces
-    ensure_checkpoint_dir(spark)
-    merged = merge_versions(spark.table(name), late, keys, version, tie_break,
-                            rows_per_slice=rows_per_slice).checkpoint(eager=True)
+    history = spark.table(name).drop("valid_to", "is_current")
+    late = stored(late.select(*history.columns).distinct())
+    touched = stored(late.select(*keys).distinct())
+    versions = stored(_with_late(history, late, touched, keys))
+    if versions.where(_FRESH).isEmpty():
+        return          # a batch that came before: the ranges hold all of it
+    versions = versions.drop(_FRESH)
+    # folding only takes versions away: one count for all that follows
+    hot = has_hot_keys(versions, keys, rows_per_slice)
+    merged = stored(validity_ranges(versions, keys, version, tie_break, rows_per_slice=rows_per_slice, hot=hot))
     if folded:
-        changes = fold_unchanged(merged.drop("valid_to", "is_current"), keys, version, attributes, tie_break, rows_per_slice)
-        merge_partitions(folded, validity_ranges(changes, keys, version, tie_break, rows_per_slice=rows_per_slice), keys,
-                         touched=touched, unique=False)
+        changes = fold_unchanged(versions, keys, version, attributes, tie_break, rows_per_slice, hot)
+        ranges = stored(validity_ranges(changes, keys, version, tie_break, rows_per_slice=rows_per_slice, hot=hot))
+        merge_partitions(folded, ranges, keys, touched=touched, unique=False)
     merge_partitions(name, merged, keys, touched=touched, unique=False)

@@ -14,7 +14,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.history import fold_unchanged, merge_history_table, validity_ranges
+from strata.operators.history import fold_unchanged, has_hot_keys, merge_history_table, validity_ranges
 from strata.operators.merge import apply_changes_table, upsert_table
 from strata.plans import catalogue as cat
 from strata.plans.extended import change_feed
@@ -151,9 +151,10 @@ def _histories(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
         (F.pmod(F.xxhash64("o_custkey"), F.lit(PARTS))).cast("int").alias("part"))
     late = F.coalesce(F.col("o_orderkey") % 3 == 0, F.lit(True))
     first = versions.where(~late)
-    publish(validity_ranges(first, HISTORY_KEYS, HISTORY_VERSION, ["o_orderkey"]), whole, partition_by=("part",))
-    folded = fold_unchanged(first, HISTORY_KEYS, HISTORY_VERSION, ["o_orderpriority"], ["o_orderkey"])
-    publish(validity_ranges(folded, HISTORY_KEYS, HISTORY_VERSION, ["o_orderkey"]), changes, partition_by=("part",))
+    hot = has_hot_keys(first, HISTORY_KEYS)
+    publish(validity_ranges(first, HISTORY_KEYS, HISTORY_VERSION, ["o_orderkey"], hot=hot), whole, partition_by=("part",))
+    folded = fold_unchanged(first, HISTORY_KEYS, HISTORY_VERSION, ["o_orderpriority"], ["o_orderkey"], hot=hot)
+    publish(validity_ranges(folded, HISTORY_KEYS, HISTORY_VERSION, ["o_orderkey"], hot=hot), changes, partition_by=("part",))
     odd = F.coalesce(F.col("o_orderkey") % 2 == 1, F.lit(False))
     for batch in (versions.where(late & odd), versions.where(late & ~odd), versions.where(late & odd)):
         merge_history_table(whole, batch, HISTORY_KEYS, HISTORY_VERSION, ["o_orderkey"], changes, ["o_orderpriority"],

@@ -104,3 +104,24 @@ def test_many_slices_of_common_and_null_versions(spark):
     got = validity_ranges(df, ["k"], "v", ["seq"], rows_per_slice=3).drop("is_current")
     # of rows equal in version the last may differ, not how many end where
     assert sorted(map(repr, got.select("k", "v", "valid_to").collect())) == sorted(map(repr, want.select("k", "v", "valid_to").collect()))
+
+
+def test_a_replayed_batch_rewrites_nothing(spark):
+    rows = [(k, v, v, "pq"[v % 2], 1, 0) for k in "xy" for v in range(6)]
+    db = f"tdb_{uuid.uuid4().hex[:8]}"
+    ensure_schema(spark, "spark_catalog", db)
+    whole, changes = (qualified_name("spark_catalog", db, t) for t in ("h", "c"))
+    first = spark.createDataFrame(rows[::2], SCHEMA)
+    publish(validity_ranges(first, ["k"], "v", ["seq"]), whole, partition_by=("part",))
+    publish(validity_ranges(fold_unchanged(first, ["k"], "v", ["a"], ["seq"]), ["k"], "v", ["seq"]), changes, partition_by=("part",))
+
+    def files():
+        return {r[0] for t in (whole, changes) for r in spark.table(t).select("_metadata.file_path").distinct().collect()}
+
+    before = files()
+    late = spark.createDataFrame(rows[1::2] * 2, SCHEMA)
+    merge_history_table(whole, late, ["k"], "v", ["seq"], changes, ["a"])
+    after = files()
+    assert not before & after and spark.table(whole).count() == 12 and spark.table(changes).count() == 12
+    merge_history_table(whole, late, ["k"], "v", ["seq"], changes, ["a"])
+    assert files() == after
