@@ -6,14 +6,20 @@ each filter, and a logistic layer scores the maxima.  A filter's value at a
 place is a sum of table rows (embedding times filter, one table per place in
 the filter), so scoring a text is a few look-ups a word.
 
-The model is fitted on the driver on a bounded sample of labelled rows: at
-most ``per_class`` documents of each class, the least by hash of ``doc_id``,
-of at most ``MAX_TRAIN_BYTES`` each.  Held-out rows (``crc32`` of the id's
-text divisible by ``folds``) never enter it.  Every fifth sample document is
-kept from training to choose a threshold for each language, guessed from
-function words of the text itself; scores are stretched so that the
+The model learns from every labelled text, whole, by parameter averaging: texts
+become packed word ids, dealt by ``doc_id`` into parts of about
+``ROWS_PER_PART`` rows; a pass sends the parameters out, every part takes
+Adagrad steps over its rows, and the parts' moves are averaged, each row of
+the embeddings by how often the parts touched it.  Few rows are passed over
+more often.  Rows count by the inverse share of their class.  Held-out rows
+(``crc32`` of the id's text divisible by ``folds``) never enter it.  A fifth
+of the labelled texts take no steps: all of them are scored and counted by
+language (guessed from function words of the text itself), label and score
+to choose a threshold for each language; scores are stretched so that the
 threshold lies at 0.5; a language with few toxic rows there is drawn to the
-common threshold by ``pooling``, at every size alike.  Scoring reads every whole text, with no shuffle.
+common threshold by ``pooling``, at every size alike.  The parameters and
+the counts are all that comes to the driver, of fixed size.  Scoring reads
+every whole text, with no shuffle.
 
 Defined results: a null or empty text gets the score of a text of padding; a
 null ``doc_id`` is not held out and matches no label; of repeated labels of
@@ -29,10 +35,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import alnum_words
+from strata.llm.common import alnum_words, checkpointed, maybe_member
 
 BUCKETS, STEMS, STEM_BYTES = 1 << 15, 1 << 12, 4
 DIM, FILTERS, WIDTHS = 16, 8, (1, 2, 3)
@@ -41,7 +49,12 @@ PAD = STEMS << 16 | BUCKETS
 ROWS = BUCKETS + 1 + STEMS + 1
 #: words scored at once: bounds the memory of a task whatever the text's length
 SLICE = 1 << 17
-MAX_TRAIN_BYTES = 1 << 16
+#: labelled rows a task learns from in a pass; passes over all rows, more for fewer than ``ENOUGH_ROWS``
+ROWS_PER_PART, ENOUGH_ROWS, MOST_PASSES, LEAST_PASSES = 20_000, 60_000, 6, 2
+#: rows of the parameters in one message; messages of so many parts are added at once
+CHUNK, FAN = 512, 256
+#: steps of the score that thresholds are chosen from
+BINS = 1 << 13
 # fixed values: frequent function words by language
 FUNCTION_WORDS = {
     "en": "the of and to that is was for with he it on are this",
@@ -154,66 +167,175 @@ def raw_scores(model: Model, texts: list[np.ndarray], tables=None) -> np.ndarray
     return _sigmoid((h @ model.out + model.out_bias).astype(np.float64))
 
 
-def train(texts: list[np.ndarray], labels: np.ndarray, epochs: int = 6, batch: int = 64,
-          rate: float = 0.08, word_dropout: float = 0.1, seed: int = 7) -> Model:
-    """Fit the network by Adagrad; only rows of words at a maximum move."""
-    rng = np.random.default_rng(seed)
-    extra, padding = max(WIDTHS) - 1, [BUCKETS, ROWS - 1]
-    m = Model(embed=rng.normal(0, 0.2, (ROWS, DIM)).astype(np.float32),
-              filters=[rng.normal(0, 0.3, (w, DIM, FILTERS)).astype(np.float32) for w in WIDTHS],
-              bias=np.zeros(FILTERS * len(WIDTHS), np.float32),
-              out=rng.normal(0, 0.3, FILTERS * len(WIDTHS)).astype(np.float32))
-    m.embed[padding] = 0
-    g_embed = np.full(m.embed.shape, 1e-3, np.float32)
-    g_filters = [np.full(w.shape, 1e-3, np.float32) for w in m.filters]
-    g_bias, g_out, g_ob = np.full(m.bias.shape, 1e-3), np.full(m.out.shape, 1e-3), 1e-3
-    pad = np.full(extra, PAD, np.int32)
-    for _ in range(epochs):
-        order = rng.permutation(len(texts))
-        for at in range(0, len(order), batch):
-            rows = order[at:at + batch]
-            tables = m.tables()
-            best = np.zeros((len(rows), m.bias.size), np.int64)
-            value = np.zeros((len(rows), m.bias.size), np.float32)
-            group, size = [], 0
-            for k, r in enumerate(rows):
-                ids = texts[r] if len(texts[r]) else pad[:1]
-                ids = np.concatenate([np.where(rng.random(len(ids)) < word_dropout, PAD, ids), pad])
-                v = _values(ids, tables)
-                best[k] = v.argmax(axis=0) + size
-                value[k] = v.max(axis=0)
-                group.append(ids)
-                size += len(ids)
-            ids = np.concatenate(group)
-            h = np.maximum(value + m.bias, 0)
-            err = (_sigmoid(h @ m.out + m.out_bias) - labels[rows]) / len(rows)
-            d = (err[:, None] * m.out) * (h > 0)
-            step = h.T @ err
-            g_out += step ** 2
-            m.out -= (rate * step / np.sqrt(g_out)).astype(np.float32)
-            g_ob += err.sum() ** 2
-            m.out_bias -= rate * err.sum() / np.sqrt(g_ob)
-            step = d.sum(axis=0)
-            g_bias += step ** 2
-            m.bias -= (rate * step / np.sqrt(g_bias)).astype(np.float32)
-            touched, moves = [], []
-            for i, w in enumerate(m.filters):
-                own = slice(i * FILTERS, (i + 1) * FILTERS)
-                dz, grad = d[:, own], np.zeros_like(w)
-                for j in range(len(w)):
-                    word, stem = rows_of(ids[best[:, own] + j])
-                    grad[j] = np.einsum("nf,nfd->df", dz, m.embed[word] + m.embed[stem])
-                    touched += [word.ravel(), stem.ravel()]
-                    moves += [(dz[:, :, None] * w[j].T[None]).reshape(-1, DIM)] * 2
-                g_filters[i] += grad ** 2
-                w -= rate * grad / np.sqrt(g_filters[i])
-            rows_moved, place = np.unique(np.concatenate(touched), return_inverse=True)
-            grad = np.zeros((len(rows_moved), DIM), np.float32)
-            np.add.at(grad, place, np.concatenate(moves))
-            g_embed[rows_moved] += grad ** 2
-            m.embed[rows_moved] -= rate * grad / np.sqrt(g_embed[rows_moved])
-            m.embed[padding] = 0
-    return m
+class Learner:
+    """A model and the sums of squared gradients that divide its steps (Adagrad)."""
+
+    def __init__(self, model: Model, sums: list[np.ndarray], rate: float = 0.08):
+        self.m, self.sums, self.rate = model, sums, rate
+        self.touched = np.zeros(ROWS)
+
+    @staticmethod
+    def start(seed: int = 7) -> Learner:
+        rng = np.random.default_rng(seed)
+        n = FILTERS * len(WIDTHS)
+        m = Model(embed=rng.normal(0, 0.2, (ROWS, DIM)).astype(np.float32),
+                  filters=[rng.normal(0, 0.3, (w, DIM, FILTERS)).astype(np.float32) for w in WIDTHS],
+                  bias=np.zeros(n, np.float32), out=rng.normal(0, 0.3, n).astype(np.float32))
+        m.embed[[BUCKETS, ROWS - 1]] = 0
+        own = Learner(m, [])
+        own.sums = [np.full(v.shape, 1e-3) for v in own.values()]
+        return own
+
+    def values(self) -> list[np.ndarray]:
+        m = self.m
+        return [m.embed, *m.filters, m.bias, m.out, np.array([m.out_bias])]
+
+    def matrix(self) -> np.ndarray:
+        """All parameters beside their sums, ``DIM`` of each a row; the embeddings first."""
+        sides = []
+        for many in (self.values(), self.sums):
+            flat = np.concatenate([v.ravel() for v in many]).astype(np.float64)
+            sides.append(np.r_[flat, np.zeros(-len(flat) % DIM)].reshape(-1, DIM))
+        return np.concatenate(sides, axis=1)
+
+    @staticmethod
+    def of(matrix: np.ndarray) -> Learner:
+        own = Learner.start()
+        for side, many in ((matrix[:, :DIM], own.values()), (matrix[:, DIM:], own.sums)):
+            flat, at = side.ravel(), 0
+            for v in many:
+                v[...] = flat[at:at + v.size].reshape(v.shape)
+                at += v.size
+            if many is not own.sums:
+                own.m.out_bias = float(many[-1][0])
+        return own
+
+    def top(self, ids: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Largest value of each filter over the text, and the words it stands on."""
+        extra, n = max(WIDTHS) - 1, FILTERS * len(WIDTHS)
+        ids = np.concatenate([ids if len(ids) else [PAD], np.full(extra, PAD, np.int32)])
+        value, best = np.full(n, -np.inf, np.float32), np.full((n, extra + 1), PAD, np.int32)
+        for a in range(0, len(ids) - extra, SLICE):
+            part = ids[a:a + SLICE + extra]
+            word, stem = rows_of(part)
+            z = (self.m.embed[word] + self.m.embed[stem]) @ columns
+            k, at, v = len(part) - extra, 0, []
+            for w in WIDTHS:
+                v.append(sum(z[j:j + k, at + j * FILTERS:at + (j + 1) * FILTERS] for j in range(w)))
+                at += w * FILTERS
+            v = np.concatenate(v, axis=1)
+            at = v.argmax(axis=0)
+            here = v[at, np.arange(n)]
+            more = here > value
+            value[more] = here[more]
+            best[more] = part[at[more][:, None] + np.arange(extra + 1)]
+        return value, best
+
+    def step(self, texts: list[np.ndarray], labels: np.ndarray, weights: np.ndarray) -> None:
+        """One step on a batch; only rows of words at a maximum move."""
+        m, rate = self.m, self.rate
+        g_embed, g_filters, (g_bias, g_out, g_ob) = self.sums[0], self.sums[1:-3], self.sums[-3:]
+        columns = np.concatenate([w[j] for w in m.filters for j in range(len(w))], axis=1)
+        value, best = map(np.stack, zip(*(self.top(ids, columns) for ids in texts)))
+        h = np.maximum(value + m.bias, 0)
+        err = (_sigmoid(h @ m.out + m.out_bias) - labels) * weights / len(texts)
+        d = (err[:, None] * m.out) * (h > 0)
+        grad = h.T @ err
+        g_out += grad ** 2
+        m.out -= (rate * grad / np.sqrt(g_out)).astype(np.float32)
+        g_ob += err.sum() ** 2
+        m.out_bias -= float(rate * err.sum() / np.sqrt(g_ob[0]))
+        grad = d.sum(axis=0)
+        g_bias += grad ** 2
+        m.bias -= (rate * grad / np.sqrt(g_bias)).astype(np.float32)
+        touched, moves = [], []
+        for i, w in enumerate(m.filters):
+            own = slice(i * FILTERS, (i + 1) * FILTERS)
+            dz, grad = d[:, own], np.zeros(w.shape)
+            for j in range(len(w)):
+                word, stem = rows_of(best[:, own, j])
+                grad[j] = np.einsum("nf,nfd->df", dz, m.embed[word] + m.embed[stem])
+                touched += [word.ravel(), stem.ravel()]
+                moves += [(dz[:, :, None] * w[j].T[None]).reshape(-1, DIM)] * 2
+            g_filters[i] += grad ** 2
+            w -= (rate * grad / np.sqrt(g_filters[i])).astype(np.float32)
+        rows, place = np.unique(np.concatenate(touched), return_inverse=True)
+        grad = np.zeros((len(rows), DIM))
+        np.add.at(grad, place, np.concatenate(moves))
+        g_embed[rows] += grad ** 2
+        m.embed[rows] -= (rate * grad / np.sqrt(g_embed[rows])).astype(np.float32)
+        m.embed[[BUCKETS, ROWS - 1]] = 0
+        self.touched[rows] += 1
+
+
+MOVES = "chunk int, part int, weight binary, total binary"
+
+
+def _cell(values: np.ndarray, kind: str) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values, kind).tobytes())
+
+
+def _array(cell: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(cell), kind)
+
+
+def _learn(shared, seed: int, balance: tuple[float, float], batch: int = 64, word_dropout: float = 0.1):
+    """One pass over a part's rows (toxic, ids); its moves, weighted, in chunks of rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, part, seen = shared.value, TaskContext.get().partitionId(), 0
+        rng, learner = np.random.default_rng((seed, part)), Learner.of(before)
+        for rows in batches:
+            y = rows.column(0).to_numpy(zero_copy_only=False).astype(np.float64)
+            weight = np.where(y == 1, balance[1], balance[0])
+            # taken in random order within what one batch of rows holds
+            order = rng.permutation(len(y))
+            for at in range(0, len(order), batch):
+                own = order[at:at + batch]
+                texts = [_array(rows.column(1)[int(i)].as_py(), "<i4") for i in own]
+                texts = [np.where(rng.random(len(t)) < word_dropout, PAD, t) for t in texts]
+                learner.step(texts, y[own], weight[own])
+                seen += 1
+        if seen:
+            moved = learner.matrix() - before
+            weight = np.r_[learner.touched, np.full(len(moved) - ROWS, float(seen))]
+            moved *= weight[:, None]
+            cuts = range(0, len(moved), CHUNK)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(len(cuts)), pa.int32()), pa.array([part] * len(cuts), pa.int32()),
+                 pa.array([_cell(weight[a:a + CHUNK], "<f8") for a in cuts], pa.binary()),
+                 pa.array([_cell(moved[a:a + CHUNK], "<f4") for a in cuts], pa.binary())],
+                [f.split()[0] for f in MOVES.split(", ")])
+    return run
+
+
+def _added(moves: pa.Table) -> pa.Table:
+    rows = sorted(moves.to_pylist(), key=lambda r: r["part"])       # one order of the sums
+    weight = sum(_array(r["weight"], "<f8") for r in rows)
+    total = sum(_array(r["total"], "<f4").astype(np.float64) for r in rows)
+    return pa.table({"chunk": pa.array([rows[0]["chunk"]], pa.int32()),
+                     "part": pa.array([rows[0]["part"] // FAN], pa.int32()),
+                     "weight": pa.array([_cell(weight, "<f8")], pa.binary()),
+                     "total": pa.array([_cell(total, "<f4")], pa.binary())})
+
+
+def train(rows: DataFrame, passes: int, balance: tuple[float, float]) -> Model:
+    """Fit by averaged passes over all ``rows`` (toxic, ids), a learner a partition."""
+    spark = rows.sparkSession
+    state = Learner.start().matrix()
+    n_parts = rows.rdd.getNumPartitions()
+    for turn in range(passes):
+        shared = spark.sparkContext.broadcast(state)
+        moves, parts = rows.mapInArrow(_learn(shared, turn, balance), MOVES), n_parts
+        while parts > FAN:
+            moves = moves.groupBy("chunk", F.expr(f"part div {FAN}")).applyInArrow(_added, MOVES)
+            parts = -(-parts // FAN)
+        state = state.copy()
+        for r in moves.groupBy("chunk").applyInArrow(_added, MOVES).toLocalIterator():
+            weight = _array(r["weight"], "<f8")[:, None]
+            own = slice(r["chunk"] * CHUNK, r["chunk"] * CHUNK + len(weight))
+            state[own] += np.where(weight > 0, _array(r["total"], "<f4").reshape(len(weight), -1) / np.maximum(weight, 1), 0)
+        shared.unpersist()
+    return Learner.of(state).m
 
 
 def best_threshold(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> float:
@@ -231,42 +353,72 @@ def held_out(folds: int = 5) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, folds: int = 5,
-        pooling: float = 20.0) -> Model:
-    """Fit on at most ``per_class`` documents of each class (see the module's text)."""
+def _worded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) as (doc_id, language, packed word ids)."""
+    buckets, codes = _Buckets(), _language_codes()
+    for batch in batches:
+        texts = [word_ids(t, buckets) for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([language_of(t, codes) for t in texts], pa.int32()),
+             pa.array([_cell(t, "<i4") for t in texts], pa.binary())], ["doc_id", "lang", "ids"])
+
+
+def labelled(docs: DataFrame, known: DataFrame, parts: int) -> DataFrame:
+    """Every labelled text as (toxic, check, lang, ids), in ``parts`` partitions of a fixed order."""
+    # texts that surely have no label are not moved
+    words = (maybe_member(docs.where(F.col("text").isNotNull() & ~held_out()), "doc_id", known.select("doc_id"))
+             .select(F.col("doc_id").cast("long"), "text").mapInArrow(_worded, "doc_id long, lang int, ids binary"))
+    # fewer partitions than the session's would be dealt once more
+    n = max(parts, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    own = known.select(F.col("doc_id").cast("long").alias("__id"), "__toxic").repartition(n, "__id").hint("merge")
+    check = F.crc32(F.concat(F.lit("check "), F.col("doc_id").cast("string"))) % 5 == 0
+    return checkpointed(words.repartition(n, "doc_id").join(own, F.col("doc_id") == F.col("__id")).coalesce(parts)
+                        .sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "ids")
+                        .select(F.col("__toxic").alias("toxic"), check.alias("check"), "lang", "ids"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, pooling: float = 20.0,
+        rows_per_part: int = ROWS_PER_PART) -> Model:
+    """Fit on all labelled texts (see the module's text)."""
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("__toxic")).where(~held_out(folds)))
     counts = {int(r["__toxic"]): r["count"] for r in known.groupBy("__toxic").count().collect()}
     model = Model(prior=(counts.get(1, 0) + 0.5) / (sum(counts.values()) + 2))
     if not (counts.get(0) and counts.get(1)):
         return model
-    own = docs.select("doc_id", "text").where(F.octet_length("text") <= MAX_TRAIN_BYTES)
-    picks = [known.where(F.col("__toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
-             for y in (0, 1)]
-    # at most 2 * per_class rows of two numbers
-    sample = own.join(F.broadcast(picks[0].union(picks[1])), "doc_id")
-    # of repeated ids, one text; only it comes to the driver
-    sample = sample.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("__toxic").alias("__toxic"))
-    rows = {r["doc_id"]: (r["text"], r["__toxic"]) for r in sample.toLocalIterator()}
-    buckets = _Buckets()
-    ids = sorted(rows)
-    texts = [word_ids(rows[i][0], buckets) for i in ids]
-    y = np.array([rows[i][1] for i in ids], np.float32)
-    if len(set(y.tolist())) < 2:
+    rows = labelled(docs, known, -(-sum(counts.values()) // rows_per_part))
+    learns = {r["toxic"]: r["count"] for r in rows.where(~F.col("check")).groupBy("toxic").count().collect()}
+    if not (learns.get(0) and learns.get(1)):
         return model
-    check = np.array([zlib.crc32(f"check {i}".encode()) % 5 == 0 for i in ids])
-    parts = [k for k in np.flatnonzero(~check)]
-    fitted = train([texts[k] for k in parts], y[parts])
+    n = learns[0] + learns[1]
+    passes = min(max(-(-ENOUGH_ROWS // n), LEAST_PASSES), MOST_PASSES)
+    fitted = train(rows.where(~F.col("check")).select("toxic", "ids"), passes, (n / learns[0] / 2, n / learns[1] / 2))
     fitted.prior = model.prior
-    scores = raw_scores(fitted, texts)
-    codes = _language_codes()
-    lang = np.array([language_of(t, codes) for t in texts])
-    weight = np.where(y == 1, counts[1] / max((y == 1).sum(), 1), counts[0] / max((y == 0).sum(), 1))
-
-    fitted.thresholds = language_thresholds(scores[check], y[check], weight[check], lang[check], pooling)
+    fitted.thresholds = language_thresholds(*score_counts(rows.where("check"), fitted), pooling)
     return fitted
 
 
+def score_counts(rows: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(score, label, rows, language) of all ``rows``, counted in ``BINS`` steps of the score."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = shared.value.tables()
+        n = np.zeros(len(LANGUAGES) * 2 * BINS, np.int64)
+        for batch in batches:
+            s = raw_scores(shared.value, [_array(c.as_py(), "<i4") for c in batch.column(2)], tables)
+            group = batch.column(1).to_numpy() * 2 + (batch.column(0).to_numpy() == 1)
+            n += np.bincount(group * BINS + np.minimum((s * BINS).astype(np.int64), BINS - 1), minlength=len(n))
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[at])], ["at", "n"])
+
+    # at most a number per language, label and step comes to the driver
+    found = (rows.select("toxic", "lang", "ids").mapInArrow(run, "at int, n long")
+             .groupBy("at").agg(F.sum("n").alias("n")).orderBy("at").toArrow())
+    group, step = np.divmod(found["at"].to_numpy().astype(np.int64), BINS)
+    return (step + 0.5) / BINS, (group % 2).astype(float), found["n"].to_numpy().astype(float), group // 2
+
+
 def language_thresholds(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray, lang: np.ndarray,
                         pooling: float) -> tuple[float, ...]:
     """Each language's best threshold, shrunk towards the one of all rows.
@@ -278,7 +430,7 @@ def language_thresholds(scores: np.ndarray, labels: np.ndarray, weights: np.ndar
     out = []
     for k in range(len(LANGUAGES)):
         own = lang == k
-        share = pooling / (pooling + (labels[own] == 1).sum())
+        share = pooling / (pooling + weights[own & (labels == 1)].sum())
         out.append(best_threshold(scores, labels, weights * np.where(own, 1.0, share)))
     return tuple(out)
 

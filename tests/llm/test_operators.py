@@ -518,3 +518,24 @@ def test_neighbours_recall_and_odd_rows(spark):
     assert len(got) == 60 and hit / 600 >= 0.9
     assert hnsw.nearest(df.limit(0)).count() == 0
     assert hnsw.nearest(df.where("vec_id in (70, 71)"), k=10).count() == 2
+
+
+def test_toxicity_learns_from_every_labelled_text(spark, docs):
+    # all texts are long: a model of short texts sees none of them
+    rows = [(i, prose(40) + (" idiot scum " if i % 3 == 0 else " ") + "calm words here " * 4200) for i in range(700)]
+    marks = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(700)], "doc_id long, quality int, toxic int")
+    probe = [(10_000 + i, prose(40) + (" idiot scum" if i % 2 else "")) for i in range(60)]
+    out = toxicity.classify(docs(rows + probe), marks).where("doc_id >= 10000").collect()
+    assert np.mean([r["predicted"] == r["doc_id"] % 2 for r in out]) > 0.9
+    known = marks.selectExpr("doc_id", "toxic __toxic")
+    got = toxicity.labelled(docs(rows), known, 3)
+    assert got.count() == sum(zlib.crc32(str(i).encode()) % 5 > 0 for i, _ in rows)
+
+
+def test_toxicity_moves_of_the_parts_are_averaged(spark, docs):
+    rows = [(i, prose(30) + (" idiot scum" if i % 3 == 0 else "")) for i in range(1200)]
+    marks = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(1200)], "doc_id long, quality int, toxic int")
+    one, again = (toxicity.fit(docs(rows), marks, rows_per_part=300) for _ in range(2))
+    assert (one.embed == again.embed).all() and one.thresholds == again.thresholds
+    held = [r for r in toxicity.score(docs(rows), one).collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
+    assert np.mean([(r["score"] >= 0.5) == (r["doc_id"] % 3 == 0) for r in held]) > 0.95
