@@ -214,3 +214,108 @@ def test_gibbs_sweeps_follow_the_exact_law_of_tables():
             level.add(pairs, (py.THETA + d * level.t) * p)
         assert np.bincount(np.repeat(pairs, level.room), level.size).tolist() == [c] * many
         assert level.t.mean() == pytest.approx(want, abs=0.05)
+
+
+def log_stirling(c, d):
+    """log S(c, t) for t = 0 .. c."""
+    row = np.array([-np.inf, 0.0])
+    with np.errstate(divide="ignore"):
+        for n in range(1, c):
+            stay = np.log(np.maximum(n - d * np.arange(n + 1), 0))
+            row = np.logaddexp(np.r_[row + stay, -np.inf], np.r_[-np.inf, row])
+    return row
+
+
+def law_of_tables(c, d, weights):
+    """P(t), t = 0 .. c, where the t-th table has ``weights[t]``."""
+    log_p = log_stirling(c, d) + np.r_[0.0, 0.0, np.cumsum(np.log(weights[2:c + 1]))]
+    p = np.exp(log_p - log_p.max())
+    return p / p.sum()
+
+
+@pytest.mark.parametrize("c, others, base", [(2, 0, .5), (7, 30, .02), (60, 400, .05), (300, 5, .9), (500, 3000, .01), (900, 2000, .1)])
+def test_first_tables_follow_the_exact_law(c, others, base):
+    d, many = 0.6, 20_000
+    p = law_of_tables(c, d, (py.THETA + d * (others + np.arange(c + 1) - 1)) * base)
+    t = py._first_tables(np.full(many, c), np.full(many, others), np.full(many, base), d, np.random.default_rng(c))
+    got = np.bincount(t, minlength=c + 1) / many
+    assert np.abs(np.cumsum(got) - np.cumsum(p)).max() < 1.95 / many ** .5        # Kolmogorov, one in a thousand
+
+
+def test_law_of_many_customers_equals_the_recurrence():
+    for d, most in ((.1, 5e-3), (.3, 2e-3), (.5, 1e-3), (.7, 1e-3), (.9, 1e-3)):
+        law = py.law(d)
+        for c, row in py._tables_below(d, 1, np.zeros(2), 3000):
+            if c in (5, 512, 513, 777, 1500, 3000):
+                got, few = law.below(np.full(c, c), np.arange(1, c + 1)), c * 19 // 20
+                assert got[1:few] == pytest.approx(row[2:few + 1], rel=most)
+                assert got[few:] == pytest.approx(row[few + 1:], rel=5e-3)
+        s = log_stirling(9, d)
+        assert law.below(np.full(8, 9), np.arange(2, 10)) == pytest.approx(np.exp(s[1:-1] - s[2:]))
+
+
+def one_word(c, others):
+    """A word in two contexts of one parent; ``others``: tables and customers of the other words, at each level."""
+    u = np.array([1 << 8 | 7, 2 << 8 | 7])
+    totals = py.Totals(50, 3, (.5, .6, .7), [np.zeros(n, np.int64) for n in (1, py.C1, py.C2)],
+                       [np.ones(n, np.int64) for n in (1, py.C1, py.C2)])
+    seating = py.Seating(np.array([2]), u, np.array(c), totals, 3)
+    for level, (t, n) in enumerate(others):
+        own = seating.levels[level]
+        totals.tables[level][:] = t
+        totals.customers[level][:] = n
+        totals.tables[level][own.u] += own.t
+        np.add.at(totals.customers[level], own.u, own.c)
+    return seating, totals
+
+
+def test_sweeps_follow_the_exact_law_of_a_hierarchy():
+    c, others = (4, 3), ((2, 4), (3, 5), (6, 9))
+    seating, totals = one_word(c, others)
+    d = totals.discount
+
+    def rising(start, step, n):
+        return math.prod(start + step * k for k in range(n))
+
+    def s(n, t, level):
+        row = {(0, 0): 1.0}
+        for i in range(n):
+            for k in range(i + 2):
+                row[i + 1, k] = row.get((i, k - 1), 0) + (i - k * d[level]) * row.get((i, k), 0)
+        return row.get((n, t), 0)
+
+    want, mass = np.zeros(4), 0.0
+    for a in range(1, c[0] + 1):
+        for b in range(1, c[1] + 1):
+            for t1 in range(1, a + b + 1):
+                for t0 in range(1, t1 + 1):
+                    p = (s(c[0], a, 2) * s(c[1], b, 2) * s(a + b, t1, 1) * s(t1, t0, 0) * seating.base ** t0
+                         * rising(py.THETA + d[2] * 6, d[2], a) * rising(py.THETA + d[2] * 6, d[2], b)
+                         * rising(py.THETA + d[1] * 3, d[1], t1) * rising(py.THETA + d[0] * 2, d[0], t0)
+                         / rising(py.THETA + 5, 1, a + b) / rising(py.THETA + 4, 1, t1))
+                    want += p * np.array([a, b, t1, t0])
+                    mass += p
+    got, many = np.zeros(4), 6000
+    for _ in range(many):
+        seating.sweep(totals)
+        low, mid, top = seating.levels[2].t, seating.levels[1], seating.levels[0]
+        assert mid.c.tolist() == [low.sum()] and top.c.tolist() == mid.t.tolist() == [totals.customers[0][0] - 4]
+        assert totals.tables[1][7] == 3 + mid.t[0] and totals.customers[1][7] == 5 + mid.c[0]
+        got += [*low, mid.t[0], top.t[0]]
+    assert got / many == pytest.approx(want / mass, abs=0.07)
+
+
+def test_a_sweep_seats_every_customer_anew():
+    """After one sweep nothing is left of where a pair's customers sat."""
+    means = []
+    for start in (1, 200):
+        tables = []
+        for _ in range(150):
+            seating, totals = one_word((200, 3), ((200, 400), (300, 500), (400, 900)))
+            seating.levels[2].rng = np.random.default_rng(len(tables))
+            seating._set(1, np.array([0]), np.array([1]), totals)
+            seating._set(2, np.array([0]), np.array([start]), totals)
+            seating.sweep(totals)
+            tables.append(seating.levels[2].t[0])
+        means.append(np.mean(tables))
+    assert means[0] == pytest.approx(means[1], abs=3) and 5 < means[0] < 150
