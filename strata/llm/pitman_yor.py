@@ -15,8 +15,10 @@ restaurant is a customer of its parent (Chinese-restaurant seating).
    and sweeps by Gibbs: in every sweep all customers of every pair stand up
    and are seated anew, in one draw of their number of tables from its law
    given all other pairs (``Law``), and the pair's tables leave and join the
-   parent.  A pack sees the totals of the others as they were after the first
-   pass.  Seatings after ``BURN`` sweeps are the samples.
+   parent.  Pairs are drawn together in ``TURNS`` turns a level, those of one
+   turn see each other as they were before it; a pack sees the totals of the
+   others as they were after the first pass.  Seatings after ``BURN`` sweeps
+   are the samples.
 3. Scoring: the predictive probability of a word in its context is averaged
    over the samples.  Words of the highest document frequency, as many as
    fit into ``HOT_BYTES``, are broadcast and scored where the text is read;
@@ -51,7 +53,7 @@ from strata.llm.common import stored
 
 #: strength of every restaurant
 THETA = 1.0
-BURN, SAMPLES = 2, 3
+BURN, SAMPLES = 8, 3
 #: bytes of text behind one part of the model
 SHARD_BYTES = 12 << 20
 #: words of the model in one row
