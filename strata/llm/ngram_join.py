@@ -22,9 +22,11 @@ similarity; the result is each document's component under these links.
    exact, and those that reach the required overlap link.  Sets already
    connected are passed over, so a shard gives a spanning forest, never all
    pairs.
-4. A shard of too many shingles is split: first its sets are compared with a
-   few pivots, which connects most of a large group of near copies at linear
-   cost; the sets left over are probes, in blocks, against all blocks.
+4. A shard of too many shingles is split in pieces, each with the shard's few
+   pivots: its sets are compared with these first, which connects most of a
+   large group of near copies at linear cost, and the others are searched for
+   in their piece.  The sets still outside the shard's largest group are
+   probes, in blocks, against all blocks.
 
 Defined results: a null or empty text has an empty set, links with nothing
 and is its own component; a null ``doc_id`` takes no part in links and has a
@@ -42,8 +44,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import (checkpointed, connected_components, maybe_member, space_words, split_by_membership,
-                               without)
+from strata.llm.common import (checkpointed, checkpointed_alone, connected_components, maybe_member, space_words,
+                               split_by_membership, without)
 from strata.llm.shingles import U, WordHashes, dealt, fingerprint, in_groups, mix, sequence
 
 #: shingles worked on at once in a task; shingles of a shard that is not split; signatures in a packed group
@@ -276,78 +278,140 @@ def stars(n: int, links: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _links_of_shards(num: int, den: int):
+    """Links within each shard of rows (cell, rep, shingles, probe, pivot), in order of the cells.
+
+    Pairs without a probe are passed over.  Where a shard has pivots, its sets
+    are first compared with these; the largest group so found has no probes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, reps, sets, probe = None, [], [], []
+        shard, reps, sets, probe, pivot = None, [], [], [], []
 
         def finish() -> pa.RecordBatch:
-            links = stars(len(sets), search(sets, num, den, None if all(probe) else [i for i, p in enumerate(probe) if p]))
+            links, probes = [], None
+            if any(pivot):
+                links, probes = near_pivots(sets, [i for i, p in enumerate(pivot) if p], num, den)
+            elif not all(probe):
+                probes = [i for i, p in enumerate(probe) if p]
+            if probes is None or probes:
+                links = links + search(sets, num, den, probes)
+            links = stars(len(sets), links)
             return pa.RecordBatch.from_arrays(
                 [pa.array([reps[a] for a, _ in links], pa.int64()), pa.array([reps[b] for _, b in links], pa.int64())],
                 ["a", "b"])
 
         for batch in batches:
-            for s, rep, raw, p in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for s, rep, raw, x, p in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 if s != shard:
                     if len(reps) > 1:
                         yield finish()
-                    shard, reps, sets, probe = s, [], [], []
-                reps.append(rep), sets.append(np.frombuffer(raw, U)), probe.append(p)
+                    shard, reps, sets, probe, pivot = s, [], [], [], []
+                reps.append(rep), sets.append(np.frombuffer(raw, U)), probe.append(x), pivot.append(p)
         if len(reps) > 1:
             yield finish()
     return run
 
 
-def _split(members: DataFrame, sizes: DataFrame, num: int, den: int, shard: int) -> tuple[DataFrame, DataFrame]:
-    """Of shards too large for one task: links with pivots, and the blocks to search."""
-    big = members.join(sizes, "cell")
-    pick = (big.groupBy("cell").agg(F.min_by(F.struct("rep", "shingles"), F.xxhash64("rep", F.lit(0))).alias("p0"),
-                                    *[F.min_by(F.struct("rep", "shingles"), F.xxhash64("rep", F.lit(i))).alias(f"p{i}")
-                                      for i in range(1, PIVOTS)])
-            .select("cell", F.array(*[f"p{i}" for i in range(PIVOTS)]).alias("pivots")))
+def near_pivots(sets: list[np.ndarray], pivots: list[int], num: int, den: int) -> tuple[list[tuple[int, int]], list[int]]:
+    """Links of each set with the first pivot it reaches, and the sets outside the largest group these make."""
+    forest, links = Forest(len(sets)), []
+    for x, s in enumerate(sets):
+        for p in pivots:
+            if p == x:
+                break
+            small, large = sorted((len(s), len(sets[p])))
+            if den * small < num * large:
+                continue
+            both = len(np.intersect1d(s, sets[p], assume_unique=True))
+            if den * both >= num * (small + large - both):
+                forest.join(x, p)
+                links.append((x, p))
+                break
+    root = np.array([forest.root(i) for i in range(len(sets))])
+    main = np.bincount(root, weights=[len(s) for s in sets]).argmax()
+    return links, np.flatnonzero(root != main).tolist()
 
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _sets_of_texts(k: int):
+    """Rows (cell, rep, fp1, fp2, probe, pivot, text), in order of the cells, reps and fp1, with the set of each
+    for the text: other texts of the id go, equal rows become one."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, last = WordHashes(), None
         for batch in batches:
-            cell, rep, raw, pivots = (batch.column(i).to_pylist() for i in range(4))
-            to = []
-            for r, s, ps in zip(rep, raw, pivots):
-                s = np.frombuffer(s, U)
-                hit = None
-                for p in ps:
-                    q = np.frombuffer(p["shingles"], U)
-                    both = len(np.intersect1d(s, q, assume_unique=True))
-                    if p["rep"] == r or den * both >= num * (len(s) + len(q) - both):
-                        hit = p["rep"]
-                        break
-                to.append(hit)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array(to, pa.int64())],
-                ["cell", "rep", "shingles", "pivot"])
-
-    # pivots of a cell also connect with each other through the search: each is a probe
-    tried = checkpointed(big.select("cell", "rep", "shingles").join(pick, "cell").select(
-        "cell", "rep", "shingles", "pivots").mapInArrow(near, "cell long, rep long, shingles binary, pivot long"))
-    direct = tried.where("pivot is not null and pivot <> rep").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
-    groups = connected_components(tried.where("pivot is not null").select("rep", "pivot"), "rep", "pivot")
-    # all but the largest group of a cell are probes
-    grouped = tried.join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-        "grp", F.coalesce("root", "rep"))
-    largest = (grouped.groupBy("cell", "grp").agg(F.count(F.lit(1)).alias("c"))
+            out: list[list] = []
+            for cell, rep, fp1, fp2, probe, pivot, text in zip(*(c.to_pylist() for c in batch.columns)):
+                s = shingle_set(text, k, words)
+                if fingerprint(s) != (fp1, fp2):
+                    continue
+                if last and last[:3] == [cell, rep, (fp1, fp2)]:
+                    last[4:] = [last[4] or probe, last[5] or pivot]
+                    continue
+                if last:
+                    out.append(last)
+                last = [cell, rep, (fp1, fp2), s.tobytes(), probe, pivot]
+            if out:
+                yield _set_rows(out)
+        if last:
+            yield _set_rows([last])
+    return run
+
+
+def _set_rows(rows: list[list]) -> pa.RecordBatch:
+    cell, rep, _, raw, probe, pivot = zip(*rows)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(cell, pa.int64()), pa.array(rep, pa.int64()), pa.array(raw, pa.binary()),
+         pa.array(probe, pa.bool_()), pa.array(pivot, pa.bool_())], ["cell", "rep", "shingles", "probe", "pivot"])
+
+
+def _search_shards(texts: DataFrame, members: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """``(a, b)``: links within the cells of ``members`` (cell, rep, fp1, fp2, probe, pivot).
+
+    The texts move, compressed, and not the sets, which do not compress: a
+    set is computed where it is searched."""
+    sets_of, links_of = _sets_of_texts(k), _links_of_shards(num, den)
+    return (maybe_member(texts, "rep", members.select("rep")).join(members, "rep")
+            .select("cell", "rep", "fp1", "fp2", "probe", "pivot", "text")
+            .repartition("cell").sortWithinPartitions("cell", "rep", "fp1")
+            .mapInArrow(lambda batches: links_of(sets_of(batches)), "a long, b long"))
+
+
+_MEMBER = ("rep", "fp1", "fp2", "probe", "pivot")
+
+
+def _pieces(active: DataFrame, big: DataFrame) -> DataFrame:
+    """The cells to search first: small ones as they are, of each ``big`` one
+    (cell, pieces) its pieces, with the cell's pivots in every piece."""
+    def marked(df: DataFrame, probe: bool, pivot: bool) -> DataFrame:
+        return df.withColumns({"probe": F.lit(probe), "pivot": F.lit(pivot)}).select("cell", *_MEMBER)
+
+    own = F.struct("rep", "fp1", "fp2")
+    laid = active.join(big, "cell")
+    picked = (laid.groupBy("cell", "pieces").agg(F.array_distinct(F.array(
+        *[F.min_by(own, F.xxhash64("rep", "fp1", F.lit(i))) for i in range(PIVOTS)])).alias("pivots"))
+              .select("cell", "pieces", F.explode("pivots").alias("p"))
+              .select("cell", "p.*", F.explode(F.expr("sequence(0L, pieces - 1)")).alias("i")))
+    piece = F.pmod(F.xxhash64("rep", F.lit(99)), F.col("pieces"))
+    key = F.xxhash64("cell", "i").alias("cell")
+    return (marked(active.join(big, "cell", "left_anti"), True, False)
+            .union(marked(laid.withColumn("i", piece).select(key, "rep", "fp1", "fp2"), True, False))
+            .union(marked(picked.select(key, "rep", "fp1", "fp2"), True, True)))
+
+
+def _blocks(active: DataFrame, big: DataFrame, groups: DataFrame, shard: int) -> DataFrame:
+    """Of the ``big`` cells whose sets are not yet of one group (node, root):
+    all but those of the largest group are probes, in blocks, against all blocks."""
+    grouped = (active.join(big, "cell").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+               .withColumn("grp", F.coalesce("root", "rep")))
+    largest = (grouped.groupBy("cell", "grp").agg(F.sum("n").alias("c"))
                .groupBy("cell").agg(F.max_by("grp", F.struct("c", "grp")).alias("main")))
     marked = grouped.join(largest, "cell").withColumn("probe", F.col("grp") != F.col("main"))
-    n = F.octet_length("shingles") / 8
     blocks = marked.groupBy("cell").agg(
-        F.ceil(F.sum(n) / (shard / 2)).alias("kb"),
-        F.ceil(F.sum(F.when(F.col("probe"), n).otherwise(0)) / (shard / 2)).alias("pb")).where("pb > 0")
-    laid = marked.select("cell", "rep", "shingles", "probe").join(blocks, "cell")
-    own = F.pmod(F.xxhash64("rep", F.lit(99)), F.col("kb"))
-    as_member = laid.select("cell", "rep", "shingles", F.lit(False).alias("probe"), own.alias("i"),
-                            F.explode(F.expr("sequence(0L, pb - 1)")).alias("j"))
-    as_probe = laid.where("probe").select(
-        "cell", "rep", "shingles", F.lit(True).alias("probe"),
-        F.explode(F.expr("sequence(0L, kb - 1)")).alias("i"),
-        F.pmod(F.xxhash64("rep", F.lit(98)), F.col("pb")).alias("j"))
-    both = as_member.union(as_probe)
-    return direct, both.select(F.xxhash64("cell", "i", "j").alias("cell"), "rep", "shingles", "probe")
+        F.ceil(F.sum("n") / (shard / 2)).alias("kb"),
+        F.ceil(F.sum(F.when(F.col("probe"), F.col("n")).otherwise(0)) / (shard / 2)).alias("pb")).where("pb > 0")
+    laid = marked.join(blocks, "cell").withColumn("pivot", F.lit(False))
+    as_member = (laid.withColumn("probe", F.lit(False)).withColumns({
+        "i": F.pmod(F.xxhash64("rep", F.lit(99)), F.col("kb")), "j": F.explode(F.expr("sequence(0L, pb - 1)"))}))
+    as_probe = laid.where("probe").withColumns({
+        "j": F.pmod(F.xxhash64("rep", F.lit(98)), F.col("pb")), "i": F.explode(F.expr("sequence(0L, kb - 1)"))})
+    return as_member.unionByName(as_probe).select(F.xxhash64("cell", "i", "j").alias("cell"), *_MEMBER)
 
 
 def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, shard: int = SHARD) -> DataFrame:
@@ -359,44 +423,28 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, shard
     shingles = rows.agg(F.sum("n")).first()[0] or 0
     classes = (rows.where("n > 0 and doc_id is not null").groupBy("fp1", "fp2", "n")
                .agg(F.min("doc_id").alias("rep")))
-    edges = checkpointed(candidate_edges(docs.where(F.col("doc_id").isNotNull()), k, num, den, shingles).distinct())
+    edges = checkpointed_alone(
+        candidate_edges(docs.where(F.col("doc_id").isNotNull()), k, num, den, shingles).distinct())
     active = checkpointed(classes.join(shards_of(edges), "fp1"))
-
-    def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
-        for batch in batches:
-            out = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                s = shingle_set(text, k, words)
-                out.append((doc, *fingerprint(s), len(s), s.tobytes()))
-            cols = list(zip(*out)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.binary())],
-                ["rep", "fp1", "fp2", "n", "shingles"])
-
-    texts = maybe_member(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id", active.select("rep"))
-    loaded = texts.mapInArrow(load, "rep long, fp1 long, fp2 long, n long, shingles binary")
-    members = (loaded.join(active, ["rep", "fp1", "fp2", "n"])
-               .select("cell", "rep", "shingles"))
-    own = F.struct("fp1", "fp2", "n")
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
     repeated = checkpointed(rows.where("doc_id is not null").groupBy("doc_id").agg(
-        F.min(own).alias("x"), F.max(own).alias("y"), F.count(F.lit(1)).alias("c")).where("c > 1"))
+        F.min(F.struct("fp1", "fp2", "n")).alias("x"), F.max(F.struct("fp1", "fp2", "n")).alias("y"),
+        F.count(F.lit(1)).alias("c")).where("c > 1"))
     if not repeated.isEmpty():
-        # rows equal in id and text are one member of their cells
-        members = members.groupBy("cell", "rep").agg(F.first("shingles").alias("shingles"))
-    load_of = active.groupBy("cell").agg(F.sum("n").alias("load"))
-    big = load_of.where(F.col("load") > shard).select("cell")
-    schema = "a long, b long"
+        # rows equal in id and text are moved once
+        once, several = split_by_membership(texts, "rep", repeated.select("doc_id"))
+        texts = once.union(several.distinct())
+    big = checkpointed(active.groupBy("cell").agg(F.sum("n").alias("load")).where(F.col("load") > shard)
+                       .select("cell", F.ceil(F.col("load") / (shard / 2)).alias("pieces")))
     if big.isEmpty():
-        links = (members.withColumn("probe", F.lit(True)).repartition("cell").sortWithinPartitions("cell", "rep")
-                 .mapInArrow(_links_of_shards(num, den), schema))
+        links = checkpointed_alone(_search_shards(texts, active.withColumns(
+            {"probe": F.lit(True), "pivot": F.lit(False)}).select("cell", *_MEMBER), k, num, den))
     else:
-        members = checkpointed(members)
-        big = checkpointed(big)
-        direct, blocks = _split(members, big, num, den, shard)
-        work = members.join(big, "cell", "left_anti").withColumn("probe", F.lit(True)).union(blocks)
-        links = (work.repartition("cell").sortWithinPartitions("cell", "rep", "probe")
-                 .mapInArrow(_links_of_shards(num, den), schema).union(direct))
+        links = checkpointed_alone(_search_shards(texts, checkpointed(_pieces(active, big)), k, num, den))
+        groups = connected_components(links.where("a <> b"))
+        blocks = checkpointed(_blocks(active, big, groups, shard))
+        if not blocks.isEmpty():
+            links = links.union(checkpointed_alone(_search_shards(texts, blocks, k, num, den)))
     # rows that share an id are one document: the sets of an id are tied to it
     several = repeated.where("x <> y").select("doc_id")
     tied = not several.isEmpty()

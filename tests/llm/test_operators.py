@@ -1,13 +1,14 @@
 import collections
 import random
+import time
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import (decontaminate, hnsw, license_scan, ngram_join, packing, repeats, site_quality, token_counts,
-                        toxicity, url_templates)
+from strata.llm import (common, decontaminate, hnsw, license_scan, ngram_join, packing, repeats, site_quality,
+                        token_counts, toxicity, url_templates)
 from strata.llm.queries import tokenizer_path
 from strata.llm.shingles import U
 
@@ -539,3 +540,44 @@ def test_toxicity_moves_of_the_parts_are_averaged(spark, docs):
     assert (one.embed == again.embed).all() and one.thresholds == again.thresholds
     held = [r for r in toxicity.score(docs(rows), one).collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
     assert np.mean([(r["score"] >= 0.5) == (r["doc_id"] % 3 == 0) for r in held]) > 0.95
+
+
+def test_chains_over_split_shards_equal_brute_force_and_no_sets_are_kept(docs, monkeypatch):
+    rng, rows = random.Random(41), []
+    for b in range(3):                      # each text is the one before it, edited: the ends are far from any pivot
+        text = prose(60, rng)
+        for e in range(40):
+            rows.append((1000 * b + e * 7 % 40, text))
+            text = edited(text, 1, rng)
+    rows += [(5, rows[3][1])] * 2 + [(1005, rows[20][1]), (5000, None), (None, rows[3][1])]
+    real, kept = ngram_join.checkpointed, []
+    monkeypatch.setattr(ngram_join, "checkpointed", lambda df: (kept.extend(df.columns), real(df))[1])
+    got = rows_of(ngram_join.components(docs(rows), 4, 80, 100, shard=400).select("doc_id", "component_id"))
+    assert len(got) == len(rows)
+    assert {(i, c) for i, c in got if i is not None} == set(brute_components(rows, 4, 80, 100).items())
+    assert not {"shingles", "text"} & set(kept)
+
+
+def test_shuffle_files_go_with_their_checkpoint(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def moved():
+        return {x for x in blocks.getAllBlocks().mkString(",").split(",") if x.startswith("shuffle_")}
+    before, setting = moved(), spark.conf.get(common.RELEASE, None)
+    df = spark.range(1000).repartition(3, "id")
+    out = common.checkpointed_alone(df)
+    for _ in range(50):
+        if not moved() - before:
+            break
+        time.sleep(0.1)
+    assert not moved() - before and spark.conf.get(common.RELEASE, None) == setting
+    assert out.count() == df.count() == 1000
+
+
+def test_rounds_of_components_do_not_grow_the_plan(spark):
+    rng = random.Random(43)
+    nodes = rng.sample(range(10_000), 300)
+    found = common.connected_components(spark.createDataFrame(list(zip(nodes, nodes[1:])), "a long, b long"))
+    assert len(str(found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 200
+    rows = dict(rows_of(found))
+    assert set(rows) == set(nodes) and len(set(rows.values())) == 1
